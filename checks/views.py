@@ -6,12 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelloom.config import LABELS, LabelConfig
+from labelloom.session import spread
 
 FLAGS = ["quality", "toxic", "english", "long text"]
 
 
+# Tables with enough work per row to be worth spreading when they come in one row group.
+HEAVY = {"documents", "lineitem", "events"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(rows) if name in HEAVY else rows
 
 
 # ---- documents with truth labels and rule-made predictions ------------------------

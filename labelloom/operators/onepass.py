@@ -1,7 +1,8 @@
 """Several statistics of one table from a single scan.
 
-A statistic names the aggregates it needs and the result rows it makes of them. Any
-number of statistics share one aggregation; the rows are then made of its one result.
+A statistic names the values it reads, the aggregates it needs and the result rows it
+makes of them. Any number of statistics share one projection and one aggregation; the
+rows are then made of its one result.
 """
 
 from __future__ import annotations
@@ -15,13 +16,19 @@ from pyspark.sql import functions as F
 
 @dataclass
 class Statistic:
-    """Aggregates by name, and the rows made of them as column -> value."""
+    """Values and aggregates by name, and the rows made of them as column -> value."""
 
+    values: dict[str, Column] = field(default_factory=dict)
     aggregates: dict[str, Column] = field(default_factory=dict)
     rows: list[dict[str, Column]] = field(default_factory=list)
     # Rows whose condition is not true are left out.
     shown: list[Column] = field(default_factory=list)
 
+    def value(self, name: str, column: Column) -> Column:
+        """A value computed once per row, however many aggregates read it."""
+        self.values[name] = column
+        return F.col(name)
+
     def add(self, shown: Column | None = None, **row: Column) -> None:
         self.rows.append(row)
         self.shown.append(F.lit(True) if shown is None else shown)
@@ -29,10 +36,13 @@ class Statistic:
 
 def totals(df: DataFrame, statistics: Sequence[Statistic]) -> DataFrame:
     """One row with the aggregates of all statistics, equal names computed once."""
+    values: dict[str, Column] = {}
     wanted: dict[str, Column] = {}
     for statistic in statistics:
+        values.update(statistic.values)
         wanted.update(statistic.aggregates)
-    return df.agg(*[column.alias(name) for name, column in wanted.items()])
+    read = df.select(*[column.alias(name) for name, column in values.items()])
+    return read.agg(*[column.alias(name) for name, column in wanted.items()])
 
 
 def spread(row: DataFrame, statistic: Statistic) -> DataFrame:

@@ -28,12 +28,11 @@ def _flags(df: DataFrame, labels: Sequence[str]) -> dict[str, Column]:
 
 
 def _missing(columns: Sequence[str]) -> Statistic:
-    stat = Statistic({_ROWS: F.count("*")})
+    stat = Statistic(aggregates={_ROWS: F.count("*")})
     for i, c in enumerate(columns):
-        stat.aggregates[f"null{i}"] = F.count_if(named(c).isNull())
-        stat.add(
-            column=F.lit(c), n_missing=F.col(f"null{i}"), n_rows=F.col(_ROWS)
-        )
+        there = stat.value(f"there{i}", named(c).isNotNull())
+        stat.aggregates[f"null{i}"] = F.count_if(~there)
+        stat.add(column=F.lit(c), n_missing=F.col(f"null{i}"), n_rows=F.col(_ROWS))
     return stat
 
 
@@ -46,9 +45,10 @@ def parsed_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Raw texts with a number, and texts that are there but hold none."""
     stat = Statistic()
     for i, c in enumerate(columns):
-        parsed = leading_number(named(c).cast("string"))
+        there = stat.value(f"there{i}", named(c).isNotNull())
+        parsed = stat.value(f"number{i}", leading_number(named(c).cast("string")))
         stat.aggregates[f"ok{i}"] = F.count(parsed)
-        stat.aggregates[f"bad{i}"] = F.count_if(named(c).isNotNull() & parsed.isNull())
+        stat.aggregates[f"bad{i}"] = F.count_if(there & parsed.isNull())
         stat.add(column=F.lit(c), n_parsed=F.col(f"ok{i}"), n_malformed=F.col(f"bad{i}"))
     return one_pass(df, stat)
 
@@ -58,9 +58,9 @@ def parsed_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def label_distribution(df: DataFrame, labels: Sequence[str]) -> DataFrame:
     """Rows and percent of rows per label, 0 on an empty table."""
-    stat = Statistic({_ROWS: F.count("*")})
+    stat = Statistic(aggregates={_ROWS: F.count("*")})
     for i, (label, flag) in enumerate(_flags(df, labels).items()):
-        stat.aggregates[f"sum{i}"] = F.coalesce(F.sum(flag), F.lit(0))
+        stat.aggregates[f"sum{i}"] = F.coalesce(F.sum(stat.value(f"flag{i}", flag)), F.lit(0))
         count = F.col(f"sum{i}").cast("long")
         stat.add(label=F.lit(label), n_rows=count, percent=_percent(count, F.col(_ROWS)))
     return one_pass(df, stat)
@@ -68,9 +68,9 @@ def label_distribution(df: DataFrame, labels: Sequence[str]) -> DataFrame:
 
 def class_counts(df: DataFrame, labels: Sequence[str]) -> DataFrame:
     """Rows per class and label, before and after undersampling."""
-    stat = Statistic({_ROWS: F.count("*")})
+    stat = Statistic(aggregates={_ROWS: F.count("*")})
     for i, (label, flag) in enumerate(_flags(df, labels).items()):
-        stat.aggregates[f"ones{i}"] = F.count_if(flag == 1)
+        stat.aggregates[f"ones{i}"] = F.count_if(stat.value(f"flag{i}", flag) == 1)
         ones = F.col(f"ones{i}")
         zeros = F.col(_ROWS) - ones
         smaller = F.least(ones, zeros)
@@ -115,8 +115,8 @@ def label_cooccurrence(df: DataFrame, labels: Sequence[str]) -> DataFrame:
 
 
 def _per_row(df: DataFrame, labels: Sequence[str]) -> Statistic:
-    active = active_labels([c for c in labels if c in df.columns])
-    stat = Statistic({_ROWS: F.count("*")})
+    stat = Statistic(aggregates={_ROWS: F.count("*")})
+    active = stat.value("active", active_labels([c for c in labels if c in df.columns]))
     for n in range(len(labels) + 1):
         stat.aggregates[f"active{n}"] = F.count_if(active == n)
         count = F.col(f"active{n}")
@@ -135,8 +135,9 @@ def labels_per_row(df: DataFrame, labels: Sequence[str]) -> DataFrame:
 
 
 def _average(df: DataFrame, labels: Sequence[str]) -> Statistic:
-    active = active_labels([c for c in labels if c in df.columns])
-    stat = Statistic({"avg_active": F.avg(active)})
+    stat = Statistic()
+    active = stat.value("active", active_labels([c for c in labels if c in df.columns]))
+    stat.aggregates["avg_active"] = F.avg(active)
     stat.add(avg_labels=F.col("avg_active"))
     return stat
 
@@ -151,9 +152,10 @@ def avg_labels(df: DataFrame, labels: Sequence[str]) -> DataFrame:
 
 def split_sizes(df: DataFrame, split: str = "split") -> DataFrame:
     """Rows and percent of rows of train and test."""
-    stat = Statistic({_ROWS: F.count("*")})
+    stat = Statistic(aggregates={_ROWS: F.count("*")})
+    side = stat.value("side", named(split))
     for part in ("train", "test"):
-        stat.aggregates[part] = F.count_if(named(split) == part)
+        stat.aggregates[part] = F.count_if(side == part)
         stat.add(
             split=F.lit(part),
             n_rows=F.col(part),
@@ -164,9 +166,11 @@ def split_sizes(df: DataFrame, split: str = "split") -> DataFrame:
 
 def _drift(df: DataFrame, labels: Sequence[str], split: str) -> Statistic:
     stat = Statistic()
+    side = stat.value("side", named(split))
     for i, (label, column) in enumerate(resolve_label_columns(df, labels).items()):
+        flag = stat.value(f"flag{i}", named(column).cast("double"))
         for part in ("train", "test"):
-            inside = F.when(named(split) == part, named(column).cast("double"))
+            inside = F.when(side == part, flag)
             stat.aggregates[f"{part}{i}"] = F.avg(inside) * 100
         train, test = F.col(f"train{i}"), F.col(f"test{i}")
         stat.add(
@@ -201,22 +205,26 @@ def drift_summary(df: DataFrame, labels: Sequence[str], split: str = "split") ->
 def _correlations(
     values: dict[str, Column], pairs: Sequence[tuple[str, str]], mirrored: bool, prefix: str
 ) -> Statistic:
-    """Pearson over the rows where both values are there; null for a constant column."""
+    """Pearson over the rows where both values are there; null for a constant column.
+
+    regr_r2 has the squared correlation in one aggregate and, other than corr, does not
+    divide by the zero spread of a constant column; the covariance has the sign.
+    """
     stat = Statistic()
-    names = {name: f"{prefix}_n{i}" for i, name in enumerate(values)}
-    for name, column in values.items():
-        stat.aggregates[names[name]] = F.count(column)
+    numbers = {n: stat.value(f"{prefix}_v{i}", c) for i, (n, c) in enumerate(values.items())}
+    counts = {n: f"{prefix}_n{i}" for i, n in enumerate(values)}
+    for name, column in numbers.items():
+        stat.aggregates[counts[name]] = F.count(column)
     for i, (a, b) in enumerate(pairs):
-        x = F.when(values[b].isNotNull(), values[a])
-        y = F.when(values[a].isNotNull(), values[b])
-        spreads = F.stddev_samp(x) * F.stddev_samp(y)
-        stat.aggregates[f"{prefix}{i}"] = F.try_divide(F.covar_samp(x, y), F.nullif(spreads, F.lit(0.0)))
-        there = (F.col(names[a]) > 0) & (F.col(names[b]) > 0)
-        stat.add(shown=there, column_a=F.lit(a), column_b=F.lit(b), correlation=F.col(f"{prefix}{i}"))
+        squared, together = F.col(f"{prefix}_r{i}"), F.col(f"{prefix}_c{i}")
+        stat.aggregates[f"{prefix}_r{i}"] = F.regr_r2(numbers[a], numbers[b])
+        stat.aggregates[f"{prefix}_c{i}"] = F.covar_samp(numbers[a], numbers[b])
+        constant = (squared == 1.0) & (together == 0.0)
+        value = F.when(~constant, F.signum(together) * F.sqrt(squared))
+        there = (F.col(counts[a]) > 0) & (F.col(counts[b]) > 0)
+        stat.add(shown=there, column_a=F.lit(a), column_b=F.lit(b), correlation=value)
         if mirrored and a != b:
-            stat.add(
-                shown=there, column_a=F.lit(b), column_b=F.lit(a), correlation=F.col(f"{prefix}{i}")
-            )
+            stat.add(shown=there, column_a=F.lit(b), column_b=F.lit(a), correlation=value)
     return stat
 
 
@@ -265,12 +273,13 @@ def numeric_label_correlation(
 
 
 def _texts(df: DataFrame, columns: Sequence[str]) -> Statistic:
-    stat = Statistic({_ROWS: F.count("*")})
+    stat = Statistic(aggregates={_ROWS: F.count("*")})
     for i, c in enumerate(c for c in columns if c in df.columns):
-        text = named(c).cast("string")
-        there = text.isNotNull() & (text != "")
-        stat.aggregates[f"empty{i}"] = F.count_if(~there)
-        stat.aggregates[f"length{i}"] = F.avg(F.when(there, F.char_length(text)))
+        # 0 for null and for empty texts; the text itself goes no further.
+        length = F.coalesce(F.char_length(named(c).cast("string")), F.lit(0))
+        size = stat.value(f"size{i}", length)
+        stat.aggregates[f"empty{i}"] = F.count_if(size == 0)
+        stat.aggregates[f"length{i}"] = F.avg(F.when(size > 0, size))
         stat.add(
             shown=F.col(_ROWS) > 0,
             column=F.lit(c),
@@ -319,6 +328,7 @@ def profile_report(
         value=F.col(_ROWS).cast("double"),
     )
     for section, stat, keys, metrics in parts:
+        report.values.update(stat.values)
         report.aggregates.update(stat.aggregates)
         for made, shown in zip(stat.rows, stat.shown, strict=True):
             key = F.concat_ws("|", *[made[k].cast("string") for k in keys])
