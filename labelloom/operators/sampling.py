@@ -36,16 +36,16 @@ def _smallest_keys(
     names = list(members)
     sums = [F.sum(members[n]).alias(f"m{i}") for i, n in enumerate(names)]
 
-    def counts(length: int, open_prefixes: list[str] | None) -> list[tuple[str, list[int]]]:
+    def counts(length: int, open_prefixes: list[str]) -> list[tuple[str, list[int]]]:
         rows = keyed
-        if open_prefixes is not None:
-            within = F.substring(F.col(_KEY), 1, length - _DIGITS).isin(open_prefixes)
+        if open_prefixes:
+            within = F.substring(F.col(_KEY), 1, len(open_prefixes[0])).isin(open_prefixes)
             rows = rows.filter(within)
         found = rows.groupBy(F.substring(F.col(_KEY), 1, length).alias("p")).agg(*sums).collect()
         return sorted((r[0], [int(v or 0) for v in r[1:]]) for r in found)
 
     length = _DIGITS
-    table = counts(length, None)
+    table = counts(length, [])
     sizes = {n: sum(v[i] for _, v in table) for i, n in enumerate(names)}
     goals = wanted(sizes)
     cuts: dict[str, Column] = {}
