@@ -6,6 +6,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+import __spark_entry__  # noqa: E402, F401  (sends the package's functions by value)
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
