@@ -14,6 +14,7 @@ from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from labelloom.functions.values import fingerprint, named
 from labelloom.session import staged
@@ -62,8 +63,7 @@ def number_rows(df: DataFrame, order_by: Sequence[str], name: str, start: int =
     """
     placed = _placed(df, order_by, "numbered")
     offsets = df.sparkSession.createDataFrame(
-        [Row(**{_PART: part, _BEFORE: n}) for part, n in placed.before.items()] or [],
-        f"{_PART} int, {_BEFORE} long",
+        list(placed.before.items()), f"{_PART} int, {_BEFORE} long"
     )
     number = (F.col(_POS) + F.col(_BEFORE) + F.lit(start)).cast("long")
     return placed.rows.join(F.broadcast(offsets), _PART).select(
@@ -91,20 +91,35 @@ def dense_row_id(df: DataFrame, order_by: Sequence[str], name: str = "problem_id
     return numbered.select(named(name), *[named(c) for c in df.columns])
 
 
-def _not_after(order_by: Sequence[str], bound: Sequence[object]) -> Column:
-    """Row is at or before the bound in ascending order, nulls last."""
+def _plain(name: str, dtype: T.DataType) -> Column:
+    """A key as a value that comes to the driver and back unchanged.
+
+    A timestamp does not where clocks are set back: one local time stands for two.
+    """
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(named(name))
+    if isinstance(dtype, T.TimestampNTZType):
+        return named(name).cast("string")
+    return named(name)
 
-    def before(name: str, value: object) -> Column:
-        if value is None:
-            return named(name).isNotNull()
-        return F.coalesce(named(name) < F.lit(value), F.lit(False))
 
-    def same(name: str, value: object) -> Column:
-        return named(name).eqNullSafe(F.lit(value))
+def _literal(value: object, dtype: T.DataType) -> Column:
+    if isinstance(dtype, T.TimestampType):
+        return F.timestamp_micros(F.lit(value))
+    return F.lit(value).cast(dtype)
 
+
+def _not_after(schema: T.StructType, bound: Row) -> Column:
+    """Row is at or before the bound in ascending order, nulls last."""
     result: Column = F.lit(True)
-    for name, value in reversed(list(zip(order_by, bound, strict=True))):
-        result = before(name, value) | (same(name, value) & result)
+    for key, value in reversed(list(zip(schema.fields, bound, strict=True))):
+        if value is None:
+            earlier, same = named(key.name).isNotNull(), named(key.name).isNull()
+        else:
+            limit = _literal(value, key.dataType)
+            earlier = F.coalesce(named(key.name) < limit, F.lit(False))
+            same = F.coalesce(named(key.name) == limit, F.lit(False))
+        result = earlier | (same & result)
     return result
 
 
@@ -127,12 +142,13 @@ def first_rows(df: DataFrame, order_by: Sequence[str], wanted) -> tuple[Column,
     def at(position: int) -> Row:
         part = max(p for p, n in placed.before.items() if n <= position)
         place = (F.col(_PART) == part) & (F.col(_POS) == position - placed.before[part])
-        return placed.rows.filter(place).select(*keys.columns).first()
+        columns = [_plain(f.name, f.dataType).alias(f.name) for f in keys.schema.fields]
+        return placed.rows.filter(place).select(*columns).first()
 
     last, following = at(number - 1), at(number)
     if last == following:
         raise ValueError(f"{list(order_by)} is not a total order: rows share a key")
-    return _not_after(order_by, list(last)), number, total
+    return _not_after(keys.schema, last), number, total
 
 
 def any_of(conditions: Sequence[Column]) -> Column:

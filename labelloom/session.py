@@ -27,10 +27,19 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[context.applicationId]
 
 
+def _own_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/labelloom/{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that nothing else uses."""
-    app = spark.sparkContext.applicationId
-    return f"{shared_dir(spark)}/labelloom/{app}/{name}-{uuid.uuid4().hex}"
+    return f"{_own_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_staged(spark: SparkSession) -> None:
+    """Deletes what this application staged. Results not yet written read from there."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

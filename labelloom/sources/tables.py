@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date
 
 from pyspark.errors import AnalysisException
@@ -59,7 +60,10 @@ def write_snapshot(
 
 
 def snapshot_times(spark: SparkSession, directory: str) -> DataFrame:
-    """Snapshots of a directory with the time each was last written."""
+    """Snapshots of a directory with the time each was last written.
+
+    Only the file listing is read: no content, since no column of it is used.
+    """
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
@@ -67,8 +71,10 @@ def snapshot_times(spark: SparkSession, directory: str) -> DataFrame:
         .load(directory)
         .select("path", "modificationTime")
     )
-    root = "/" + directory.rstrip("/").split("/")[-1] + "/"
-    inner = F.substring_index(F.col("path"), root, -1)
+    # Listed paths start with a scheme that the given directory may lack.
+    folder = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", directory).rstrip("/") + "/"
+    start = F.locate(folder, F.col("path")) + len(folder)
+    inner = F.substring(F.col("path"), start, F.length("path"))
     return (
         files.select(F.substring_index(inner, "/", 1).alias("snapshot"), "modificationTime")
         .groupBy("snapshot")

@@ -150,3 +150,35 @@ def test_single_class_labels_are_skipped(spark):
     rows = spark.range(4).select((F.col("id") % 2).alias("a"), F.lit(1).alias("b"), F.lit(None).cast("int").alias("c"))
     assert sampling.skip_single_class(rows, ["a", "b", "c", "absent"]) == ["a"]
     assert sampling.skip_single_class(rows.limit(0), ["a", "b"]) == []
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date", "double", "decimal(20,4)"])
+def test_split_bound_is_exact_for_any_key_type(spark, kind, tmp_path):
+    """Also where clocks are set back, and down to the microsecond."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        start = 1_729_983_600_000_000  # an hour before the clocks were set back in 2024
+        step = {"date": 86_400_000_000}.get(kind, 1_800_000_000)
+        moment = F.timestamp_micros(F.lit(start) + F.col("id") * step + F.col("id"))
+        plain = F.col("id") / 3
+        key = plain.cast(kind) if kind in ("double", "decimal(20,4)") else moment.cast(kind)
+        spark.range(12).select("id", key.alias("t")).write.parquet(str(tmp_path / "rows"))
+        rows = spark.read.parquet(str(tmp_path / "rows"))
+        for share in (0.25, 0.5, 0.75):
+            split = sampling.chronological_split(rows, ["t", "id"], share)
+            expected = rows.orderBy("t", "id").limit(int(12 * (1 - share)))
+            assert ids(split.filter("split = 'train'")) == ids(expected)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_staged_tables_can_be_removed(spark):
+    from pathlib import Path
+
+    from labelloom import session
+
+    path = session.new_path(spark, "x")
+    spark.range(1).write.parquet(path)
+    session.remove_staged(spark)
+    assert not Path(path).exists()
