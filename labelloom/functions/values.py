@@ -80,11 +80,6 @@ def sigmoid(score: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-score))
 
 
-def ratio(part: Column, whole: Column) -> Column:
-    """part / whole as a double, 0 where whole is 0 or null."""
-    return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))
-
-
 def sampling_key(row_id: Column, seed: int) -> Column:
     """Seeded hex key of a row: the same on any partitioning of the table."""
     return F.md5(F.concat_ws(":", F.lit(str(seed)), row_id.cast("string")))

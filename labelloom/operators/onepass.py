@@ -2,7 +2,8 @@
 
 A statistic names the values it reads, the aggregates it needs and the result rows it
 makes of them. Any number of statistics share one projection and one aggregation; the
-rows are then made of its one result.
+rows are then made of its one result. Aggregates and rows are SQL text, since a report
+has hundreds and each Column operation is several calls into the JVM.
 """
 
 from __future__ import annotations
@@ -11,49 +12,47 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 
 @dataclass
 class Statistic:
-    """Values and aggregates by name, and the rows made of them as column -> value."""
+    """Values and aggregates by name, and the rows made of them as column -> SQL."""
 
     values: dict[str, Column] = field(default_factory=dict)
-    aggregates: dict[str, Column] = field(default_factory=dict)
-    rows: list[dict[str, Column]] = field(default_factory=list)
+    aggregates: dict[str, str] = field(default_factory=dict)
+    rows: list[dict[str, str]] = field(default_factory=list)
     # Rows whose condition is not true are left out.
-    shown: list[Column] = field(default_factory=list)
+    shown: list[str] = field(default_factory=list)
 
-    def value(self, name: str, column: Column) -> Column:
+    def value(self, name: str, column: Column) -> str:
         """A value computed once per row, however many aggregates read it."""
         self.values[name] = column
-        return F.col(name)
+        return name
 
-    def add(self, shown: Column | None = None, **row: Column) -> None:
+    def add(self, shown: str = "true", **row: str) -> None:
         self.rows.append(row)
-        self.shown.append(F.lit(True) if shown is None else shown)
+        self.shown.append(shown)
 
 
 def totals(df: DataFrame, statistics: Sequence[Statistic]) -> DataFrame:
     """One row with the aggregates of all statistics, equal names computed once."""
     values: dict[str, Column] = {}
-    wanted: dict[str, Column] = {}
+    wanted: dict[str, str] = {}
     for statistic in statistics:
         values.update(statistic.values)
         wanted.update(statistic.aggregates)
     read = df.select(*[column.alias(name) for name, column in values.items()])
-    return read.agg(*[column.alias(name) for name, column in wanted.items()])
+    return read.selectExpr(*[f"{sql} AS {name}" for name, sql in wanted.items()])
 
 
 def spread(row: DataFrame, statistic: Statistic) -> DataFrame:
     """The result rows of a statistic from the one row of totals."""
-    items = [
-        F.struct(shown.alias("__shown"), *[v.alias(n) for n, v in made.items()])
-        for made, shown in zip(statistic.rows, statistic.shown, strict=True)
-    ]
-    names = list(statistic.rows[0])
-    exploded = row.select(F.inline(F.array(*items)))
-    return exploded.filter("__shown").select(*names)
+    structs = []
+    for made, shown in zip(statistic.rows, statistic.shown, strict=True):
+        cells = ", ".join(f"{sql} AS `{name}`" for name, sql in made.items())
+        structs.append(f"struct({shown} AS __shown, {cells})")
+    exploded = row.selectExpr(f"inline(array({', '.join(structs)}))")
+    return exploded.filter("__shown").drop("__shown")
 
 
 def one_pass(df: DataFrame, statistic: Statistic) -> DataFrame:

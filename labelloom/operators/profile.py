@@ -8,16 +8,16 @@ from itertools import combinations_with_replacement
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from labelloom.functions.tokens import sql_text
 from labelloom.functions.values import finite_number, label_flag, leading_number, named
-from labelloom.operators.columns import active_labels, coerce_labels, resolve_label_columns
-from labelloom.operators.onepass import Statistic, one_pass, spread, totals
+from labelloom.operators.columns import resolve_label_columns
+from labelloom.operators.onepass import Statistic, one_pass
 
 _ROWS = "n_rows"
 
 
-def _percent(part: Column, whole: Column) -> Column:
-    share = F.try_divide(part.cast("double") * 100, whole.cast("double"))
-    return F.coalesce(share, F.lit(0.0))
+def _percent(part: str, whole: str = _ROWS) -> str:
+    return f"coalesce(try_divide({part} * 100D, {whole}), 0D)"
 
 
 def _flags(df: DataFrame, labels: Sequence[str]) -> dict[str, Column]:
@@ -28,11 +28,11 @@ def _flags(df: DataFrame, labels: Sequence[str]) -> dict[str, Column]:
 
 
 def _missing(columns: Sequence[str]) -> Statistic:
-    stat = Statistic(aggregates={_ROWS: F.count("*")})
+    stat = Statistic(aggregates={_ROWS: "count(*)"})
     for i, c in enumerate(columns):
         there = stat.value(f"there{i}", named(c).isNotNull())
-        stat.aggregates[f"null{i}"] = F.count_if(~there)
-        stat.add(column=F.lit(c), n_missing=F.col(f"null{i}"), n_rows=F.col(_ROWS))
+        stat.aggregates[f"null{i}"] = f"count_if(NOT {there})"
+        stat.add(column=sql_text(c), n_missing=f"null{i}", n_rows=_ROWS)
     return stat
 
 
@@ -47,9 +47,9 @@ def parsed_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     for i, c in enumerate(columns):
         there = stat.value(f"there{i}", named(c).isNotNull())
         parsed = stat.value(f"number{i}", leading_number(named(c).cast("string")))
-        stat.aggregates[f"ok{i}"] = F.count(parsed)
-        stat.aggregates[f"bad{i}"] = F.count_if(there & parsed.isNull())
-        stat.add(column=F.lit(c), n_parsed=F.col(f"ok{i}"), n_malformed=F.col(f"bad{i}"))
+        stat.aggregates[f"ok{i}"] = f"count({parsed})"
+        stat.aggregates[f"bad{i}"] = f"count_if({there} AND {parsed} IS NULL)"
+        stat.add(column=sql_text(c), n_parsed=f"ok{i}", n_malformed=f"bad{i}")
     return one_pass(df, stat)
 
 
@@ -58,30 +58,27 @@ def parsed_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def label_distribution(df: DataFrame, labels: Sequence[str]) -> DataFrame:
     """Rows and percent of rows per label, 0 on an empty table."""
-    stat = Statistic(aggregates={_ROWS: F.count("*")})
+    stat = Statistic(aggregates={_ROWS: "count(*)"})
     for i, (label, flag) in enumerate(_flags(df, labels).items()):
-        stat.aggregates[f"sum{i}"] = F.coalesce(F.sum(stat.value(f"flag{i}", flag)), F.lit(0))
-        count = F.col(f"sum{i}").cast("long")
-        stat.add(label=F.lit(label), n_rows=count, percent=_percent(count, F.col(_ROWS)))
+        stat.aggregates[f"sum{i}"] = f"coalesce(sum({stat.value(f'flag{i}', flag)}), 0L)"
+        stat.add(label=sql_text(label), n_rows=f"sum{i}", percent=_percent(f"sum{i}"))
     return one_pass(df, stat)
 
 
 def class_counts(df: DataFrame, labels: Sequence[str]) -> DataFrame:
     """Rows per class and label, before and after undersampling."""
-    stat = Statistic(aggregates={_ROWS: F.count("*")})
+    stat = Statistic(aggregates={_ROWS: "count(*)"})
     for i, (label, flag) in enumerate(_flags(df, labels).items()):
-        stat.aggregates[f"ones{i}"] = F.count_if(stat.value(f"flag{i}", flag) == 1)
-        ones = F.col(f"ones{i}")
-        zeros = F.col(_ROWS) - ones
-        smaller = F.least(ones, zeros)
+        stat.aggregates[f"ones{i}"] = f"count_if({stat.value(f'flag{i}', flag)} = 1)"
+        ones, zeros = f"ones{i}", f"({_ROWS} - ones{i})"
+        smaller = f"least({ones}, {zeros})"
         for value, before in ((0, zeros), (1, ones)):
-            after = F.when(smaller > 0, smaller).otherwise(before)
             stat.add(
-                shown=before > 0,
-                label=F.lit(label),
-                class_value=F.lit(value),
+                shown=f"{before} > 0",
+                label=sql_text(label),
+                class_value=str(value),
                 n_before=before,
-                n_after=after,
+                n_after=f"CASE WHEN {smaller} > 0 THEN {smaller} ELSE {before} END",
             )
     return one_pass(df, stat)
 
@@ -114,37 +111,41 @@ def label_cooccurrence(df: DataFrame, labels: Sequence[str]) -> DataFrame:
     )
 
 
-def _per_row(df: DataFrame, labels: Sequence[str]) -> Statistic:
-    stat = Statistic(aggregates={_ROWS: F.count("*")})
-    active = stat.value("active", active_labels([c for c in labels if c in df.columns]))
-    for n in range(len(labels) + 1):
-        stat.aggregates[f"active{n}"] = F.count_if(active == n)
-        count = F.col(f"active{n}")
+def _active(stat: Statistic, flags: dict[str, Column]) -> str:
+    """Number of labels set in a row, read by stat."""
+    names = [stat.value(f"flag{i}", flag) for i, flag in enumerate(flags.values())]
+    return f"({' + '.join(names) or '0'})"
+
+
+def _per_row(flags: dict[str, Column]) -> Statistic:
+    stat = Statistic(aggregates={_ROWS: "count(*)"})
+    active = _active(stat, flags)
+    for n in range(len(flags) + 1):
+        stat.aggregates[f"active{n}"] = f"count_if({active} = {n})"
         stat.add(
-            shown=count > 0,
-            n_labels=F.lit(n),
-            n_rows=count,
-            percent=_percent(count, F.col(_ROWS)),
+            shown=f"active{n} > 0",
+            n_labels=str(n),
+            n_rows=f"active{n}",
+            percent=_percent(f"active{n}"),
         )
     return stat
 
 
 def labels_per_row(df: DataFrame, labels: Sequence[str]) -> DataFrame:
     """Rows and percent of rows per number of labels set, for numbers that occur."""
-    return one_pass(coerce_labels(df, labels), _per_row(df, labels))
+    return one_pass(df, _per_row(_flags(df, labels)))
 
 
-def _average(df: DataFrame, labels: Sequence[str]) -> Statistic:
+def _average(flags: dict[str, Column]) -> Statistic:
     stat = Statistic()
-    active = stat.value("active", active_labels([c for c in labels if c in df.columns]))
-    stat.aggregates["avg_active"] = F.avg(active)
-    stat.add(avg_labels=F.col("avg_active"))
+    stat.aggregates["avg_active"] = f"avg({_active(stat, flags)})"
+    stat.add(avg_labels="avg_active")
     return stat
 
 
 def avg_labels(df: DataFrame, labels: Sequence[str]) -> DataFrame:
     """Mean number of labels set per row."""
-    return one_pass(coerce_labels(df, labels), _average(df, labels))
+    return one_pass(df, _average(_flags(df, labels)))
 
 
 # ---- splits ----------------------------------------------------------------------
@@ -152,15 +153,11 @@ def avg_labels(df: DataFrame, labels: Sequence[str]) -> DataFrame:
 
 def split_sizes(df: DataFrame, split: str = "split") -> DataFrame:
     """Rows and percent of rows of train and test."""
-    stat = Statistic(aggregates={_ROWS: F.count("*")})
+    stat = Statistic(aggregates={_ROWS: "count(*)"})
     side = stat.value("side", named(split))
     for part in ("train", "test"):
-        stat.aggregates[part] = F.count_if(side == part)
-        stat.add(
-            split=F.lit(part),
-            n_rows=F.col(part),
-            percent=_percent(F.col(part), F.col(_ROWS)),
-        )
+        stat.aggregates[part] = f"count_if({side} = '{part}')"
+        stat.add(split=f"'{part}'", n_rows=part, percent=_percent(part))
     return one_pass(df, stat)
 
 
@@ -170,15 +167,13 @@ def _drift(df: DataFrame, labels: Sequence[str], split: str) -> Statistic:
     for i, (label, column) in enumerate(resolve_label_columns(df, labels).items()):
         flag = stat.value(f"flag{i}", named(column).cast("double"))
         for part in ("train", "test"):
-            inside = F.when(side == part, flag)
-            stat.aggregates[f"{part}{i}"] = F.avg(inside) * 100
-        train, test = F.col(f"train{i}"), F.col(f"test{i}")
+            stat.aggregates[f"{part}{i}"] = f"avg(CASE WHEN {side} = '{part}' THEN {flag} END) * 100"
         stat.add(
-            position=F.lit(i),
-            label=F.lit(label),
-            train_percent=train,
-            test_percent=test,
-            drift=F.lit(2) * (test - train),
+            position=str(i),
+            label=sql_text(label),
+            train_percent=f"train{i}",
+            test_percent=f"test{i}",
+            drift=f"2 * (test{i} - train{i})",
         )
     return stat
 
@@ -208,23 +203,29 @@ def _correlations(
     """Pearson over the rows where both values are there; null for a constant column.
 
     regr_r2 has the squared correlation in one aggregate and, other than corr, does not
-    divide by the zero spread of a constant column; the covariance has the sign.
+    divide by a zero spread; the covariance has the sign. Whether a column is constant
+    is told by its bounds: partial means merge with rounding, so its spread need not be 0.
     """
     stat = Statistic()
-    numbers = {n: stat.value(f"{prefix}_v{i}", c) for i, (n, c) in enumerate(values.items())}
-    counts = {n: f"{prefix}_n{i}" for i, n in enumerate(values)}
-    for name, column in numbers.items():
-        stat.aggregates[counts[name]] = F.count(column)
-    for i, (a, b) in enumerate(pairs):
-        squared, together = F.col(f"{prefix}_r{i}"), F.col(f"{prefix}_c{i}")
-        stat.aggregates[f"{prefix}_r{i}"] = F.regr_r2(numbers[a], numbers[b])
-        stat.aggregates[f"{prefix}_c{i}"] = F.covar_samp(numbers[a], numbers[b])
-        constant = (squared == 1.0) & (together == 0.0)
-        value = F.when(~constant, F.signum(together) * F.sqrt(squared))
-        there = (F.col(counts[a]) > 0) & (F.col(counts[b]) > 0)
-        stat.add(shown=there, column_a=F.lit(a), column_b=F.lit(b), correlation=value)
-        if mirrored and a != b:
-            stat.add(shown=there, column_a=F.lit(b), column_b=F.lit(a), correlation=value)
+    place = {name: i for i, name in enumerate(values)}
+    for name, i in place.items():
+        stat.aggregates[f"{prefix}_n{i}"] = f"count({stat.value(f'{prefix}_v{i}', values[name])})"
+    for k, (a, b) in enumerate(pairs):
+        i, j = place[a], place[b]
+        x, y = f"{prefix}_v{i}", f"{prefix}_v{j}"
+        squared, together = f"{prefix}_r{k}", f"{prefix}_c{k}"
+        stat.aggregates[squared] = f"regr_r2({x}, {y})"
+        stat.aggregates[together] = f"covar_samp({x}, {y})"
+        varied = []
+        for side, one, other in (("x", x, y), ("y", y, x)):
+            both = one if one == other else f"CASE WHEN {other} IS NOT NULL THEN {one} END"
+            for bound in ("min", "max"):
+                stat.aggregates[f"{prefix}_{bound}_{side}{k}"] = f"{bound}({both})"
+            varied.append(f"{prefix}_min_{side}{k} < {prefix}_max_{side}{k}")
+        value = f"CASE WHEN {' AND '.join(varied)} THEN signum({together}) * sqrt({squared}) END"
+        there = f"{prefix}_n{i} > 0 AND {prefix}_n{j} > 0"
+        for first, second in ((a, b), (b, a)) if mirrored and a != b else ((a, b),):
+            stat.add(there, column_a=sql_text(first), column_b=sql_text(second), correlation=value)
     return stat
 
 
@@ -232,17 +233,15 @@ def _numbers(df: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
     return {c: finite_number(named(c), df.schema[c].dataType) for c in columns if c in df.columns}
 
 
-def _numeric_correlations(df: DataFrame, columns: Sequence[str]) -> Statistic | None:
-    values = _numbers(df, columns)
-    if len(values) < 2:
+def _numeric_correlations(numbers: dict[str, Column]) -> Statistic | None:
+    if len(numbers) < 2:
         return None
-    return _correlations(values, list(combinations_with_replacement(values, 2)), True, "num")
+    return _correlations(numbers, list(combinations_with_replacement(numbers, 2)), True, "num")
 
 
 def _label_correlations(
-    df: DataFrame, columns: Sequence[str], labels: Sequence[str]
+    numbers: dict[str, Column], flags: dict[str, Column]
 ) -> Statistic | None:
-    numbers, flags = _numbers(df, columns), _flags(df, labels)
     if not numbers or not flags:
         return None
     values = {**numbers, **{c: f.cast("double") for c, f in flags.items()}}
@@ -259,32 +258,32 @@ def _or_empty(df: DataFrame, stat: Statistic | None) -> DataFrame:
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair of numeric columns, all-null columns left out."""
-    return _or_empty(df, _numeric_correlations(df, columns))
+    return _or_empty(df, _numeric_correlations(_numbers(df, columns)))
 
 
 def numeric_label_correlation(
     df: DataFrame, columns: Sequence[str], labels: Sequence[str]
 ) -> DataFrame:
     """Pearson correlation of every numeric column with every label."""
-    return _or_empty(df, _label_correlations(df, columns, labels))
+    return _or_empty(df, _label_correlations(_numbers(df, columns), _flags(df, labels)))
 
 
 # ---- texts -----------------------------------------------------------------------
 
 
 def _texts(df: DataFrame, columns: Sequence[str]) -> Statistic:
-    stat = Statistic(aggregates={_ROWS: F.count("*")})
+    stat = Statistic(aggregates={_ROWS: "count(*)"})
     for i, c in enumerate(c for c in columns if c in df.columns):
         # 0 for null and for empty texts; the text itself goes no further.
         length = F.coalesce(F.char_length(named(c).cast("string")), F.lit(0))
         size = stat.value(f"size{i}", length)
-        stat.aggregates[f"empty{i}"] = F.count_if(size == 0)
-        stat.aggregates[f"length{i}"] = F.avg(F.when(size > 0, size))
+        stat.aggregates[f"empty{i}"] = f"count_if({size} = 0)"
+        stat.aggregates[f"length{i}"] = f"avg(CASE WHEN {size} > 0 THEN {size} END)"
         stat.add(
-            shown=F.col(_ROWS) > 0,
-            column=F.lit(c),
-            missing_percent=F.round(_percent(F.col(f"empty{i}"), F.col(_ROWS)), 2),
-            avg_length=F.round(F.coalesce(F.col(f"length{i}"), F.lit(0.0)), 2),
+            shown=f"{_ROWS} > 0",
+            column=sql_text(c),
+            missing_percent=f"round({_percent(f'empty{i}')}, 2)",
+            avg_length=f"round(coalesce(length{i}, 0D), 2)",
         )
     return stat
 
@@ -305,39 +304,33 @@ def profile_report(
     columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """All of the above but co-occurrence as (section, key, metric, value), from one scan."""
-    df = coerce_labels(df, labels)
+    flags, numbers = _flags(df, labels), _numbers(df, numeric)
     parts: list[tuple[str, Statistic, list[str], list[str]]] = [
         ("missing", _missing(columns or df.columns), ["column"], ["n_missing"]),
-        ("labels_per_row", _per_row(df, labels), ["n_labels"], ["n_rows", "percent"]),
-        ("avg_labels", _average(df, labels), [], ["avg_labels"]),
+        ("labels_per_row", _per_row(flags), ["n_labels"], ["n_rows", "percent"]),
+        ("avg_labels", _average(flags), [], ["avg_labels"]),
         ("text", _texts(df, texts), ["column"], ["missing_percent", "avg_length"]),
     ]
     for section, stat in (
-        ("correlation", _numeric_correlations(df, numeric)),
-        ("label_correlation", _label_correlations(df, numeric, labels)),
+        ("correlation", _numeric_correlations(numbers)),
+        ("label_correlation", _label_correlations(numbers, flags)),
     ):
         if stat is not None:
             parts.append((section, stat, ["column_a", "column_b"], ["correlation"]))
 
-    report = Statistic()
-    report.aggregates[_ROWS] = F.count("*")
-    report.add(
-        section=F.lit("table"),
-        key=F.lit(""),
-        metric=F.lit("n_rows"),
-        value=F.col(_ROWS).cast("double"),
-    )
+    report = Statistic(aggregates={_ROWS: "count(*)"})
+    report.add(section="'table'", key="''", metric="'n_rows'", value=f"double({_ROWS})")
     for section, stat, keys, metrics in parts:
         report.values.update(stat.values)
         report.aggregates.update(stat.aggregates)
         for made, shown in zip(stat.rows, stat.shown, strict=True):
-            key = F.concat_ws("|", *[made[k].cast("string") for k in keys])
+            key = f"concat_ws('|', {', '.join(made[k] for k in keys)})" if keys else "''"
             for metric in metrics:
                 report.add(
                     shown=shown,
-                    section=F.lit(section),
+                    section=f"'{section}'",
                     key=key,
-                    metric=F.lit(metric),
-                    value=made[metric].cast("double"),
+                    metric=f"'{metric}'",
+                    value=f"double({made[metric]})",
                 )
-    return spread(totals(df, [report]), report)
+    return one_pass(df, report)

@@ -69,3 +69,12 @@ def test_report_scans_once(spark, plan, tmp_path):
     found = {(r["section"], r["key"], r["metric"]): r["value"] for r in report.collect()}
     assert found["table", "", "n_rows"] == 50.0
     assert found["missing", "t", "n_missing"] == 0.0
+
+
+def test_constant_column_over_many_partitions_has_no_correlation(spark):
+    rows = spark.range(0, 10007, 1, 13).select(
+        F.lit(0.1).alias("c"), (F.col("id") * 0.37 % 11).alias("x"), F.when(F.col("id") < 9, F.lit(0.3)).alias("few")
+    )
+    rows = rows.withColumn("c", F.when(F.col("x") >= 0, F.col("c")))
+    found = {(r[0], r[1]): r[2] for r in profile.correlation_matrix(rows, ["c", "x", "few"]).collect()}
+    assert found["c", "x"] is None and found["few", "x"] is None and found["x", "x"] is not None
