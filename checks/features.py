@@ -23,20 +23,28 @@ words AS (
   SELECT doc_id, list_filter(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]{{2,}}'),
                              lambda w: w NOT IN ({_STOPS})) AS words
   FROM documents)"""
-TERMS_SQL = f"""{WORDS_SQL},
+
+
+def terms_sql(fitted: str) -> str:
+    """Terms of all documents, and the vocabulary of the fitted ones."""
+    return f"""{WORDS_SQL},
 placed AS (
   SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM words),
 terms AS (
   SELECT doc_id, word AS term FROM placed
   UNION ALL
   SELECT a.doc_id, a.word || ' ' || b.word FROM placed a JOIN placed b ON a.doc_id = b.doc_id AND b.pos = a.pos + 1),
-n_docs AS (SELECT count(*) AS n FROM documents),
+n_docs AS (SELECT count(*) AS n FROM {fitted}),
 vocabulary AS (
-  SELECT term, count(*) AS tf, count(DISTINCT doc_id) AS df FROM terms GROUP BY term
+  SELECT term, count(*) AS tf, count(DISTINCT doc_id) AS df
+  FROM terms WHERE doc_id IN (SELECT doc_id FROM {fitted}) GROUP BY term
   HAVING count(DISTINCT doc_id) >= 5 AND count(DISTINCT doc_id) <= 0.8 * (SELECT n FROM n_docs)
   ORDER BY tf DESC, term LIMIT 5000)"""
 
 
+TERMS_SQL = terms_sql("documents")
+
+
 def words(spark, sf):
     return vocabulary.tokenize(table(spark, sf, "documents"), "text", "words", STOP_WORDS)
 
@@ -160,22 +168,46 @@ def _split(spark, sf):
     return split.filter("split = 'train'"), split.filter("split = 'test'")
 
 
-@query("assemble_features", "SELECT doc_id, lang FROM documents")
+TRAIN_SQL = """
+ranked AS (SELECT *, row_number() OVER (ORDER BY n_chars, doc_id) AS rank, count(*) OVER () AS n FROM documents),
+train AS (SELECT * FROM ranked WHERE rank <= floor(n * 0.75)),
+test AS (SELECT * FROM ranked WHERE rank > floor(n * 0.75))"""
+
+
+def _block_sql(fitted: str, applied: str) -> str:
+    """Terms of a document that the vocabulary has, and its scaled length."""
+    return f"""found AS (
+      SELECT t.doc_id, count(DISTINCT t.term) AS n FROM terms t JOIN vocabulary v ON t.term = v.term GROUP BY t.doc_id)
+    SELECT d.doc_id, (SELECT count(*) FROM vocabulary) + 1 AS n_features, coalesce(f.n, 0) AS n_terms,
+           round((d.n_chars - (SELECT avg(n_chars) FROM {fitted})) / (SELECT stddev_pop(n_chars) FROM {fitted}), 6)
+             AS scaled_length
+    FROM {applied} d LEFT JOIN found f ON d.doc_id = f.doc_id"""
+
+
+def _blocks(vectors):
+    """The same from feature vectors, which may be sparse or dense."""
+    return vectors.select("doc_id", F.unwrap_udt("features").alias("v")).selectExpr(
+        "doc_id",
+        "if(v.type = 0, v.size, size(v.values)) AS n_features",
+        """if(v.type = 0, size(filter(v.indices, i -> i < v.size - 1)),
+              size(filter(slice(v.values, 1, size(v.values) - 1), x -> x != 0))) AS n_terms""",
+        """round(if(v.type = 1 OR element_at(v.indices, -1) = v.size - 1, element_at(v.values, -1), 0D), 6)
+              AS scaled_length""",
+    )
+
+
+@query("assemble_features", f"WITH {TERMS_SQL}, {_block_sql('documents', 'documents')}")
 def assemble_features(spark, sf):
     rows = scored(spark, sf)
     model = features.fit_features(rows, "text", ["n_chars"], stop_words=STOP_WORDS)
-    vectors = features.assemble_features(rows, model, ["n_chars"], ["doc_id", "lang"])
-    # A row without a vector would be missing here.
-    return vectors.filter(F.col("features").isNotNull()).select("doc_id", "lang")
+    return _blocks(features.assemble_features(rows, model, ["n_chars"], ["doc_id"]))
 
 
-@query("fit_transform_split")
+@query("fit_transform_split", f"WITH {TRAIN_SQL}, {terms_sql('train')}, {_block_sql('train', 'test')}")
 def fit_transform_split(spark, sf):
     train, test = _split(spark, sf)
     model = features.fit_features(train, "text", ["n_chars"], stop_words=STOP_WORDS)
-    vectors = features.assemble_features(test, model, ["n_chars"], ["doc_id"])
-    inside = F.unwrap_udt("features")
-    return vectors.select("doc_id", F.round(F.aggregate(inside["values"], F.lit(0.0), lambda a, x: a + x), 6).alias("total"))
+    return _blocks(features.assemble_features(test, model, ["n_chars"], ["doc_id"]))
 
 
 def _vectors(spark, sf):

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from labelloom.functions.tokens import sql_text
 from labelloom.functions.values import named
 
 # ---- Fixed values: where an answer stands in a text ------------------------------
@@ -32,20 +33,18 @@ def _one_object(json: Column) -> Column:
     return ~inside.rlike(r"[{}]")
 
 
-def _value(label: str, kind: str) -> Column:
-    """A label's number: 0 when the key is absent, -1 when it is not a number."""
-    variant, path = F.col(_VARIANT), _key_path(label)
-    from_variant = F.when(F.variant_get(variant, path, "variant").isNull(), F.lit(0)).otherwise(
-        F.coalesce(F.try_variant_get(variant, path, kind), F.lit(-1))
-    )
+def _value(label: str, kind: str) -> str:
+    """SQL for a label's number: 0 when the key is absent, -1 when it is not a number."""
+    path = sql_text(_key_path(label))
     # Text the variant parser rejects for a repeated key: the last entry counts.
-    entries = F.filter(F.map_entries(F.col(_MAP)), lambda e: e["key"] == F.lit(label))
-    from_pairs = (
-        F.when(F.col(_MAP).isNull(), F.lit(-1))
-        .when(F.size(entries) == 0, F.lit(0))
-        .otherwise(F.coalesce(F.try_element_at(entries, F.lit(-1))["value"].try_cast(kind), F.lit(-1)))
-    )
-    return F.when(variant.isNotNull(), from_variant).otherwise(from_pairs).cast(kind)
+    entries = f"filter(map_entries({_MAP}), e -> e.key = {sql_text(label)})"
+    return f"""CAST(CASE
+      WHEN {_VARIANT} IS NOT NULL THEN CASE
+        WHEN variant_get({_VARIANT}, {path}, 'variant') IS NULL THEN 0
+        ELSE coalesce(try_variant_get({_VARIANT}, {path}, '{kind}'), -1) END
+      WHEN {_MAP} IS NULL THEN -1
+      WHEN size({entries}) = 0 THEN 0
+      ELSE coalesce(try_cast(element_at({entries}, -1).value AS {kind}), -1) END AS {kind})"""
 
 
 def _with_json(df: DataFrame, text: str, fallback: bool) -> DataFrame:
@@ -65,7 +64,8 @@ def _with_json(df: DataFrame, text: str, fallback: bool) -> DataFrame:
 
 def _parsed(df: DataFrame, text: str, labels: Sequence[str], kind: str, fallback: bool) -> DataFrame:
     df = _with_json(df, text, fallback)
-    df = df.withColumn("__values", F.array(*[_value(label, kind) for label in labels]))
+    values = ", ".join(_value(label, kind) for label in labels)
+    df = df.withColumn("__values", F.expr(f"array({values})"))
     valid = (
         (F.col(_JSON) != "")
         & _one_object(F.col(_JSON))
