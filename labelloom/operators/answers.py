@@ -14,8 +14,8 @@ from labelloom.functions.values import named
 TAGGED = r"(?isU)<output>\s*(\{.*?\})\s*</output>"
 FIRST_OBJECT = r"(?s)\{.*?\}"
 
-# Object levels below the outer one that the nesting check looks through.
-INNER_LEVELS = 5
+# A string of a JSON text. Possessive, so a long string needs no deep stack in Java.
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 
 _TAGGED_TEXT, _JSON, _VARIANT, _MAP = "__tagged", "__json", "__variant", "__pairs"
 
@@ -25,12 +25,16 @@ def _key_path(label: str) -> str:
 
 
 def _one_object(json: Column) -> Column:
-    """True when the text is a single object: no brace is left over outside it."""
-    bare = F.regexp_replace(json, r'"(\\.|[^"\\])*"', "")
-    inside = F.substring(bare, F.lit(2), F.length(bare) - 2)
-    for _ in range(INNER_LEVELS):
-        inside = F.regexp_replace(inside, r"\{[^{}]*\}", "")
-    return ~inside.rlike(r"[{}]")
+    """True when the text is a single object: braces outside strings close just once."""
+    braces = F.regexp_extract_all(F.regexp_replace(json, _STRING, ""), F.lit("[{}]"), F.lit(0))
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("closed"))
+
+    def step(state: Column, brace: Column) -> Column:
+        depth = state["depth"] + F.when(brace == "{", 1).otherwise(-1)
+        closed = state["closed"] + F.when(depth == 0, 1).otherwise(0)
+        return F.struct(depth.alias("depth"), closed.alias("closed"))
+
+    return F.aggregate(braces, start, step, lambda s: (s["depth"] == 0) & (s["closed"] == 1))
 
 
 def _value(label: str, kind: str) -> str:

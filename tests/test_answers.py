@@ -39,6 +39,9 @@ CASES = [
     (wrapped('{"a":2147483648}'), [0, 0], "error"),
     (wrapped('{"a":""}'), [0, 0], "error"),
     (wrapped('{"z":{"y":{"x":{"w":{"v":1}}}},"a":1}'), [1, 0], "tagged"),
+    (wrapped('{"z":' * 12 + "{}" + "}" * 11 + ',"a":1}'), [1, 0], "tagged"),
+    (wrapped('{"a":1}, {"b c":1}'), [0, 0], "error"),
+    (wrapped('{"z":"' + "long \\\\" * 20000 + "\\n{" * 20000 + '","a":1}'), [1, 0], "tagged"),
 ]
 # Cases where a vector differs: no fallback, and values must be exactly 0 or 1.
 VECTOR_ZERO = {'{"a": 1}', wrapped('{"a": 1.9}'), wrapped('```json\n{"a": 1}\n```'), wrapped('{"a":-0.5,"b c":" 1 "}')}
