@@ -12,7 +12,7 @@ from labelloom.functions.values import named
 from labelloom.operators import features, forests, scoring, vocabulary
 from labelloom.operators.sampling import chronological_split
 from labelloom.plans.forest import predict_forests, train_forests
-from labelloom.session import new_path
+from labelloom.session import new_path, staged
 from labelloom.sources.models import load_model, save_model
 
 # A fixed short list, so that the SQL can name it.
@@ -213,14 +213,12 @@ def fit_transform_split(spark, sf):
 def _vectors(spark, sf):
     rows = scored(spark, sf)
     model = features.fit_features(rows, "text", ["n_chars"], max_features=500, stop_words=STOP_WORDS)
-    return features.assemble_features(rows, model, ["n_chars"], ["doc_id", *FLAGS])
+    return staged(features.assemble_features(rows, model, ["n_chars"], ["doc_id", *FLAGS]), "features")
 
 
 @query("train_per_label")
 def train_per_label(spark, sf):
-    vectors = _vectors(spark, sf).persist()
-    models = train_label_forests(vectors)
-    vectors.unpersist()
+    models = train_label_forests(_vectors(spark, sf))
     rows = [(label, m.getNumTrees, m.numClasses) for label, m in models.items()]
     return spark.createDataFrame(rows, "label string, n_trees int, n_classes int")
 
@@ -231,7 +229,7 @@ def train_label_forests(vectors):
 
 @query("predict_per_label")
 def predict_per_label(spark, sf):
-    vectors = _vectors(spark, sf).persist()
+    vectors = _vectors(spark, sf)
     models = train_label_forests(vectors)
     models.pop("toxic")
     return forests.predict_per_label(vectors, models, FLAGS)

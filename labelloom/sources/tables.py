@@ -16,7 +16,9 @@ from labelloom.functions.values import named
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """A CSV table with header, quoted line breaks and doubled quotes.
 
-    Without a schema the types are inferred, which reads the files once more.
+    Without a schema the types are inferred, which reads the files once more. A file
+    with line breaks in texts cannot be divided, so it is one task: keep large tables in
+    Parquet, or in many CSV files.
     """
     reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
     if schema is None:
