@@ -9,7 +9,6 @@ from checks.columns import NUMBER_TEXTS, _number_texts
 from checks.metrics import rounded
 from checks.ordering import _LONG_FLAGS
 from checks.views import FLAGS, SCORED_SQL, scored, table, truth
-from labelloom.functions.values import named
 from labelloom.operators import profile
 from labelloom.operators.sampling import chronological_split
 

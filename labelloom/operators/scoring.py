@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from labelloom.functions.prompts import build_prompt
 from labelloom.functions.values import named
 from labelloom.operators.answers import parse_model_output
 from labelloom.operators.columns import shape_result
 
+_TEXT = "__text"
+
 # A scorer maps a list of texts to as many results; a factory makes one per task.
 Scorer = Callable[[list[str]], list]
 
@@ -30,40 +33,41 @@ def score_batches(
 
     The factory runs once per task, so the scorer is loaded there and never sent. It is
     called with batch_size texts at a time, the last call of a task excepted. Kept
-    columns travel along, so results need no join back to their rows.
+    columns travel along as Arrow data, unchanged, so results need no join back.
     """
     kept = list(keep)
-    schema = T.StructType(
-        [df.schema[c] for c in kept] + [T.StructField(name, result_type or T.StringType())]
-    )
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scorer = None
-        for frame in _rebatched(frames, batch_size):
-            scorer = scorer or factory()
-            texts = frame["__text"].tolist()
-            results = scorer(texts)
-            if len(results) != len(texts):
-                raise ValueError(f"scorer gave {len(results)} results for {len(texts)} texts")
-            scored = frame[kept].copy()
-            scored[name] = list(results)
-            yield scored
+    result = T.StructField(name, result_type or T.StringType())
+    schema = T.StructType([df.schema[c] for c in kept] + [result])
+    arrow_type = to_arrow_type(result.dataType)
 
-    rows = df.select(*[named(c) for c in kept], named(text).alias("__text"))
-    return rows.mapInPandas(run, schema)
+    def scored(rows: pa.Table, scorer: Scorer) -> Iterator[pa.RecordBatch]:
+        texts = rows.column(_TEXT).to_pylist()
+        results: list = []
+        for start in range(0, len(texts), batch_size):
+            batch = texts[start : start + batch_size]
+            found = list(scorer(batch))
+            if len(found) != len(batch):
+                raise ValueError(f"scorer gave {len(found)} results for {len(batch)} texts")
+            results.extend(found)
+        out = rows.drop_columns([_TEXT]).append_column(name, pa.array(results, type=arrow_type))
+        yield from out.combine_chunks().to_batches()
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer, rest = None, None
+        for batch in batches:
+            scorer = scorer or factory()
+            rows = pa.Table.from_batches([batch])
+            if rest is not None:
+                rows = pa.concat_tables([rest, rows])
+            full = rows.num_rows - rows.num_rows % batch_size
+            if full:
+                yield from scored(rows.slice(0, full), scorer)
+            rest = rows.slice(full)
+        if rest is not None and rest.num_rows:
+            yield from scored(rest, scorer)
 
-def _rebatched(frames: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
-    """The same rows in frames of exactly size rows, the last one excepted."""
-    rest: pd.DataFrame | None = None
-    for frame in frames:
-        joined = frame if rest is None or rest.empty else pd.concat([rest, frame])
-        full = len(joined) - len(joined) % size
-        for start in range(0, full, size):
-            yield joined.iloc[start : start + size].reset_index(drop=True)
-        rest = joined.iloc[full:]
-    if rest is not None and len(rest):
-        yield rest.reset_index(drop=True)
+    rows = df.select(*[named(c) for c in kept], named(text).alias(_TEXT))
+    return rows.mapInArrow(run, schema)
 
 
 def generative_predict(

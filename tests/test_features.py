@@ -5,6 +5,7 @@ import pytest
 from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from labelloom.config import LabelConfig
 from labelloom.operators import features, forests, scoring, vocabulary
@@ -199,3 +200,19 @@ def test_classification_rows(spark):
     assert all(r["labels"] == [float(r["problem_id"] % 4 == 0)] for r in found)
     with pytest.raises(ValueError, match="output"):
         classification.classification_dataset(rows.drop("output"), ids, config)
+
+
+def test_kept_columns_pass_unchanged(spark):
+    big = 2**62 + 1
+    rows = spark.createDataFrame(
+        [(big, "a", [1, None]), (None, "bb", None)], "id long, text string, items array<int>"
+    ).coalesce(1)
+    scored = scoring.score_batches(
+        rows, "text", vector_factory, ["id", "items"], 8, "scores", T.ArrayType(T.DoubleType())
+    )
+    found = sorted((tuple(r) for r in scored.collect()), key=str)
+    assert found == sorted([(big, [1, None], [1.0, 0.5]), (None, None, [2.0, 0.5])], key=str)
+
+
+def vector_factory():
+    return lambda batch: [[float(len(text)), 0.5] for text in batch]
