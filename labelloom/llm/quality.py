@@ -69,13 +69,14 @@ def _repeated(words: Column) -> Column:
 def _counts(text: Column) -> Column:
     lines = F.filter(F.split(text, "\n"), lambda line: F.rlike(line, F.lit(r"[^\x20\x09-\x0D]")))
     return F.struct(
-        F.length(F.translate(text, " \t\n\x0b\f\r", "")).cast("long").alias("word_chars"),
         (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
         let(lines, lambda kept: F.size(kept) - F.size(F.array_distinct(kept))).cast("long").alias("n_dup_lines"),
         let(
             words_of(text),
             lambda words: F.struct(
-                F.size(words).cast("long").alias("n"), _repeated(words).cast("long").alias("repeated")
+                F.size(words).cast("long").alias("n"),
+                F.length(F.array_join(words, "")).cast("long").alias("chars"),
+                _repeated(words).cast("long").alias("repeated"),
             ),
         ).alias("words"),
     )
@@ -98,7 +99,8 @@ def measure(df: DataFrame, text: str = "text", min_words: int = 50, max_repeat_p
     return counted.select(
         *[F.col(quoted(c)) for c in counted.columns[:-1]],
         words.alias("n_words"),
-        *[counts[n].alias(n) for n in MEASURES[1:4]],
+        counts["words"]["chars"].alias("word_chars"),
+        *[counts[n].alias(n) for n in MEASURES[2:4]],
         repeated.alias("n_repeat_words"),
         ((words < min_words) | (100 * repeated > max_repeat_percent * words)).alias("base_failed"),
     )

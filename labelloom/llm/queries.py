@@ -55,10 +55,13 @@ WITH texts AS (
   SELECT row_number() OVER () AS row_id, doc_id, source, coalesce(text, '') AS text FROM documents
 ), words AS (
   SELECT row_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM texts
+), tokens AS (
+  SELECT row_id, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM words
 ), windows AS (
-  SELECT row_id, unnest(generate_series(1, len(w) - 2)) AS i, w FROM words WHERE len(w) >= 3
+  SELECT row_id, i, w AS a, lead(w) OVER ordered AS b, lead(w, 2) OVER ordered AS c
+  FROM tokens WINDOW ordered AS (PARTITION BY row_id ORDER BY i)
 ), counted AS (
-  SELECT row_id, i, count(*) OVER (PARTITION BY row_id, w[i], w[i + 1], w[i + 2]) AS found FROM windows
+  SELECT row_id, i, count(*) OVER (PARTITION BY row_id, a, b, c) AS found FROM windows WHERE c IS NOT NULL
 ), covered AS (
   SELECT row_id, count(DISTINCT p) AS n
   FROM (SELECT row_id, unnest([i, i + 1, i + 2]) AS p FROM counted WHERE found >= 2) GROUP BY row_id
