@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloom.llm import bpe, packing, quality, warc
+from labelloom.llm import bpe, packing, quality, substrings, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +32,36 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+OP1_SQL = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS row_id, doc_id,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT row_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS digest
+  FROM (SELECT row_id, w, unnest(generate_series(1, len(w) - 34)) AS i FROM texts WHERE len(w) >= 35)
+), repeated AS (
+  SELECT row_id, i FROM windows WHERE digest IN (SELECT digest FROM windows GROUP BY digest HAVING count(*) > 1)
+), removed AS (
+  SELECT DISTINCT row_id, p FROM (SELECT row_id, unnest(generate_series(i, i + 34)) AS p FROM repeated)
+), tokens AS (
+  SELECT row_id, unnest(w) AS w, generate_subscripts(w, 1) AS p FROM texts
+), kept AS (
+  SELECT row_id, string_agg(t.w, ' ' ORDER BY t.p) AS kept, count(*) AS n
+  FROM tokens t ANTI JOIN removed r USING (row_id, p) GROUP BY row_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (row_id)
+"""
+
+
+@query("op1_substring_dedup", OP1_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substrings.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
+    words = quality.words_of(F.coalesce("text", F.lit("")))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.array_join(words, " "), 256).alias("kept_sha256"))
+
+
 @query("op4_harmonic_packing")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"), TOKENIZER)
