@@ -14,8 +14,10 @@ from __future__ import annotations
 
 import hashlib
 import json
+import sys
+from array import array
 from collections.abc import Iterable
-from struct import pack
+from functools import cached_property
 
 import ahocorasick
 import pyarrow as pa
@@ -30,13 +32,17 @@ from labelloom.llm.columns import append_columns, once_per_worker, quoted
 # The split pattern of byte-level files, a fixed value.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+# Letters below this one have been in Unicode from the start.
+OLD_LETTERS = "\u0220"
+MARKS = set(".,;:!?")
+
 # Characters of text encoded together.
-TOGETHER = 4_000_000
+TOGETHER = 2_000_000
 
 # Words kept with their ids in a worker, and seams kept with their verdict. Beyond these
 # the tables are emptied and filled again; results do not depend on them.
-KEPT_WORDS = 400_000
-KEPT_SEAMS = 400_000
+KEPT_WORDS = 150_000
+KEPT_SEAMS = 200_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -49,6 +55,14 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+def packed(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    numbers = array("I", ids)
+    if sys.byteorder == "big":
+        numbers.byteswap()
+    return numbers.tobytes()
+
+
 class BytePairs:
     """A byte-level BPE vocabulary."""
 
@@ -84,26 +98,41 @@ class BytePairs:
         )
         self.pattern = regex.compile(SPLIT)
         self.split = ByteLevel(add_prefix_space=False, use_regex=True)
-        usable: dict[int, bool] = {}
-        self.tokens = ahocorasick.Automaton()
-        for i, spelled in self.spelling.items():
-            if self._is_reachable(i, usable):
-                self.tokens.add_word(spelled.decode("latin-1"), (i, len(spelled)))
-        self.tokens.make_automaton()
         for text, i in self.special.items():
             self.spelling[i] = text.encode()
         self.seams: dict[int, bool] = {}
 
+    @cached_property
+    def tokens(self) -> ahocorasick.Automaton:
+        """Finds all tokens in a string, with their ids and lengths, longest first."""
+        usable: dict[int, bool] = {}
+        tokens = ahocorasick.Automaton()
+        for i in self.rank:
+            if self._is_reachable(i, usable):
+                tokens.add_word(self.spelling[i].decode("latin-1"), (i, len(self.spelling[i])))
+        tokens.make_automaton()
+        return tokens
+
     def pieces(self, text: str) -> list[bytes]:
         """The text cut by the split pattern, as the library itself cuts it.
 
         Letters that have been in Unicode from the start are cut by the same pattern here,
         which is faster; for the rest the library's own tables of letters decide.
         """
-        if text.isascii() or max(text) < "\u0220":
+        if text.isascii() or max(text) < OLD_LETTERS:
             return [p.encode() for p in self.pattern.findall(text)]
         return [text[a:b].encode() for _, (a, b) in self.split.pre_tokenize_str(text)]
 
+    def segments(self, text: str) -> list[tuple[str, bytes]]:
+        """The stretches of plain text, each with the special token after it."""
+        if self.special_pattern is None or not any(s in text for s in self.special):
+            return [(text, b"")]
+        found, at = [], 0
+        for match in self.special_pattern.finditer(text):
+            found.append((text[at : match.start()], packed([self.special[match[0]]])))
+            at = match.end()
+        return [*found, (text[at:], b"")]
+
     def _holds(self, a: int, b: int, limit: int) -> bool:
         """Whether no merge across the seam of a and b comes before rank limit."""
         merge, rank, parts = self.merge, self.rank, self.parts
@@ -147,9 +176,9 @@ class BytePairs:
         before = b""
         result: dict[bytes, bytes] = {}
         for word in sorted(words):
-            shared, most = 0, min(len(before), len(word))
-            while shared < most and before[shared] == word[shared]:
-                shared += 1
+            most = min(len(before), len(word))
+            differs = int.from_bytes(before[:most]) ^ int.from_bytes(word[:most])
+            shared = most - (differs.bit_length() + 7) // 8
             del last[shared + 1 :], length[shared + 1 :]
             # Every token that ends below the shared node begins at most this far above it.
             above = shared - longest if shared > longest else 0
@@ -172,7 +201,8 @@ class BytePairs:
             while at:
                 ids.append(last[at])
                 at -= length[at]
-            result[word] = pack(f"<{len(ids)}I", *reversed(ids))
+            ids.reverse()
+            result[word] = packed(ids)
             before = word
         return result
 
@@ -191,11 +221,24 @@ class Encoder:
         self.inner: dict[str, bytes | bool] = {}
         self.first: dict[str, bytes | bool] = {}
         self.older: dict[str, bytes | bool] = {}
+        self.marks = {m: pairs.encode_words([m.encode()])[m.encode()] for m in MARKS}
 
     def _learn(self, kept: dict[str, bytes | bool], parts: set[str], lead: str) -> None:
         """Adds the parts' ids; False for those the whole text must be split for."""
         pieces: dict[str, list[bytes]] = {}
         for part in parts:
+            if part.isascii() or (part and max(part) < OLD_LETTERS):
+                # The usual cases of the split pattern: letters, and letters with a mark after them.
+                if part.isalpha():
+                    pieces[part] = [(lead + part).encode()]
+                    continue
+                if part[-1:] in MARKS and part[:-1].isalpha():
+                    known = kept.get(part[:-1])
+                    if known:
+                        kept[part] = known + self.marks[part[-1]]
+                    else:
+                        pieces[part] = [(lead + part[:-1]).encode(), part[-1].encode()]
+                    continue
             if not part or part[0].isspace() or part[-1].isspace():
                 kept[part] = False
             else:
@@ -209,16 +252,6 @@ class Encoder:
         ids = self.pairs.encode_words(set(pieces))
         return b"".join([ids[p] for p in pieces])
 
-    def _segments(self, text: str) -> list[tuple[str, bytes]]:
-        """The stretches of plain text, each with the special token after it."""
-        if self.pairs.special_pattern is None or not any(s in text for s in self.pairs.special):
-            return [(text, b"")]
-        found, at = [], 0
-        for match in self.pairs.special_pattern.finditer(text):
-            found.append((text[at : match.start()], pack("<I", self.pairs.special[match[0]])))
-            at = match.end()
-        return [*found, (text[at:], b"")]
-
     def encode_batch(self, texts: Iterable[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; null is empty."""
         result: list[bytes] = []
@@ -239,7 +272,7 @@ class Encoder:
         new_first: set[str] = set()
         found, gaps = [], []
         for text in texts:
-            for segment, special in self._segments(text):
+            for segment, special in self.pairs.segments(text):
                 parts = segment.split(" ")
                 head = parts[0]
                 if head not in first:
@@ -265,7 +298,7 @@ class Encoder:
         for ids, at in gaps:
             ids[at] = self.inner[ids[at]]
         encoded = iter([self._join(*each) for each in found])
-        return [b"".join([next(encoded) for _ in self._segments(text)]) for text in texts]
+        return [b"".join([next(encoded) for _ in self.pairs.segments(text)]) for text in texts]
 
     def _join(self, segment: str, ids: list, special: bytes) -> bytes:
         if not segment:
@@ -293,8 +326,11 @@ class SharedTokenizer:
         self.key = hashlib.sha256(text.encode()).hexdigest()
         self._sent = spark.sparkContext.broadcast(text)
 
+    def text(self) -> str:
+        return self._sent.value
+
     def pairs(self) -> BytePairs:
-        return once_per_worker(("pairs", self.key), lambda: BytePairs(self._sent.value))
+        return once_per_worker(("pairs", self.key), lambda: BytePairs(self.text()))
 
     def encoder(self) -> Encoder:
         return once_per_worker(("encoder", self.key), lambda: Encoder(self.pairs()))
@@ -317,8 +353,21 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", count
     return append_columns(df, [text], [(ids, T.BinaryType()), (count, T.LongType())], run)
 
 
+def _spelled(pairs: BytePairs, ids: bytes | None) -> str:
+    """The text of packed ids."""
+    numbers = array("I", ids or b"")
+    if sys.byteorder == "big":
+        numbers.byteswap()
+    spelling = pairs.spelling
+    try:
+        raw = b"".join(map(spelling.__getitem__, numbers))
+    except KeyError:
+        raw = b"".join([spelling.get(i, b"") for i in numbers])
+    return raw.decode("utf-8", "replace")
+
+
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """Adds the text of each row's ids, special tokens included.
+    """Adds the text of each row's packed ids, special tokens included.
 
     Bytes that are no UTF-8 become the replacement character. Null ids give an empty
     text; an id outside the vocabulary is left out, as in the tokenizers library.
@@ -326,20 +375,39 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
     shared = SharedTokenizer(df.sparkSession, path)
 
     def run(column: pa.Array) -> list[pa.Array]:
-        spelling = shared.pairs().spelling
-        made = []
-        for packed in column.to_pylist():
-            numbers = memoryview(packed or b"").cast("I") if packed else ()
-            made.append(b"".join([spelling.get(i, b"") for i in numbers]).decode("utf-8", "replace"))
-        return [pa.array(made, pa.string())]
+        pairs = shared.pairs()
+        return [pa.array([_spelled(pairs, own) for own in column.to_pylist()], pa.string())]
 
     return append_columns(df, [ids], [(text, T.StringType())], run)
 
 
+def encode_and_decode(
+    df: DataFrame, path: str, text: str = "text", ids: str = "ids", count: str = "n_tokens", decoded: str = "decoded"
+) -> DataFrame:
+    """encode and decode one after the other in the same worker, with the results of both."""
+    shared = SharedTokenizer(df.sparkSession, path)
+
+    def run(texts: pa.Array) -> list[pa.Array]:
+        pairs = shared.pairs()
+        made = shared.encoder().encode_batch(texts.to_pylist())
+        return [
+            pa.array(made, pa.binary()),
+            pa.array([len(m) // 4 for m in made], pa.int64()),
+            pa.array([_spelled(pairs, m) for m in made], pa.string()),
+        ]
+
+    return append_columns(
+        df, [text], [(ids, T.BinaryType()), (count, T.LongType()), (decoded, T.StringType())], run
+    )
+
+
 def id_array(ids: str = "ids"):
     """The packed ids as an array of numbers, for readers that want them apart."""
     digits = F.hex(F.col(quoted(ids)))
-    return F.transform(
+    numbers = F.transform(
         F.sequence(F.lit(1), F.length(digits), F.lit(8)),
-        lambda at: F.conv(F.reverse(F.regexp_replace(F.substring(digits, at, F.lit(8)), "(.)(.)", "$2$1")), 16, 10).cast("int"),
+        lambda at: F.conv(
+            F.reverse(F.regexp_replace(F.substring(digits, at, F.lit(8)), "(.)(.)", "$2$1")), 16, 10
+        ).cast("int"),
     )
+    return F.when(F.length(digits) > 0, numbers).otherwise(F.array().cast("array<int>"))

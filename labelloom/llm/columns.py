@@ -17,6 +17,9 @@ from pyspark.sql import types as T
 # What Python's bytes.split() and the contracts' pattern [^\x20\x09-\x0D]+ divide at.
 WHITE = " \t\n\x0b\f\r"
 
+# Rows worked on together in a task.
+ROWS_TOGETHER = 500
+
 Field = tuple[str, T.DataType]
 
 
@@ -42,6 +45,13 @@ def once_per_worker(key: object, make: Callable[[], object]) -> object:
     return store[key]
 
 
+def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of few rows, so that what is made of a part stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS_TOGETHER):
+            yield batch.slice(at, ROWS_TOGETHER)
+
+
 def append_columns(
     df: DataFrame,
     inputs: Sequence[str],
@@ -66,13 +76,10 @@ def append_columns(
     width = len(kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            made = function(*[batch.column(width + i) for i in range(len(marked))])
+        for part in slices(batches):
+            made = function(*[part.column(width + i) for i in range(len(marked))])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(i) for i in range(width)] + list(made),
-                [batch.schema.names[i] for i in range(width)] + names,
+                [part.column(i) for i in range(width)] + list(made), part.schema.names[:width] + names
             )
 
     return source.mapInArrow(run, schema)

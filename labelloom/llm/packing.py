@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from labelloom.llm.bpe import SharedTokenizer
 from labelloom.llm.columns import quoted
+from labelloom.llm.library_ids import library_encoder
 
 PIECE = [
     ("start", T.LongType()),
@@ -141,7 +142,7 @@ def pack(
             for at in range(0, batch.num_rows, TOGETHER):
                 texts = batch.column(len(carry)).slice(at, TOGETHER).to_pylist()
                 ready: list[tuple] = []
-                for i, ids in enumerate(shared.encoder().encode_batch(texts), at):
+                for i, ids in enumerate(library_encoder(shared).encode_batch(texts), at):
                     ids += closing
                     key = keys[i] if carry else ()
                     for start, size in cuts(len(ids) // 4, capacity):
