@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloom.llm import packing, quality
+from labelloom.llm import lines, near_duplicates, packing, quality, substrings
 from labelloom.llm.columns import quoted
 from labelloom.llm.queries import TOKENIZER
 from labelloom.session import staged
@@ -15,10 +15,33 @@ from labelloom.session import staged
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _as_documents(docs: DataFrame, changed: DataFrame, text_changed: bool = False) -> DataFrame:
+    """The columns of the documents, with n_chars brought up to date where texts were cut."""
+    columns = {c: F.col(quoted(c)) for c in docs.columns}
+    if text_changed and "n_chars" in columns:
+        kind = docs.schema["n_chars"].dataType
+        columns["n_chars"] = F.length(F.col("text")).cast(kind).alias("n_chars")
+    return changed.select(*columns.values())
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the rules, and whose host does."""
-    judged = quality.judge(docs)
-    return judged.filter("kept").select(*[F.col(quoted(c)) for c in docs.columns])
+    return _as_documents(docs, quality.judge(docs).filter("kept"))
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without lines that are near copies of earlier ones."""
+    return _as_documents(docs, lines.remove_near_lines(docs), text_changed=True)
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the smallest id, of each group of near duplicates."""
+    return _as_documents(docs, near_duplicates.components(docs).filter("kept"))
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without passages of 35 words or more that occur elsewhere too."""
+    return _as_documents(docs, substrings.remove_repeats(docs), text_changed=True)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,6 +51,9 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality rules", keep_good),
+    ("line dedup", drop_repeated_lines),
+    ("near dedup", keep_one_of_each),
+    ("substring dedup", cut_repeats),
     ("packing", pack_sequences),
 ]
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloom.llm import bpe, packing, quality, substrings, warc
+from labelloom.llm import bpe, lines, main_text, near_duplicates, packing, quality, substrings, token_counts, top_k, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,16 +62,96 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.array_join(words, " "), 256).alias("kept_sha256"))
 
 
+OP2_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, CAST(i - 1 AS INTEGER) AS line,
+         list_distinct(regexp_extract_all(string_split(coalesce(text, ''), chr(10))[i], '[^\x20\x09-\x0D]+')) AS w
+  FROM (SELECT doc_id, text, unnest(generate_series(1, len(string_split(coalesce(text, ''), chr(10))))) AS i FROM documents)
+), sets AS (
+  SELECT min({'doc_id': doc_id, 'line': line}) AS id, list_sort(w) AS w, len(w) AS n
+  FROM lines WHERE len(w) > 0 GROUP BY list_sort(w), len(w)
+), frequency AS (
+  SELECT w, count(*) AS f FROM (SELECT unnest(w) AS w FROM sets) GROUP BY w
+), tokens AS (
+  SELECT id, n, w, row_number() OVER (PARTITION BY id ORDER BY f, w) AS place
+  FROM (SELECT id, n, unnest(w) AS w FROM sets) JOIN frequency USING (w)
+), prefixes AS (
+  SELECT * FROM tokens WHERE place <= n - ceil(n * 8 / 10) + 1
+), pairs AS (
+  SELECT DISTINCT x.id AS a, y.id AS b FROM prefixes x JOIN prefixes y ON x.w = y.w AND y.id < x.id
+  WHERE 10 * least(x.n, y.n) >= 8 * greatest(x.n, y.n)
+), later AS (
+  SELECT DISTINCT a FROM (
+    SELECT a, x.n AS n, y.n AS m, len(list_intersect(x.w, y.w)) AS shared
+    FROM pairs JOIN sets x ON x.id = a JOIN sets y ON y.id = b
+  ) WHERE 10 * shared >= 8 * (n + m - shared)
+)
+SELECT id.doc_id AS doc_id, id.line AS line, CAST(n AS INTEGER) AS n_distinct_words
+FROM sets WHERE id NOT IN (SELECT a FROM later)
+"""
+
+
+@query("op2_line_dedup", OP2_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.kept_lines(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return kept.select(F.col("doc").alias("doc_id"), "line", F.col("n").alias("n_distinct_words"))
+
+
+@query("op3_html_main_text")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    return main_text.extract(pages).drop("html")
+
+
 @query("op4_harmonic_packing")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"), TOKENIZER)
     return packed.drop("piece_ids")
 
 
+OP5_SQL = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, md5(array_to_string(w[i:i + 4], ' ')) AS s
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM texts WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS (
+  SELECT x.doc_id AS a, y.doc_id AS b
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id
+  JOIN sizes n ON n.doc_id = x.doc_id JOIN sizes m ON m.doc_id = y.doc_id
+  GROUP BY x.doc_id, y.doc_id, n.n, m.n HAVING 100 * count(*) >= 85 * (n.n + m.n - count(*))
+), arcs AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reached AS (
+  SELECT doc_id, doc_id AS other FROM texts
+  UNION
+  SELECT r.doc_id, arcs.b FROM reached r JOIN arcs ON arcs.a = r.other
+)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id, n
+"""
+
+
+@query("op5_minhash_dedup", OP5_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    linked = near_duplicates.components(docs, percent=85, collections=12)
+    return linked.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op6_token_counts")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents", "doc_id", "text"), TOKENIZER)
+
+
 @query("op7_bpe_trie")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe.encode(table(spark, sf_dir, "documents", "doc_id", "text"), TOKENIZER).drop("text")
-    decoded = bpe.decode(encoded, TOKENIZER)
+    decoded = bpe.encode_and_decode(table(spark, sf_dir, "documents", "doc_id", "text"), TOKENIZER)
     return decoded.select(
         "doc_id",
         "n_tokens",
@@ -133,6 +213,26 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality.MEASURES, "base_failed", "kept")
 
 
+OP9_SQL = """
+WITH sound AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, d.vec_id, CAST(list_inner_product(q.v, d.v) AS BIGINT) AS score
+  FROM sound q JOIN sound d ON q.vec_id <> d.vec_id WHERE q.vec_id % 20 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+@query("op9_cover_tree_top_k", OP9_SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return top_k.search(vectors, F.col("id") % 20 == 0)
+
+
 OP10_SQL = """
 WITH payloads AS (
   SELECT page_id, coalesce(html, '') AS payload, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes FROM pages
