@@ -76,6 +76,16 @@ def instance_metrics(spark, sf):
     return metrics.instance_metrics(scored(spark, sf), FLAGS)
 
 
+STATS = [
+    "total_samples",
+    "perfect_match_count",
+    "perfect_match_percent",
+    "at_least_one_correct",
+    "at_least_one_correct_percent",
+    "no_wrong_and_some_correct",
+    "no_wrong_and_some_correct_percent",
+]
+
 BUNDLE_SQL = f"""WITH {COUNTS}, total AS ({MICRO}), micro AS (SELECT {prf()} FROM total),
 per AS (SELECT label, {prf()}, ap FROM counts), inst AS ({INSTANCE})
 SELECT 'per_tag' AS section, label AS key, 'precision' AS metric, precision AS value FROM per
@@ -86,10 +96,7 @@ UNION ALL SELECT 'macro', '', 'f1_score', round({MACRO}, 6) FROM counts
 UNION ALL SELECT 'micro', '', 'precision', precision FROM micro
 UNION ALL SELECT 'micro', '', 'recall', recall FROM micro
 UNION ALL SELECT 'micro', '', 'f1_score', f1_score FROM micro
-UNION ALL SELECT 'stats', '', 'total_samples', CAST(total_samples AS DOUBLE) FROM inst
-UNION ALL SELECT 'stats', '', 'perfect_match_percent', perfect_match_percent FROM inst
-UNION ALL SELECT 'stats', '', 'at_least_one_correct', CAST(at_least_one_correct AS DOUBLE) FROM inst
-UNION ALL SELECT 'stats', '', 'no_wrong_and_some_correct', CAST(no_wrong_and_some_correct AS DOUBLE) FROM inst"""
+""" + " ".join(f"UNION ALL SELECT 'stats', '', '{m}', CAST({m} AS DOUBLE) FROM inst" for m in STATS)
 
 
 def bundle_rows(bundle):
@@ -105,7 +112,7 @@ def bundle_rows(bundle):
     fixed = [cell("macro", none, "f1_score", F.col("macro_average_f1"))]
     for m in ("precision", "recall", "f1_score"):
         fixed.append(cell("micro", none, m, F.col("micro_average_metrics")[m]))
-    for m in ("total_samples", "perfect_match_percent", "at_least_one_correct", "no_wrong_and_some_correct"):
+    for m in STATS:
         fixed.append(cell("stats", none, m, F.col("custom_stats")[m]))
     per_label = bundle.select(F.explode("per_tag_metrics").alias("k", "v"))
     rows = [cell("per_tag", F.col("k"), m, F.col("v")[m]) for m in ("precision", "recall", "f1_score", "support")]
@@ -119,26 +126,27 @@ def evaluation_bundle(spark, sf):
 
 # ---- raw scores --------------------------------------------------------------------
 
-LOGITS = ["first", "second", "third"]
-LOGITS_SQL = """
-probs AS (
-  SELECT vec_id, label, 1.0 / (1.0 + exp(-CAST(embedding[1] AS DOUBLE) * 10)) AS p1,
-         1.0 / (1.0 + exp(-CAST(embedding[2] AS DOUBLE) * 10)) AS p2,
-         1.0 / (1.0 + exp(-CAST(embedding[3] AS DOUBLE) * 10)) AS p3
-  FROM embeddings)"""
+# Every element of a test vector is a label; the vectors have 64.
+N_LOGITS = 64
+LOGITS = [f"label_{i}" for i in range(1, N_LOGITS + 1)]
+_PROB = "1.0 / (1.0 + exp(-CAST(embedding[{i}] AS DOUBLE) * 10))"
+LOGITS_SQL = "probs AS (SELECT vec_id, label, " + ", ".join(
+    f"{_PROB.format(i=i)} AS p{i}" for i in range(1, N_LOGITS + 1)
+) + " FROM embeddings)"
 
 
 def _logits(spark, sf):
-    scores = F.transform(F.slice("embedding", 1, 3), lambda x: x.cast("double") * 10)
+    scores = F.transform("embedding", lambda x: x.cast("double") * 10)
     return table(spark, sf, "embeddings").select("vec_id", "label", scores.alias("scores"))
 
 
 @query(
     "sigmoid_threshold",
-    f"""WITH {LOGITS_SQL}
-    SELECT vec_id, round(p1, 6) AS prob_first, round(p2, 6) AS prob_second, round(p3, 6) AS prob_third,
-           CAST(p1 >= 0.5 AS INTEGER) AS pred_first, CAST(p2 >= 0.5 AS INTEGER) AS pred_second,
-           CAST(p3 >= 0.5 AS INTEGER) AS pred_third FROM probs""",
+    f"WITH {LOGITS_SQL} SELECT vec_id, "
+    + ", ".join(
+        f"round(p{i}, 6) AS prob_label_{i}, CAST(p{i} >= 0.5 AS INTEGER) AS pred_label_{i}" for i in range(1, N_LOGITS + 1)
+    )
+    + " FROM probs",
 )
 def sigmoid_threshold(spark, sf):
     return rounded(metrics.sigmoid_threshold(_logits(spark, sf), "scores", LOGITS).drop("scores", "label"))
@@ -146,9 +154,9 @@ def sigmoid_threshold(spark, sf):
 
 _SCORE_CELLS = " UNION ALL ".join(
     f"SELECT {i} AS label_no, CAST(label % {i + 1} = 0 AS INTEGER) AS t, CAST(p{i} >= 0.5 AS INTEGER) AS p FROM probs"
-    for i in (1, 2, 3)
+    for i in range(1, N_LOGITS + 1)
 )
-_SCORE_EXACT = " AND ".join(f"(label % {i + 1} = 0) = (p{i} >= 0.5)" for i in (1, 2, 3))
+_SCORE_EXACT = " AND ".join(f"(label % {i + 1} = 0) = (p{i} >= 0.5)" for i in range(1, N_LOGITS + 1))
 
 
 @query(

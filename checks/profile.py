@@ -263,6 +263,9 @@ def _report_sql() -> str:
     rows = ["SELECT 'table' AS section, '' AS key, 'n_rows' AS metric, CAST(count(*) AS DOUBLE) AS value FROM texts"]
     for c in _REPORT_COLUMNS:
         rows.append(f"SELECT 'missing', '{c}', 'n_missing', CAST(count(*) - count({c}) AS DOUBLE) FROM texts")
+    for a in _REPORT_FLAGS:
+        for b in _REPORT_FLAGS:
+            rows.append(f"""SELECT 'cooccurrence', '{a}|{b}', 'n_rows', CAST(sum("{a}" * "{b}") AS DOUBLE) FROM texts""")
     per_row = """(SELECT english + "long text" AS k, count(*) AS n FROM texts GROUP BY 1)"""
     rows.append(f"SELECT 'labels_per_row', CAST(k AS VARCHAR), 'n_rows', CAST(n AS DOUBLE) FROM {per_row}")
     rows.append(

@@ -86,6 +86,10 @@ def sampling_key(row_id: Column, seed: int) -> Column:
 
 
 def fingerprint(columns: Sequence[Column]) -> Column:
-    """Hex digest of a row's values, nulls told apart from texts."""
-    parts = [F.coalesce(c.cast("string"), F.lit("\x00")) for c in columns]
-    return F.md5(F.concat_ws("\x1f", *parts))
+    """Hex digest of a row's values. Each is written with its length, a null as '-'."""
+
+    def part(column: Column) -> Column:
+        text = column.cast("string")
+        return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+    return F.md5(F.concat(*[part(c) for c in columns]))

@@ -48,7 +48,7 @@ def _value(label: str, kind: str) -> str:
         ELSE coalesce(try_variant_get({_VARIANT}, {path}, '{kind}'), -1) END
       WHEN {_MAP} IS NULL THEN -1
       WHEN size({entries}) = 0 THEN 0
-      ELSE coalesce(try_cast(element_at({entries}, -1).value AS {kind}), -1) END AS {kind})"""
+      ELSE coalesce(try_variant_get(element_at({entries}, -1).value, '$', '{kind}'), -1) END AS {kind})"""
 
 
 def _with_json(df: DataFrame, text: str, fallback: bool) -> DataFrame:
@@ -62,7 +62,7 @@ def _with_json(df: DataFrame, text: str, fallback: bool) -> DataFrame:
     df = df.withColumn(
         _VARIANT, F.when(F.col(_JSON) != "", F.try_parse_json(F.col(_JSON)))
     )
-    pairs = F.from_json(F.col(_JSON), "map<string,string>", {"allowSingleQuotes": "false"})
+    pairs = F.from_json(F.col(_JSON), "map<string,variant>", {"allowSingleQuotes": "false"})
     return df.withColumn(_MAP, F.when(F.col(_VARIANT).isNull() & (F.col(_JSON) != ""), pairs))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -36,10 +37,12 @@ def select_available(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
     return df.select(*[named(c) for c in wanted if c in df.columns])
 
 
-def require_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
-    """Raises with the missing names before any job starts."""
+def require_columns(df: DataFrame, required: Sequence[str], warn_only: bool = False) -> DataFrame:
+    """Raises with the missing names before any job starts, or only warns of them."""
     missing = [c for c in required if c not in df.columns]
-    if missing:
+    if missing and warn_only:
+        warnings.warn(f"missing columns: {missing}", stacklevel=2)
+    elif missing:
         raise ValueError(f"missing required columns: {missing}")
     return df
 

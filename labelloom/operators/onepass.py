@@ -23,6 +23,8 @@ class Statistic:
     rows: list[dict[str, str]] = field(default_factory=list)
     # Rows whose condition is not true are left out.
     shown: list[str] = field(default_factory=list)
+    # Columns of the result, for a statistic that may have no rows.
+    columns: str = ""
 
     def value(self, name: str, column: Column) -> str:
         """A value computed once per row, however many aggregates read it."""
@@ -41,12 +43,16 @@ def totals(df: DataFrame, statistics: Sequence[Statistic]) -> DataFrame:
     for statistic in statistics:
         values.update(statistic.values)
         wanted.update(statistic.aggregates)
+    if not wanted:
+        return df.limit(0).select()
     read = df.select(*[column.alias(name) for name, column in values.items()])
     return read.selectExpr(*[f"{sql} AS {name}" for name, sql in wanted.items()])
 
 
 def spread(row: DataFrame, statistic: Statistic) -> DataFrame:
     """The result rows of a statistic from the one row of totals."""
+    if not statistic.rows and statistic.columns:
+        return row.sparkSession.createDataFrame([], statistic.columns)
     structs = []
     for made, shown in zip(statistic.rows, statistic.shown, strict=True):
         cells = ", ".join(f"{sql} AS `{name}`" for name, sql in made.items())

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations_with_replacement
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelloom.functions.tokens import sql_text
@@ -58,7 +58,9 @@ def parsed_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def label_distribution(df: DataFrame, labels: Sequence[str]) -> DataFrame:
     """Rows and percent of rows per label, 0 on an empty table."""
-    stat = Statistic(aggregates={_ROWS: "count(*)"})
+    stat = Statistic(
+        aggregates={_ROWS: "count(*)"}, columns="label string, n_rows long, percent double"
+    )
     for i, (label, flag) in enumerate(_flags(df, labels).items()):
         stat.aggregates[f"sum{i}"] = f"coalesce(sum({stat.value(f'flag{i}', flag)}), 0L)"
         stat.add(label=sql_text(label), n_rows=f"sum{i}", percent=_percent(f"sum{i}"))
@@ -67,7 +69,10 @@ def label_distribution(df: DataFrame, labels: Sequence[str]) -> DataFrame:
 
 def class_counts(df: DataFrame, labels: Sequence[str]) -> DataFrame:
     """Rows per class and label, before and after undersampling."""
-    stat = Statistic(aggregates={_ROWS: "count(*)"})
+    stat = Statistic(
+        aggregates={_ROWS: "count(*)"},
+        columns="label string, class_value int, n_before long, n_after long",
+    )
     for i, (label, flag) in enumerate(_flags(df, labels).items()):
         stat.aggregates[f"ones{i}"] = f"count_if({stat.value(f'flag{i}', flag)} = 1)"
         ones, zeros = f"ones{i}", f"({_ROWS} - ones{i})"
@@ -83,32 +88,25 @@ def class_counts(df: DataFrame, labels: Sequence[str]) -> DataFrame:
     return one_pass(df, stat)
 
 
+def _together(flags: dict[str, Column]) -> Statistic:
+    """Sums of the products of every two labels, each made once."""
+    stat = Statistic(columns="label_a string, label_b string, n_rows long")
+    names = list(flags)
+    for i, name in enumerate(names):
+        stat.value(f"flag{i}", flags[name])
+    for i, j in combinations_with_replacement(range(len(names)), 2):
+        stat.aggregates[f"both{i}_{j}"] = f"coalesce(sum(flag{i} * flag{j}), 0L)"
+        for a, b in {(i, j), (j, i)}:
+            stat.add(label_a=sql_text(names[a]), label_b=sql_text(names[b]), n_rows=f"both{i}_{j}")
+    return stat
+
+
 def label_cooccurrence(df: DataFrame, labels: Sequence[str]) -> DataFrame:
     """Rows that have both labels, for every pair; a label with itself is its support.
 
-    Each row counts once per label it has, against the flags of all labels, so the work
-    grows with the labels set and not with pairs of rows.
+    For labels that are not 0 and 1 it is the sum of the products, so the table is symmetric.
     """
-    flags = _flags(df, labels)
-    names = list(flags)
-    vector = F.array(*[F.when(flags[n] != 0, F.lit(i)) for i, n in enumerate(names)])
-    flat = df.select(
-        F.explode(F.array_compact(vector)).alias("i"),
-        *[(flags[n] * 1).alias(f"f{j}") for j, n in enumerate(names)],
-    )
-    sums = flat.groupBy("i").agg(*[F.sum(f"f{j}").alias(f"s{j}") for j in range(len(names))])
-    # All labels, also those no row has: one row each, as many as there are columns.
-    every = df.sparkSession.createDataFrame(list(enumerate(names)), "i int, label_a string")
-    cells = F.array(
-        *[
-            F.struct(F.lit(n).alias("label_b"), F.coalesce(F.col(f"s{j}"), F.lit(0)).alias("n_rows"))
-            for j, n in enumerate(names)
-        ]
-    )
-    joined = every.join(sums, "i", "left")
-    return joined.select("label_a", F.inline(cells)).select(
-        "label_a", "label_b", F.col("n_rows").cast("long")
-    )
+    return one_pass(df, _together(_flags(df, labels)))
 
 
 def _active(stat: Statistic, flags: dict[str, Column]) -> str:
@@ -118,22 +116,31 @@ def _active(stat: Statistic, flags: dict[str, Column]) -> str:
 
 
 def _per_row(flags: dict[str, Column]) -> Statistic:
+    """Rows per sum of 0/1 labels; rows with any other sum are counted together."""
     stat = Statistic(aggregates={_ROWS: "count(*)"})
     active = _active(stat, flags)
-    for n in range(len(flags) + 1):
-        stat.aggregates[f"active{n}"] = f"count_if({active} = {n})"
+    found = {str(n): f"{active} = {n}" for n in range(len(flags) + 1)}
+    found["other"] = f"{active} NOT BETWEEN 0 AND {len(flags)}"
+    for i, (n, condition) in enumerate(found.items()):
+        stat.aggregates[f"active{i}"] = f"count_if({condition})"
         stat.add(
-            shown=f"active{n} > 0",
-            n_labels=str(n),
-            n_rows=f"active{n}",
-            percent=_percent(f"active{n}"),
+            shown=f"active{i} > 0",
+            n_labels=sql_text(n),
+            n_rows=f"active{i}",
+            percent=_percent(f"active{i}"),
         )
     return stat
 
 
 def labels_per_row(df: DataFrame, labels: Sequence[str]) -> DataFrame:
-    """Rows and percent of rows per number of labels set, for numbers that occur."""
-    return one_pass(df, _per_row(_flags(df, labels)))
+    """Rows and percent of rows per sum of labels, for sums that occur, whatever they are.
+
+    The rows of a sum are counted before the shuffle; there are few sums.
+    """
+    active = sum(_flags(df, labels).values(), F.lit(0))
+    counted = df.select(active.cast("int").alias("n_labels")).groupBy("n_labels").agg(F.count("*").alias("n_rows"))
+    total = F.sum("n_rows").over(Window.partitionBy(F.lit(0)))
+    return counted.select("n_labels", "n_rows", (F.col("n_rows") * 100.0 / total).alias("percent"))
 
 
 def _average(flags: dict[str, Column]) -> Statistic:
@@ -162,7 +169,9 @@ def split_sizes(df: DataFrame, split: str = "split") -> DataFrame:
 
 
 def _drift(df: DataFrame, labels: Sequence[str], split: str) -> Statistic:
-    stat = Statistic()
+    stat = Statistic(
+        columns="position int, label string, train_percent double, test_percent double, drift double"
+    )
     side = stat.value("side", named(split))
     for i, (label, column) in enumerate(resolve_label_columns(df, labels).items()):
         flag = stat.value(f"flag{i}", named(column).cast("double"))
@@ -303,11 +312,16 @@ def profile_report(
     texts: Sequence[str],
     columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """All of the above but co-occurrence as (section, key, metric, value), from one scan."""
+    """All of the above as (section, key, metric, value), from one scan.
+
+    Sums of labels beyond the number of labels, which only labels other than 0 and 1 can
+    have, are one key "other" here; labels_per_row tells them apart.
+    """
     flags, numbers = _flags(df, labels), _numbers(df, numeric)
     parts: list[tuple[str, Statistic, list[str], list[str]]] = [
         ("missing", _missing(columns or df.columns), ["column"], ["n_missing"]),
         ("labels_per_row", _per_row(flags), ["n_labels"], ["n_rows", "percent"]),
+        ("cooccurrence", _together(flags), ["label_a", "label_b"], ["n_rows"]),
         ("avg_labels", _average(flags), [], ["avg_labels"]),
         ("text", _texts(df, texts), ["column"], ["missing_percent", "avg_length"]),
     ]

@@ -109,17 +109,23 @@ def chronological_split(
 
 
 def validation_split(
-    df: DataFrame, percent: float, id_column: str, seed: int = 42, name: str = "split"
+    df: DataFrame,
+    percent: float,
+    id_column: str,
+    seed: int = 42,
+    name: str = "split",
+    smallest: int = 11,
 ) -> DataFrame:
     """Adds 'validation' for a seeded ceil(n * percent / 100) rows, 'train' for the rest.
 
-    No row is held out when percent is not positive or the table has at most 10 rows.
+    No row is held out when percent is not positive or the table has fewer rows than
+    ``smallest``.
     """
     key = sampling_key(named(id_column), seed)
 
     def wanted(sizes: dict[str, int]) -> dict[str, int]:
         total = sizes["all"]
-        held = math.ceil(total * (percent / 100.0)) if percent > 0 and total > 10 else 0
+        held = math.ceil(total * (percent / 100.0)) if percent > 0 and total >= smallest else 0
         return {"all": held}
 
     cuts, _ = _smallest_keys(df.select(key.alias(_KEY)), {"all": F.lit(1)}, wanted)

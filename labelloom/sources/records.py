@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 BAD = "__bad_record"
 FILE = "__file"
+RECORD = "__record"
+OBJECT = "__object"
 
 # ---- Fixed values: the raw record ------------------------------------------------
 RAW_RECORD = T.StructType(
@@ -39,26 +41,23 @@ RAW_RECORD = T.StructType(
 )
 
 
-def _read(
-    spark: SparkSession, directory: str, schema: T.StructType, pattern: str
-) -> DataFrame:
-    """All records with their file name; a record that cannot be read has BAD set.
+def _read(spark: SparkSession, directory: str, pattern: str) -> DataFrame:
+    """Every record as JSON text, with its file name: the elements of an array, or the file.
 
-    The schema is given, so no pass is spent on inferring one. A missing directory is
-    Spark's own error, raised here.
+    A file is read whole, as its text is one JSON value. An array is cut into the texts of
+    its elements before any field is looked at, so a bad field costs its own record at most.
+    A file that is no JSON stays one record. A missing directory is Spark's own error.
     """
-    records = (
-        spark.read.schema(T.StructType([*schema.fields, T.StructField(BAD, T.StringType())]))
-        .option("multiLine", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", BAD)
-        .option("pathGlobFilter", pattern)
-        .json(directory)
-        .withColumn(FILE, F.col("_metadata.file_name"))
+    files = (
+        spark.read.option("pathGlobFilter", pattern)
+        .text(directory, wholetext=True)
+        .select(F.col("value"), F.col("_metadata.file_name").alias(FILE))
     )
     if not _has_files(spark, directory, pattern):
         raise FileNotFoundError(f"no {pattern} files in {directory!r}")
-    return records
+    elements = F.from_json("value", "array<string>")
+    listed = F.when(F.ltrim("value").startswith("[") & elements.isNotNull(), elements).otherwise(F.array("value"))
+    return files.select(FILE, F.explode(listed).alias(RECORD))
 
 
 def _has_files(spark: SparkSession, directory: str, pattern: str) -> bool:
@@ -66,14 +65,35 @@ def _has_files(spark: SparkSession, directory: str, pattern: str) -> bool:
     return not listing.select("path").limit(1).isEmpty()
 
 
-def _is_bad(schema: T.StructType) -> Column:
-    """True for a record that cannot be read as the whole schema.
+def _typed(raw: Column, dtype: T.DataType) -> Column:
+    """A field's raw text as its type, null where it does not hold one.
 
-    Spark parses only the columns a query uses, and so would find fewer bad records in
-    a narrower query. The sum, never negative, makes every query use all of them.
+    A whole number may be written with a fraction of zero, as in 1500.0.
     """
-    nulls = [F.col(f"`{f.name}`").isNull().cast("int") for f in schema.fields]
-    return F.col(BAD).isNotNull() & (reduce(lambda a, b: a + b, nulls) >= 0)
+    if isinstance(dtype, T.StringType):
+        return raw
+    if isinstance(dtype, T.IntegralType):
+        number = raw.try_cast("double")
+        whole = F.when(number == F.floor(number), raw.try_cast("decimal(38,6)").try_cast(dtype))
+        return F.coalesce(raw.try_cast(dtype), whole)
+    if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
+        return F.from_json(raw, dtype)
+    return raw.try_cast(dtype)
+
+
+def _parsed(records: DataFrame, schema: T.StructType) -> DataFrame:
+    """Adds each field, and BAD: the text is no object, or a field holds no value of its type."""
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    opened = records.withColumn(OBJECT, F.when(F.ltrim(RECORD).startswith("{"), F.from_json(RECORD, texts)))
+    broken = F.try_parse_json(RECORD).isNull() | F.col(OBJECT).isNull()
+    fields = {f.name: _typed(F.col(OBJECT)[f.name], f.dataType) for f in schema.fields}
+    typed = opened.select(FILE, RECORD, OBJECT, broken.alias(BAD), *[v.alias(n) for n, v in fields.items()])
+    lost = [
+        F.col(OBJECT)[f.name].isNotNull() & F.col(f"`{f.name}`").isNull()
+        for f in schema.fields
+        if not isinstance(f.dataType, T.StringType)
+    ]
+    return typed.withColumn(BAD, reduce(lambda a, b: a | b, lost, F.col(BAD)))
 
 
 def scan_json_records(
@@ -82,9 +102,14 @@ def scan_json_records(
     schema: T.StructType = RAW_RECORD,
     pattern: str = "*.json",
 ) -> DataFrame:
-    """Records of every *.json file directly in a directory, an array being many records."""
-    records = _read(spark, directory, schema, pattern)
-    return records.filter(~_is_bad(schema)).drop(BAD, FILE)
+    """Records of every *.json file directly in a directory, an array being many records.
+
+    Each file is one task's row, so keep files well below 2 GB. Numbers and other values in a
+    text field are kept as their JSON text. Records that cannot be read as the schema are left
+    out; quarantine_corrupt lists them.
+    """
+    parsed = _parsed(_read(spark, directory, pattern), schema)
+    return parsed.filter(~F.col(BAD)).drop(BAD, FILE, RECORD, OBJECT)
 
 
 def quarantine_corrupt(
@@ -93,7 +118,6 @@ def quarantine_corrupt(
     schema: T.StructType = RAW_RECORD,
     pattern: str = "*.json",
 ) -> DataFrame:
-    """File name and text of the records that cannot be read."""
-    records = _read(spark, directory, schema, pattern)
-    bad = records.filter(_is_bad(schema))
-    return bad.select(F.col(FILE).alias("file_name"), F.col(BAD).alias("record"))
+    """File name and text of the records that cannot be read, each once."""
+    parsed = _parsed(_read(spark, directory, pattern), schema)
+    return parsed.filter(BAD).select(F.col(FILE).alias("file_name"), F.col(RECORD).alias("record"))

@@ -27,10 +27,15 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
 
 
 def sink_csv(df: DataFrame, path: str, first: str | None = None, mode: str = "errorifexists") -> None:
-    """Writes CSV files with header, the named column first. Null and '' both become empty."""
+    """Writes CSV files with header, the named column first. Null and '' both become empty.
+
+    Texts are written as they are, white space at their ends included.
+    """
     if first is not None:
         df = df.select(named(first), *[named(c) for c in df.columns if c != first])
-    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    writer = df.write.mode(mode).option("header", True).option("escape", '"')
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    writer.csv(path)
 
 
 def write_snapshot(
@@ -42,7 +47,9 @@ def write_snapshot(
 ) -> str:
     """Writes Parquet to <prefix>_<day>, or <prefix>_<day>_1, _2, ... if taken; returns the path.
 
-    Nothing is ever overwritten: Spark refuses a path that exists before it starts a job.
+    A path that exists is never written to: Spark refuses it before it starts a job. One
+    writer at a time is assumed for a prefix and day; two that start together could both find
+    a path free.
     """
     base = f"{directory.rstrip('/')}/{prefix}_{(day or date.today()).isoformat()}"
     taken = 0

@@ -80,3 +80,10 @@ def test_vector_accepts_a_number_in_a_string(spark):
 def test_parsing_needs_no_shuffle_and_no_python(rows, plan):
     text = plan(parse_model_output(rows, "t", ["a", "b c"]))
     assert "Exchange" not in text and "Python" not in text
+
+
+def test_last_of_a_repeated_key_counts_by_its_kind(spark):
+    body = ['{"a": 1, "a": true}', '{"a": 0, "a": "true"}', '{"a": 1, "a": false}', '{"a": 1, "a": 2}']
+    rows = spark.createDataFrame([(i, wrapped(b)) for i, b in enumerate(body)], "i int, text string")
+    found = parse_model_output(rows, "text", ["a"]).orderBy("i").collect()
+    assert [(r["pred_a"], r["parse_status"]) for r in found] == [(1, "tagged"), (0, "error"), (0, "tagged"), (0, "error")]

@@ -175,6 +175,39 @@ def test_batches_have_a_fixed_size_and_one_scorer_per_task(spark):
     assert found == [f"{e}:t{i}" for i, e in enumerate(expected)]
 
 
+def loading_factory():
+    import os
+
+    def score(batch):
+        return [f"{os.getpid()}:{id(score)}" for _ in batch]
+
+    return score
+
+
+def test_one_scorer_per_worker_process(spark):
+    rows = spark.range(0, 64, 1, 16).select("id", F.lit("t").alias("text"))
+    found = scoring.score_batches(rows, "text", loading_factory, ["id"]).collect()
+    loads = {r["raw_model_output"] for r in found}
+    assert len(loads) == len({load.split(":")[0] for load in loads})
+
+
+def pair_factory():
+    return lambda batch: [[float(sum(row["ids"])), float(len(row["mask"]))] for row in batch]
+
+
+def test_arrays_as_input(spark):
+    rows = spark.createDataFrame([(1, [1, 2], [1]), (2, [], [0, 0])], "id long, ids array<int>, mask array<int>")
+    found = scoring.score_batches(rows, ["ids", "mask"], pair_factory, ["id"], 1, "scores", T.ArrayType(T.DoubleType()))
+    assert {r["id"]: r["scores"] for r in found.collect()} == {1: [3.0, 1.0], 2: [0.0, 2.0]}
+
+
+def test_word_ids_of_null_and_empty_lists(spark):
+    rows = spark.createDataFrame([(1, ["a", "zz", "b"]), (2, []), (3, None)], "i int, words array<string>").coalesce(1)
+    found = vocabulary.encode_fixed_length(rows, "words", {"a": 2, "b": 3}, 4).orderBy("i").collect()
+    assert [r["input_ids"] for r in found] == [[2, 1, 3, 0], [0] * 4, [0] * 4]
+    assert [sum(r["attention_mask"]) for r in found] == [3, 0, 0]
+
+
 def answer_factory():
     return lambda batch: ['<output>{"trees": 1}</output>' if "tree" in text else "?" for text in batch]
 

@@ -182,3 +182,9 @@ def test_staged_tables_can_be_removed(spark):
     spark.range(1).write.parquet(path)
     session.remove_staged(spark)
     assert not Path(path).exists()
+
+
+def test_tie_breaker_tells_all_rows_apart(spark):
+    rows = [("a\x1fb", "c"), ("a", "b\x1fc"), ("\x00", "q"), (None, "q"), ("-", "q"), ("1:a", ""), ("", "1:a")]
+    table = spark.createDataFrame(rows, "x string, y string")
+    assert ranking.with_tie_breaker(table, "tie").select("tie").distinct().count() == len(rows)

@@ -78,3 +78,22 @@ def test_constant_column_over_many_partitions_has_no_correlation(spark):
     rows = rows.withColumn("c", F.when(F.col("x") >= 0, F.col("c")))
     found = {(r[0], r[1]): r[2] for r in profile.correlation_matrix(rows, ["c", "x", "few"]).collect()}
     assert found["c", "x"] is None and found["few", "x"] is None and found["x", "x"] is not None
+
+
+def test_labels_of_any_number(spark):
+    rows = spark.createDataFrame([(2, 1), (0, 1), (1, 0), (-1, 0)], "a int, b int")
+    found = {(r[0], r[1]): r[2] for r in profile.label_cooccurrence(rows, ["a", "b"]).collect()}
+    assert found == {("a", "a"): 6, ("a", "b"): 2, ("b", "a"): 2, ("b", "b"): 2}
+    assert rows_of(profile.labels_per_row(rows, ["a", "b"])) == [(-1, 1, 25.0), (1, 2, 50.0), (3, 1, 25.0)]
+
+
+def test_no_label_column_gives_typed_empty_tables(spark):
+    rows = spark.createDataFrame([(1, "train")], "x int, split string")
+    for made in (
+        profile.label_distribution(rows, ["a"]),
+        profile.class_counts(rows, ["a"]),
+        profile.label_cooccurrence(rows, ["a"]),
+        profile.split_drift(rows, ["a"]),
+    ):
+        assert made.count() == 0 and len(made.columns) >= 3
+    assert profile.drift_summary(rows, ["a"]).first()["avg_abs_drift"] is None

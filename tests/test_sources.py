@@ -53,6 +53,26 @@ def test_bad_files_are_set_aside(spark, directory):
     assert "bad" in {r["file_name"]: r["record"] for r in bad.collect()}["broken.json"]
 
 
+def test_one_bad_field_costs_one_record(spark, tmp_path):
+    array = [
+        {**RECORD, "src_uid": "good1"},
+        {**RECORD, "src_uid": "bad", "tags": 5},
+        {**RECORD, "src_uid": "float", "difficulty": 1500.0},
+        7,
+        {**RECORD, "src_uid": "word", "difficulty": "hard"},
+        {**RECORD, "src_uid": "good2", "prob_desc_notes": 12},
+    ]
+    (tmp_path / "array.json").write_text(json.dumps(array))
+    (tmp_path / "empty.json").write_text("")  # holds no record, and no bad one
+    found = {r["src_uid"]: r for r in records.scan_json_records(spark, str(tmp_path)).collect()}
+    assert set(found) == {"good1", "float", "good2"}
+    assert found["float"]["difficulty"] == 1500 and found["good2"]["prob_desc_notes"] == "12"
+    bad = records.quarantine_corrupt(spark, str(tmp_path)).collect()
+    assert sorted((r["file_name"], r["record"][:1]) for r in bad) == [
+        ("array.json", "7"), ("array.json", "{"), ("array.json", "{"),
+    ]
+
+
 def test_missing_directory_and_no_files(spark, tmp_path):
     with pytest.raises(AnalysisException):
         records.scan_json_records(spark, str(tmp_path / "absent"))
@@ -84,6 +104,14 @@ def test_csv_round_trip(spark, tmp_path):
     assert sorted(tuple(r) for r in typed.collect()) == sorted(tuple(r) for r in rows.collect())
 
 
+def test_csv_keeps_outer_white_space(spark, tmp_path):
+    texts = ["  int x;\n", "\ttab ", " ", 'a "q" ', "line\nbreak\t", "plain"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    tables.sink_csv(rows, str(tmp_path / "csv"))
+    typed = tables.scan_csv(spark, str(tmp_path / "csv"), rows.schema)
+    assert [r["t"] for r in sorted(typed.collect())] == texts
+
+
 def test_snapshots_are_never_overwritten(spark, tmp_path):
     rows, root, day = spark.range(3), str(tmp_path), date(2025, 4, 17)
     names = [tables.write_snapshot(rows, root, "clean", day).split("/")[-1] for _ in range(3)]
