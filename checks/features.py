@@ -10,7 +10,7 @@ from checks.text import PROMPT_COLUMNS, PROMPT_SQL, prompt_rows
 from checks.views import DOCUMENTS, FLAGS, SCORED_SQL, scored, table
 from labelloom.functions.values import named
 from labelloom.operators import features, forests, scoring, vocabulary
-from labelloom.operators.sampling import chronological_split
+from labelloom.operators.sampling import chronological_split, undersample_majority
 from labelloom.plans.forest import predict_forests, train_forests
 from labelloom.session import new_path, staged
 from labelloom.sources.models import load_model, save_model
@@ -89,7 +89,7 @@ tokens AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]{2,}')
 placed AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM tokens),
 ids AS (
   SELECT term, 1 + row_number() OVER (ORDER BY tf DESC, term) AS id
-  FROM (SELECT word AS term, count(*) AS tf FROM placed GROUP BY word ORDER BY tf DESC, term LIMIT 500)),
+  FROM (SELECT word AS term, count(*) AS tf FROM placed GROUP BY word ORDER BY tf DESC, term LIMIT 5000)),
 coded AS (
   SELECT p.doc_id, p.pos, coalesce(i.id, 1) AS id FROM placed p LEFT JOIN ids i ON p.word = i.term WHERE p.pos <= 512),
 joined AS (
@@ -106,7 +106,7 @@ ENCODED_SQL = """coalesce(j.ids, '') || CASE WHEN coalesce(j.n, 0) IN (0, 512) T
 def encode_fixed_length(spark, sf):
     rows = vocabulary.tokenize(table(spark, sf, "documents"), "text", "words", stop_words=())
     rows = rows.select("doc_id", "words")
-    ids = vocabulary.word_ids(vocabulary.fit_vocabulary(rows, "words", 500, min_df=1, max_df=1.0))
+    ids = vocabulary.word_ids(vocabulary.fit_vocabulary(rows, "words", min_df=1, max_df=1.0))
     encoded = vocabulary.encode_fixed_length(rows, "words", ids, 512)
     return encoded.select(
         "doc_id",
@@ -212,27 +212,54 @@ def fit_transform_split(spark, sf):
 
 def _vectors(spark, sf):
     rows = scored(spark, sf)
-    model = features.fit_features(rows, "text", ["n_chars"], max_features=500, stop_words=STOP_WORDS)
+    model = features.fit_features(rows, "text", ["n_chars"], stop_words=STOP_WORDS)
     return staged(features.assemble_features(rows, model, ["n_chars"], ["doc_id", *FLAGS]), "features")
 
 
-@query("train_per_label")
-def train_per_label(spark, sf):
-    models = train_label_forests(_vectors(spark, sf))
-    rows = [(label, m.getNumTrees, m.numClasses) for label, m in models.items()]
-    return spark.createDataFrame(rows, "label string, n_trees int, n_classes int")
+_CLASSES_SQL = " UNION ALL ".join(
+    f"""SELECT '{f}' AS label, sum("{f}") AS ones, count(*) - sum("{f}") AS zeros FROM scored""" for f in FLAGS
+)
 
 
-def train_label_forests(vectors):
-    return forests.train_per_label(vectors, FLAGS, "doc_id", trees=5, depth=4)
+@query(
+    "train_per_label",
+    f"""WITH {SCORED_SQL}, classes AS ({_CLASSES_SQL})
+    SELECT label, 200 AS n_trees, 2 AS n_classes, CAST(2 * least(ones, zeros) AS BIGINT) AS n_rows
+    FROM classes WHERE least(ones, zeros) > 0""",
+)
+def train_per_label(spark, sf):
+    vectors = _vectors(spark, sf)
+    models = forests.train_per_label(vectors, FLAGS, "doc_id")
+    made = [(label, m.getNumTrees, m.numClasses) for label, m in models.items()]
+    balanced = undersample_majority(vectors, list(models), "doc_id")
+    kept = [F.struct(F.lit(m).alias("label"), F.count_if(named(f"keep_{m}")).alias("n_rows")) for m in models]
+    used = balanced.agg(F.array(*kept).alias("kept")).select(F.inline("kept"))
+    return spark.createDataFrame(made, "label string, n_trees int, n_classes int").join(used, "label")
+
+
+def learned(predicted, labels):
+    """Per label the rows predicted, and whether rows that have it are predicted to more often."""
+    cells = []
+    for label in labels:
+        hit, flag = named(f"pred_{label}"), named(label)
+        rates = [F.coalesce(F.avg(F.when(flag == side, hit)), F.lit(0.0)) for side in (1, 0)]
+        cells.append(
+            F.struct(F.lit(label).alias("label"), F.count(hit).alias("n_rows"), (rates[0] > rates[1]).alias("learned"))
+        )
+    return predicted.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
 
 
-@query("predict_per_label")
+@query(
+    "predict_per_label",
+    f"""WITH {SCORED_SQL}, classes AS ({_CLASSES_SQL})
+    SELECT label, CAST(ones + zeros AS BIGINT) AS n_rows, label <> 'toxic' AND least(ones, zeros) > 0 AS learned
+    FROM classes""",
+)
 def predict_per_label(spark, sf):
     vectors = _vectors(spark, sf)
-    models = train_label_forests(vectors)
-    models.pop("toxic")
-    return forests.predict_per_label(vectors, models, FLAGS)
+    models = forests.train_per_label(vectors, FLAGS, "doc_id")
+    models.pop("toxic", None)
+    return learned(forests.predict_per_label(vectors, models, FLAGS), FLAGS)
 
 
 @query("save_load_model", "SELECT count(*) AS n_rows, 0 AS n_different FROM documents")

@@ -16,6 +16,7 @@ def sql_quote(text: str) -> str:
 
 
 PROMPT_COLUMNS = ["text", "source_name", "n_chars"]
+# ---- Fixed values: the prompt text the SQL must give --------------------------------
 TEMPLATE = """You are given a programming problem with various details. Your task is to analyze the problem and determine which tags apply from the following list:
 quality, toxic, english, long text.
 
@@ -86,11 +87,23 @@ def input_text(spark, sf):
     "chat_text",
     """SELECT conv_id, turn, '<|im_start|>system' || chr(10) || 'Label the text.<|im_end|>' || chr(10)
        || '<|im_start|>user' || chr(10) || text || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10) AS chat
-       FROM conversations WHERE role = 'user'""",
+       FROM conversations""",
 )
 def chat_text(spark, sf):
-    users = table(spark, sf, "conversations").filter(F.col("role") == "user")
-    return users.select("conv_id", "turn", prompts.chat_text(F.col("text"), "Label the text.").alias("chat"))
+    turns = table(spark, sf, "conversations")
+    return turns.select("conv_id", "turn", prompts.chat_text(F.col("text"), "Label the text.").alias("chat"))
+
+
+@query(
+    "conversation_text",
+    """SELECT conv_id, string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), ''
+                                  ORDER BY turn, role, text) || '<|im_start|>assistant' || chr(10) AS chat
+       FROM conversations GROUP BY conv_id""",
+)
+def conversation_text(spark, sf):
+    turns = F.sort_array(F.collect_list(F.struct("turn", "role", "text")))
+    grouped = table(spark, sf, "conversations").groupBy("conv_id").agg(turns.alias("turns"))
+    return grouped.select("conv_id", prompts.conversation_text(F.col("turns")).alias("chat"))
 
 
 @query(

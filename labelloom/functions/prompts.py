@@ -30,6 +30,8 @@ END_TOKEN = "<|endoftext|>"
 SYSTEM_TURN = "<|im_start|>system\n{text}<|im_end|>\n"
 USER_OPENING = "<|im_start|>user\n"
 USER_CLOSING = "<|im_end|>\n<|im_start|>assistant\n"
+TURN = "<|im_start|>{role}\n{text}<|im_end|>\n"
+ANSWER_OPENING = "<|im_start|>assistant\n"
 
 
 def prompt_template(labels: Sequence[str]) -> str:
@@ -91,6 +93,24 @@ def chat_text(
     return F.concat(F.lit(opening), user, F.lit(user_closing))
 
 
+def conversation_text(
+    turns: Column, turn: str = TURN, opening: str = ANSWER_OPENING
+) -> Column:
+    """Turns (array of structs role, text, in order) as one text that ends in an open assistant turn.
+
+    A null text is an empty turn; a null array has no turns.
+    """
+    before, rest = turn.split("{role}")
+    between, after = rest.split("{text}")
+    parts = F.transform(
+        turns,
+        lambda t: F.concat(
+            F.lit(before), t["role"], F.lit(between), F.coalesce(t["text"], F.lit("")), F.lit(after)
+        ),
+    )
+    return F.concat(F.coalesce(F.array_join(parts, ""), F.lit("")), F.lit(opening))
+
+
 def strip_prompt(output_ids: Column, input_ids: Column) -> Column:
     """The tokens generated after the prompt."""
     return F.slice(output_ids, F.size(input_ids) + 1, F.greatest(F.size(output_ids), F.lit(1)))

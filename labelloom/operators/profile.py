@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from labelloom.functions.tokens import sql_text
 from labelloom.functions.values import finite_number, label_flag, leading_number, named
 from labelloom.operators.columns import resolve_label_columns
-from labelloom.operators.onepass import Statistic, one_pass
+from labelloom.operators.onepass import Statistic, one_pass, totals
 
 _ROWS = "n_rows"
 
@@ -158,14 +158,18 @@ def avg_labels(df: DataFrame, labels: Sequence[str]) -> DataFrame:
 # ---- splits ----------------------------------------------------------------------
 
 
-def split_sizes(df: DataFrame, split: str = "split") -> DataFrame:
-    """Rows and percent of rows of train and test."""
+def _sizes(split: str) -> Statistic:
     stat = Statistic(aggregates={_ROWS: "count(*)"})
     side = stat.value("side", named(split))
     for part in ("train", "test"):
         stat.aggregates[part] = f"count_if({side} = '{part}')"
         stat.add(split=f"'{part}'", n_rows=part, percent=_percent(part))
-    return one_pass(df, stat)
+    return stat
+
+
+def split_sizes(df: DataFrame, split: str = "split") -> DataFrame:
+    """Rows and percent of rows of train and test."""
+    return one_pass(df, _sizes(split))
 
 
 def _drift(df: DataFrame, labels: Sequence[str], split: str) -> Statistic:
@@ -203,6 +207,32 @@ def drift_summary(df: DataFrame, labels: Sequence[str], split: str = "split") ->
     ).select("avg_abs_drift", "max_abs_drift", "w.*")
 
 
+def split_overview(df: DataFrame, labels: Sequence[str], split: str = "split") -> DataFrame:
+    """split_sizes, split_drift and drift_summary as (section, key, metric, value), from one scan."""
+    sizes, drift = _sizes(split), _drift(df, labels, split)
+    found = ", ".join(
+        f"struct(abs({r['drift']}) AS size, -{r['position']} AS place, {r['label']} AS label, "
+        f"{r['train_percent']} AS train, {r['test_percent']} AS test)"
+        for r in drift.rows
+    )
+    row = totals(df, [sizes, drift])
+    if drift.rows:
+        row = row.selectExpr("*", f"filter(array({found}), d -> d.size IS NOT NULL) AS drifts")
+        row = row.selectExpr("*", "array_max(drifts) AS worst")
+    average = "aggregate(drifts, 0D, (a, d) -> a + d.size) / size(drifts)"
+    cells = [("size", r["split"], m, r[m]) for r in sizes.rows for m in ("n_rows", "percent")]
+    cells += [("drift", r["label"], m, r[m]) for r in drift.rows for m in ("train_percent", "test_percent", "drift")]
+    summary = {
+        "avg_abs_drift": average, "max_abs_drift": "worst.size", "train_percent": "worst.train", "test_percent": "worst.test"
+    }
+    if drift.rows:
+        cells += [("worst", "worst.label", m, sql) for m, sql in summary.items()]
+    structs = ", ".join(
+        f"struct('{s}' AS section, {k} AS key, '{m}' AS metric, double({v}) AS value)" for s, k, m, v in cells
+    )
+    return row.selectExpr(f"inline(array({structs}))")
+
+
 # ---- correlations ----------------------------------------------------------------
 
 

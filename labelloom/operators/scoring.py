@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from labelloom.functions.prompts import build_prompt
+from labelloom.functions.prompts import build_prompt, chat_text
 from labelloom.functions.values import named
 from labelloom.operators.answers import parse_model_output
 from labelloom.operators.columns import shape_result
@@ -99,10 +99,16 @@ def generative_predict(
     id_column: str = "problem_id",
     batch_size: int = 4,
     prefix: str = "pred_",
+    system: str | None = None,
 ) -> DataFrame:
-    """Prompts, scorer answers and parsed predictions: id, truth, predictions, raw answer."""
+    """Prompts, scorer answers and parsed predictions: id, truth, predictions, raw answer.
+
+    With a system text the prompt is given as a chat: system turn, user turn, open answer.
+    """
     keep = [c for c in (id_column, *labels) if c in df.columns]
-    prompted = df.select(*[named(c) for c in keep], build_prompt(columns, labels).alias("__prompt"))
+    prompt = build_prompt(columns, labels)
+    prompt = prompt if system is None else chat_text(prompt, system)
+    prompted = df.select(*[named(c) for c in keep], prompt.alias("__prompt"))
     answered = score_batches(prompted, "__prompt", factory, keep, batch_size)
     parsed = parse_model_output(answered, "raw_model_output", labels, prefix, status=None)
     return shape_result(parsed, labels, id_column, prefix, extra=["raw_model_output"])

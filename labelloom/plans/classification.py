@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,9 +16,11 @@ from labelloom.operators.sampling import sample_n, validation_split
 from labelloom.operators.vocabulary import encode_fixed_length, fit_vocabulary, tokenize, word_ids
 
 
-def with_words(rows: DataFrame, config: LabelConfig = DEFAULT) -> DataFrame:
+def with_words(
+    rows: DataFrame, config: LabelConfig = DEFAULT, columns: Sequence[str] | None = None
+) -> DataFrame:
     """Adds input_text and its words (no stop-word list)."""
-    texts = rows.withColumn("input_text", input_text(config.instruction_columns))
+    texts = rows.withColumn("input_text", input_text(config.instruction_columns if columns is None else columns))
     return tokenize(texts, "input_text", "words", stop_words=())
 
 

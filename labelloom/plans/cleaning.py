@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,9 +21,9 @@ from labelloom.operators.columns import (
     select_available,
 )
 from labelloom.operators.joins import drop_duplicates
-from labelloom.operators.profile import label_distribution, missing_counts
+from labelloom.operators.profile import label_distribution, missing_counts, parsed_counts
 from labelloom.operators.ranking import creation_order, dense_row_id
-from labelloom.sources.records import scan_json_records
+from labelloom.sources.records import quarantine_corrupt, scan_json_records
 from labelloom.sources.tables import write_snapshot
 
 
@@ -59,13 +61,33 @@ def clean_table(raw: DataFrame, config: LabelConfig = DEFAULT) -> DataFrame:
     )
 
 
+class Cleaned(NamedTuple):
+    """A written clean table and what its job has to tell."""
+
+    path: str
+    missing: DataFrame
+    labels: DataFrame
+    parsed: DataFrame
+    bad_records: DataFrame
+
+
 def clean_directory(
     spark: SparkSession, directory: str, output: str, prefix: str, config: LabelConfig = DEFAULT
-) -> tuple[str, DataFrame, DataFrame]:
+) -> Cleaned:
     """Reads a directory of records, writes the clean table as a snapshot.
 
-    Returns its path, the nulls per column and the label distribution.
+    Returns its path, the nulls per column, the label distribution, how many of the raw limits
+    held a number, and the records that could not be read.
     """
-    path = write_snapshot(clean_table(scan_json_records(spark, directory), config), output, prefix)
+    raw = scan_json_records(spark, directory)
+    path = write_snapshot(clean_table(raw, config), output, prefix)
     clean = spark.read.parquet(path)
-    return path, missing_counts(clean), label_distribution(clean, config.labels)
+    renamed = rename_columns(raw, config.renames)
+    limits = [c for c in config.parsed_limits if c in renamed.columns]
+    return Cleaned(
+        path,
+        missing_counts(clean),
+        label_distribution(clean, config.labels),
+        parsed_counts(renamed, limits),
+        quarantine_corrupt(spark, directory),
+    )

@@ -51,13 +51,3 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(table: DataFrame) -> DataFrame:
-    """A freshly read table over at least as many tasks as the session has cores.
-
-    Spark cannot split a Parquet row group, so a table in few of them would be worked on
-    by few tasks. A table in many files is returned as it is.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table

@@ -81,7 +81,9 @@ def test_missing_directory_and_no_files(spark, tmp_path):
 
 
 def test_cleaning_a_directory(spark, directory, tmp_path):
-    path, missing, distribution = clean_directory(spark, directory, str(tmp_path / "out"), "clean")
+    path, missing, distribution, parsed, bad = clean_directory(spark, directory, str(tmp_path / "out"), "clean")
+    assert {r["column"]: (r["n_parsed"], r["n_malformed"]) for r in parsed.collect()}["time_limit"] == (3, 0)
+    assert sorted(r["file_name"] for r in bad.collect()) == ["broken.json", "mistyped.json"]
     clean = spark.read.parquet(path).collect()
     # All three records are equal once their ids are gone.
     assert len(clean) == 1
