@@ -23,6 +23,7 @@ from labelloom.operators.columns import (
 from labelloom.operators.joins import drop_duplicates
 from labelloom.operators.profile import label_distribution, missing_counts, parsed_counts
 from labelloom.operators.ranking import creation_order, dense_row_id
+from labelloom.session import staging
 from labelloom.sources.records import quarantine_corrupt, scan_json_records
 from labelloom.sources.tables import write_snapshot
 
@@ -80,7 +81,8 @@ def clean_directory(
     held a number, and the records that could not be read.
     """
     raw = scan_json_records(spark, directory)
-    path = write_snapshot(clean_table(raw, config), output, prefix)
+    with staging(spark):
+        path = write_snapshot(clean_table(raw, config), output, prefix)
     clean = spark.read.parquet(path)
     renamed = rename_columns(raw, config.renames)
     limits = [c for c in config.parsed_limits if c in renamed.columns]

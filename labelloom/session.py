@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
 
+# Paths made inside each open staging block, innermost last.
+_blocks: list[list[str]] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
@@ -33,13 +38,33 @@ def _own_dir(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that nothing else uses."""
-    return f"{_own_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_own_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if _blocks:
+        _blocks[-1].append(path)
+    return path
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def remove_staged(spark: SparkSession) -> None:
     """Deletes what this application staged. Results not yet written read from there."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_dir(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, _own_dir(spark))
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end what was staged inside: for jobs that write their result there."""
+    made: list[str] = []
+    _blocks.append(made)
+    try:
+        yield
+    finally:
+        _blocks.remove(made)
+        for path in made:
+            _delete(spark, path)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

@@ -32,11 +32,18 @@ def test_order_without_ties_columns_is_repeatable(spark):
 
 def test_one_hot_time_spreads_over_partitions(spark):
     rows = spark.range(20000).withColumn("t", F.when(F.col("id") % 3 == 0, F.lit("same")).otherwise(F.col("id").cast("string")))
-    placed = ranking._placed(rows, ["t", "id"], "hot")
+    # So small a table would be joined into one partition again.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        placed = ranking._placed(rows, ["t", "id"], "hot")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert placed.total == 20000
-    sizes = [r["n"] for r in placed.rows.groupBy("__part").agg(F.count("*").alias("n")).collect()]
-    # AQE may join small partitions, but never the hot value into a single one on purpose.
-    assert sum(sizes) == 20000
+    found = placed.rows.groupBy("__part").agg(F.count("*").alias("n"), F.count_if(F.col("t") == "same").alias("hot"))
+    parts = found.collect()
+    assert sum(r["n"] for r in parts) == 20000
+    assert len(parts) == 4 and max(r["n"] for r in parts) < 20000 / 2
+    assert sum(r["hot"] > 0 for r in parts) > 1
 
 
 def test_no_window_gathers_the_table(spark, plan):

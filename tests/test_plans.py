@@ -1,5 +1,9 @@
+import json
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
+from labelloom import session
 from labelloom.config import LabelConfig
 from labelloom.plans import cleaning, splitting
 
@@ -71,3 +75,26 @@ def test_split_numbers_a_table_without_order(spark):
     rows = spark.range(8).select(F.col("id").alias("problem_id"))
     split = splitting.split_table(rows, CONFIG)
     assert sorted(r["problem_id"] for r in split.filter("split = 'test'").collect()) == [6, 7]
+
+
+def test_written_jobs_leave_nothing_staged(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    for i in range(8):
+        record = {"src_uid": str(i), "tags": ["math"], "prob_desc_created_at": str(i % 3), "source_code": str(i)}
+        (raw / f"{i}.json").write_text(json.dumps(record))
+    session.remove_staged(spark)
+    cleaned = cleaning.clean_directory(spark, str(raw), str(tmp_path / "clean"), "clean")
+    path, report = splitting.split_snapshot(spark, str(tmp_path / "clean"), str(tmp_path / "split"), "split")
+    staged = Path(spark.conf.get("spark.checkpoint.dir"), "labelloom", spark.sparkContext.applicationId)
+    assert not staged.exists() or not list(staged.iterdir())
+    assert spark.read.parquet(cleaned.path).count() == 8 and cleaned.bad_records.count() == 0
+    assert spark.read.parquet(path).groupBy("split").count().count() == 2
+    assert report.filter("section = 'size' AND metric = 'n_rows'").agg({"value": "sum"}).first()[0] == 8
+
+
+def test_split_report_is_one_scan(spark, plan, tmp_path):
+    rows = spark.range(10).selectExpr("int(id) + 1 AS creation_order", "int(id % 2) AS math", "'train' AS split")
+    rows.write.parquet(str(tmp_path / "t"))
+    report = splitting.split_report(spark.read.parquet(str(tmp_path / "t")))
+    assert plan(report).count("FileScan") == 1
