@@ -236,32 +236,57 @@ def split_overview(df: DataFrame, labels: Sequence[str], split: str = "split") -
 # ---- correlations ----------------------------------------------------------------
 
 
+def _with_gaps(df: DataFrame, values: dict[str, Column]) -> set[str]:
+    """The columns that hold no number in some row, from one count of each."""
+    counted = df.select(*[v.alias(f"v{i}") for i, v in enumerate(values.values())])
+    row = counted.selectExpr("count(*)", *[f"count(v{i})" for i in range(len(values))]).first()
+    return {name for name, n in zip(values, row[1:], strict=True) if n < row[0]}
+
+
 def _correlations(
-    values: dict[str, Column], pairs: Sequence[tuple[str, str]], mirrored: bool, prefix: str
+    df: DataFrame,
+    values: dict[str, Column],
+    pairs: Sequence[tuple[str, str]],
+    mirrored: bool,
+    prefix: str,
 ) -> Statistic:
     """Pearson over the rows where both values are there; null for a constant column.
 
-    regr_r2 has the squared correlation in one aggregate and, other than corr, does not
-    divide by a zero spread; the covariance has the sign. Whether a column is constant
-    is told by its bounds: partial means merge with rounding, so its spread need not be 0.
+    Columns without gaps share their spread and bounds among all pairs, and a pair adds its
+    covariance only. For a pair with gaps spread and bounds are of the rows where both are
+    there: regr_r2 has the squared correlation in one aggregate and, other than corr, does not
+    divide by a zero spread; the covariance has the sign. Whether a column is constant is told
+    by its bounds: partial means merge with rounding, so its spread need not be 0.
     """
     stat = Statistic()
     place = {name: i for i, name in enumerate(values)}
+    gaps = _with_gaps(df, values) if values else set()
     for name, i in place.items():
-        stat.aggregates[f"{prefix}_n{i}"] = f"count({stat.value(f'{prefix}_v{i}', values[name])})"
+        value = stat.value(f"{prefix}_v{i}", values[name])
+        stat.aggregates[f"{prefix}_n{i}"] = f"count({value})"
+        if name not in gaps:
+            stat.aggregates[f"{prefix}_dev{i}"] = f"stddev_samp({value})"
+            stat.aggregates[f"{prefix}_low{i}"] = f"min({value})"
+            stat.aggregates[f"{prefix}_high{i}"] = f"max({value})"
     for k, (a, b) in enumerate(pairs):
         i, j = place[a], place[b]
         x, y = f"{prefix}_v{i}", f"{prefix}_v{j}"
-        squared, together = f"{prefix}_r{k}", f"{prefix}_c{k}"
-        stat.aggregates[squared] = f"regr_r2({x}, {y})"
+        together = f"{prefix}_c{k}"
         stat.aggregates[together] = f"covar_samp({x}, {y})"
-        varied = []
-        for side, one, other in (("x", x, y), ("y", y, x)):
-            both = one if one == other else f"CASE WHEN {other} IS NOT NULL THEN {one} END"
-            for bound in ("min", "max"):
-                stat.aggregates[f"{prefix}_{bound}_{side}{k}"] = f"{bound}({both})"
-            varied.append(f"{prefix}_min_{side}{k} < {prefix}_max_{side}{k}")
-        value = f"CASE WHEN {' AND '.join(varied)} THEN signum({together}) * sqrt({squared}) END"
+        if gaps.isdisjoint((a, b)):
+            varied = [f"{prefix}_low{c} < {prefix}_high{c}" for c in (i, j)]
+            found = f"greatest(-1D, least(1D, {together} / ({prefix}_dev{i} * {prefix}_dev{j})))"
+        else:
+            squared = f"{prefix}_r{k}"
+            stat.aggregates[squared] = f"regr_r2({x}, {y})"
+            varied = []
+            for side, one, other in (("x", x, y), ("y", y, x)):
+                both = one if one == other else f"CASE WHEN {other} IS NOT NULL THEN {one} END"
+                for bound in ("min", "max"):
+                    stat.aggregates[f"{prefix}_{bound}_{side}{k}"] = f"{bound}({both})"
+                varied.append(f"{prefix}_min_{side}{k} < {prefix}_max_{side}{k}")
+            found = f"signum({together}) * sqrt({squared})"
+        value = f"CASE WHEN {' AND '.join(varied)} THEN {found} END"
         there = f"{prefix}_n{i} > 0 AND {prefix}_n{j} > 0"
         for first, second in ((a, b), (b, a)) if mirrored and a != b else ((a, b),):
             stat.add(there, column_a=sql_text(first), column_b=sql_text(second), correlation=value)
@@ -272,19 +297,19 @@ def _numbers(df: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
     return {c: finite_number(named(c), df.schema[c].dataType) for c in columns if c in df.columns}
 
 
-def _numeric_correlations(numbers: dict[str, Column]) -> Statistic | None:
+def _numeric_correlations(df: DataFrame, numbers: dict[str, Column]) -> Statistic | None:
     if len(numbers) < 2:
         return None
-    return _correlations(numbers, list(combinations_with_replacement(numbers, 2)), True, "num")
+    return _correlations(df, numbers, list(combinations_with_replacement(numbers, 2)), True, "num")
 
 
 def _label_correlations(
-    numbers: dict[str, Column], flags: dict[str, Column]
+    df: DataFrame, numbers: dict[str, Column], flags: dict[str, Column]
 ) -> Statistic | None:
     if not numbers or not flags:
         return None
     values = {**numbers, **{c: f.cast("double") for c, f in flags.items()}}
-    return _correlations(values, [(a, b) for a in numbers for b in flags], False, "lab")
+    return _correlations(df, values, [(a, b) for a in numbers for b in flags], False, "lab")
 
 
 def _or_empty(df: DataFrame, stat: Statistic | None) -> DataFrame:
@@ -297,14 +322,14 @@ def _or_empty(df: DataFrame, stat: Statistic | None) -> DataFrame:
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair of numeric columns, all-null columns left out."""
-    return _or_empty(df, _numeric_correlations(_numbers(df, columns)))
+    return _or_empty(df, _numeric_correlations(df, _numbers(df, columns)))
 
 
 def numeric_label_correlation(
     df: DataFrame, columns: Sequence[str], labels: Sequence[str]
 ) -> DataFrame:
     """Pearson correlation of every numeric column with every label."""
-    return _or_empty(df, _label_correlations(_numbers(df, columns), _flags(df, labels)))
+    return _or_empty(df, _label_correlations(df, _numbers(df, columns), _flags(df, labels)))
 
 
 # ---- texts -----------------------------------------------------------------------
@@ -342,7 +367,7 @@ def profile_report(
     texts: Sequence[str],
     columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """All of the above as (section, key, metric, value), from one scan.
+    """All of the above as (section, key, metric, value), from one scan after a count of gaps.
 
     Sums of labels beyond the number of labels, which only labels other than 0 and 1 can
     have, are one key "other" here; labels_per_row tells them apart.
@@ -356,8 +381,8 @@ def profile_report(
         ("text", _texts(df, texts), ["column"], ["missing_percent", "avg_length"]),
     ]
     for section, stat in (
-        ("correlation", _numeric_correlations(numbers)),
-        ("label_correlation", _label_correlations(numbers, flags)),
+        ("correlation", _numeric_correlations(df, numbers)),
+        ("label_correlation", _label_correlations(df, numbers, flags)),
     ):
         if stat is not None:
             parts.append((section, stat, ["column_a", "column_b"], ["correlation"]))
