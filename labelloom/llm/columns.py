@@ -7,6 +7,7 @@ the same name (names compare without case, as in Spark). Working columns start w
 
 from __future__ import annotations
 
+import gc
 import sys
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
@@ -14,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from labelloom.session import staged
+
 # What Python's bytes.split() and the contracts' pattern [^\x20\x09-\x0D]+ divide at.
 WHITE = " \t\n\x0b\f\r"
 
@@ -52,6 +55,18 @@ def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(at, ROWS_TOGETHER)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """session.staged, after letting go of the shuffle files of earlier steps.
+
+    Spark deletes a shuffle's files when the driver's JVM has collected the plan that made
+    them, which in a job of many steps can be long after its rows were written.
+    """
+    spark = df.sparkSession
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return staged(df, name)
+
+
 def append_columns(
     df: DataFrame,
     inputs: Sequence[str],

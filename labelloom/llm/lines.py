@@ -2,9 +2,9 @@
 
 A line is the set of its words. The words of a line are put in order of rarity. Two sets that
 agree in percent of their union share a word early in that order, so a line is looked up by
-its first words only (the prefix filter). Pairs that meet must also fit in length and in the
-places of the shared word, then share four words of slightly longer prefixes, and are at last
-compared in full.
+its first words only (the prefix filter). Pairs that meet must also fit in length, in the
+places of the shared word and in a mask of their words, then share four words of slightly longer
+prefixes, and are at last compared in full.
 
 A word that many prefixes hold would bring many lines together. Its lines are first held
 against the earliest of them. Those that find no match there are looked up again by two such
@@ -23,9 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelloom.llm.columns import quoted, without
+from labelloom.llm.columns import quoted, without, written
 from labelloom.llm.quality import let, words_of
-from labelloom.session import staged
 
 COUNTERS = 1 << 16
 HASH_BITS = 47
@@ -34,7 +33,14 @@ HASH_BITS = 47
 SHARED = 4
 
 # Lines a word may bring together in pairs; lines of more frequent words go by two words.
-FEW = 32
+FEW = 1024
+
+# Bits of a set's parity mask.
+MASK = 64
+
+
+# Columns of the other line of a pair.
+OTHER = {"id": "other", "n": "other_n", "mask": "other_mask", "place": "other_place"}
 
 
 def _counter(hashed: Column) -> Column:
@@ -76,6 +82,17 @@ def _prefix(n: Column, percent: int, shared: int) -> Column:
     return F.least(n, n - F.floor((percent * n + 99) / 100).cast("int") + shared)
 
 
+def _mask(codes: Column) -> Column:
+    """A bit per remainder of the codes, set if an odd number of them has it.
+
+    Where two masks differ, one set has a word the other has not. So two sets of n and m words
+    share (n + m - differing bits) / 2 words at most.
+    """
+    one = F.lit(1).cast("long")
+    bit = lambda code: F.call_function("shiftleft", one, code.bitwiseAND(F.lit(MASK - 1)).cast("int"))
+    return F.aggregate(codes, F.lit(0).cast("long"), lambda mask, code: mask.bitwiseXOR(bit(code)))
+
+
 def _keyed(df: DataFrame, id_column: str, text: str) -> DataFrame:
     return df.select(df[quoted(id_column)].alias("doc"), F.coalesce(df[quoted(text)], F.lit("")).alias("text"))
 
@@ -95,6 +112,7 @@ def _sets(texts: DataFrame, percent: int) -> DataFrame:
                 F.xxhash64(codes).alias("low"),
                 F.xxhash64(F.lit(1), codes).alias("high"),
                 F.size(codes).alias("n"),
+                _mask(codes).alias("mask"),
                 # 31 bits will do here: words that agree in them by chance only add candidates.
                 F.transform(
                     F.slice(codes, F.lit(1), _prefix(F.size(codes), percent, SHARED)),
@@ -104,31 +122,33 @@ def _sets(texts: DataFrame, percent: int) -> DataFrame:
         ).alias("set"),
     ).select("id", "set.*")
     grouped = made.filter("n > 0").groupBy("low", "high").agg(
-        F.min("id").alias("id"), F.first("n").alias("n"), F.first("prefix").alias("prefix")
+        F.min("id").alias("id"), F.first("n").alias("n"), F.first("mask").alias("mask"), F.first("prefix").alias("prefix")
     )
-    return grouped.select("id", "n", "prefix")
+    return grouped.select("id", "n", "mask", "prefix")
 
 
 def _fitting(percent: int) -> Column:
-    """Length filter on the columns n and other_n."""
+    """Length and mask filters on the columns n and other_n, mask and other_mask."""
     n, other = F.col("n"), F.col("other_n")
-    return 100 * F.least(n, other) >= percent * F.greatest(n, other)
+    differing = F.bit_count(F.col("mask").bitwiseXOR(F.col("other_mask")))
+    return (100 * F.least(n, other) >= percent * F.greatest(n, other)) & (
+        n + other - differing >= 2 * _least_overlap(n, other, percent)
+    )
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The ids of lines of which an earlier line in the pairs (id, other) is a near copy."""
-    one = sets.select("id", "n", "prefix")
-    other = sets.select(F.col("id").alias("other"), F.col("n").alias("other_n"), F.col("prefix").alias("other_prefix"))
-    likely = staged(
-        pairs.select("id", "other")
-        .distinct()
-        .join(one, "id")
-        .join(other, "other")
+    # Both joins read one and the same shuffle of the sets.
+    own = sets.select("id", "n", "prefix")
+    first = pairs.select(F.col("id").alias("line"), "other").distinct().join(own, F.col("line") == own["id"])
+    renamed = first.select("line", "other", F.col("n").alias("line_n"), F.col("prefix").alias("line_prefix"))
+    likely = written(
+        renamed.join(own, F.col("other") == own["id"])
         .filter(
-            F.size(F.array_intersect("prefix", "other_prefix"))
-            >= F.least(F.lit(SHARED), _least_overlap(F.col("n"), F.col("other_n"), percent))
+            F.size(F.array_intersect("line_prefix", "prefix"))
+            >= F.least(F.lit(SHARED), _least_overlap(F.col("line_n"), F.col("n"), percent))
         )
-        .select("id", "other", "n", "other_n"),
+        .select(F.col("line").alias("id"), "other"),
         "likely",
     )
     wanted = likely.select(F.explode(F.array("id", "other")).alias("line")).select("line.*")
@@ -139,7 +159,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, texts: DataFrame, percent: int
         .filter(F.array_contains("wanted", F.col("line")))
         .select(F.struct("doc", "line").alias("id"), F.array_distinct(words_of(F.col("body"))).alias("words"))
     )
-    fetched = staged(fetched, "lines")
+    fetched = written(fetched, "lines")
     both = likely.join(fetched, "id").join(
         fetched.select(F.col("id").alias("other"), F.col("words").alias("other_words")), "other"
     )
@@ -153,10 +173,11 @@ def _later_lines(sets: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     rows = sets.select(
         "id",
         "n",
+        "mask",
         F.posexplode(F.slice("prefix", F.lit(1), _prefix(F.col("n"), percent, 2))).alias("place", "word"),
     ).repartition("word")
-    words = rows.groupBy("word").agg(F.count("*").alias("lines"), F.min(F.struct("id", "n")).alias("first"))
-    others = rows.select("word", F.col("id").alias("other"), F.col("n").alias("other_n"), F.col("place").alias("other_place"))
+    words = rows.groupBy("word").agg(F.count("*").alias("lines"), F.min(F.struct("id", "n", "mask")).alias("first"))
+    others = rows.select("word", *[F.col(c).alias(a) for c, a in OTHER.items()])
     # What the two lines can still share from this word on, and the word itself.
     ahead = F.least(F.col("n") - F.col("place"), F.col("other_n") - F.col("other_place"))
     behind = F.least("place", "other_place")
@@ -168,28 +189,28 @@ def _later_lines(sets: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
         .filter(ahead + behind >= _least_overlap(F.col("n"), F.col("other_n"), percent))
         .select("id", "other")
     )
-    frequent = staged(
-        rows.join(words.filter(F.col("lines") > FEW).select("word", "first"), "word").select("id", "n", "word", "first"),
+    frequent = written(
+        rows.join(words.filter(F.col("lines") > FEW).select("word", "first"), "word").select("id", "n", "mask", "word", "first"),
         "frequent",
     )
     star = (
-        frequent.select("id", "n", F.col("first.id").alias("other"), F.col("first.n").alias("other_n"))
+        frequent.select("id", "n", "mask", *[F.col(f"first.{c}").alias(a) for c, a in OTHER.items() if c != "place"])
         .filter("other < id")
         .filter(_fitting(percent))
         .select("id", "other")
     )
-    settled = staged(_confirmed(few.union(star), sets, texts, percent), "settled")
+    settled = written(_confirmed(few.union(star), sets, texts, percent), "settled")
     # Lines without a match so far, by two frequent words at once.
-    listed = frequent.groupBy("id", "n").agg(F.array_sort(F.collect_set("word")).alias("words")).filter("size(words) > 1")
+    listed = frequent.groupBy("id", "n", "mask").agg(F.array_sort(F.collect_set("word")).alias("words")).filter("size(words) > 1")
     places = F.posexplode("words").alias("at", "one")
-    twos = listed.select("id", "n", "words", places).select(
-        "id", "n", "one", F.explode(F.slice("words", F.col("at") + 2, F.size("words"))).alias("two")
+    twos = listed.select("id", "n", "mask", "words", places).select(
+        "id", "n", "mask", "one", F.explode(F.slice("words", F.col("at") + 2, F.size("words"))).alias("two")
     )
-    twos = staged(twos, "twos")
+    twos = written(twos, "twos")
     probes = twos.join(settled, "id", "left_anti")
-    met = twos.select("one", "two", F.col("id").alias("other"), F.col("n").alias("other_n"))
+    met = twos.select("one", "two", *[F.col(c).alias(a) for c, a in OTHER.items() if c != "place"])
     second = probes.join(met, ["one", "two"]).filter("other < id").filter(_fitting(percent)).select("id", "other")
-    return settled.union(staged(_confirmed(second, sets, texts, percent), "settled"))
+    return settled.union(written(_confirmed(second, sets, texts, percent), "settled"))
 
 
 def kept_lines(df: DataFrame, id_column: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
@@ -201,7 +222,7 @@ def kept_lines(df: DataFrame, id_column: str = "doc_id", text: str = "text", per
     not listed. A null text has no words.
     """
     texts = _keyed(df, id_column, text)
-    sets = staged(_sets(texts, percent), "sets")
+    sets = written(_sets(texts, percent), "sets")
     later = _later_lines(sets, texts, percent)
     return sets.join(later, "id", "left_anti").select("id.doc", "id.line", "n")
 

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -22,13 +23,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelloom.llm.columns import quoted, without
+from labelloom.llm.columns import quoted, without, written
 from labelloom.llm.components import smallest_reachable
 from labelloom.llm.words import joined, window_digests, word_codes
-from labelloom.session import staged
 
-# Words worked on together.
+# Words worked on together, and pairs.
 TOGETHER = 300_000
+PAIRS_TOGETHER = 2_000
+
+# Smallest members of a set that are kept to estimate how alike two sets are.
+LOWEST = 128
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -73,13 +77,34 @@ def _batched(texts: list[str | None]) -> Iterator[list[int]]:
             rows, size = [], 0
 
 
-def _collections(shingles: np.ndarray, factors: np.ndarray, shifts: np.ndarray, each: int) -> np.ndarray:
-    """One digest per collection of ``each`` minhashes."""
-    low = np.array([joined(shingles ^ s, np.full_like(shingles, f)).min() for f, s in zip(factors, shifts, strict=True)])
-    made = low[::each]
-    for i in range(1, each):
-        made = joined(made, low[i::each])
-    return made
+def _minhashes(sets: list[np.ndarray], factors: np.ndarray, shifts: np.ndarray) -> np.ndarray:
+    """One row of minhashes for every set; the sets must not be empty."""
+    whole = np.concatenate(sets)
+    starts = np.cumsum([0, *map(len, sets[:-1])])
+    return np.stack([np.minimum.reduceat((whole ^ s) * f, starts) for f, s in zip(factors, shifts, strict=True)], axis=1)
+
+
+def _cut(values: np.ndarray) -> np.ndarray:
+    """The upper 32 bits, as signed numbers in the same order."""
+    return ((values >> np.uint64(32)).astype(np.int64) - (1 << 31)).astype(np.int32)
+
+
+def _set_digests(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Two digests of every set; sums over distinct members do not depend on their order."""
+    whole = np.concatenate(sets)
+    starts = np.cumsum([0, *map(len, sets[:-1])])
+    low = np.bitwise_xor.reduceat(joined(whole, whole), starts)
+    return low, np.add.reduceat(joined(whole, ~whole), starts)
+
+
+def least_agreement(hashes: int, percent: int) -> int:
+    """Minhashes a pair at the limit agrees in at least, but for one pair in a million."""
+    p, tail = percent / 100, 0.0
+    for n in range(hashes + 1):
+        tail += comb(hashes, n) * p**n * (1 - p) ** (hashes - n)
+        if tail > 1e-6:
+            return n
+    return hashes
 
 
 SIGNATURES = [
@@ -87,11 +112,14 @@ SIGNATURES = [
     ("__llm_low", T.LongType()),
     ("__llm_high", T.LongType()),
     ("__llm_parts", T.ArrayType(T.LongType())),
+    ("__llm_hashes", T.ArrayType(T.IntegerType())),
+    ("__llm_lowest", T.ArrayType(T.IntegerType())),
 ]
 
 
 def _signatures(df: DataFrame, words: int, collections: int, each: int) -> DataFrame:
-    """Size of the set, a 128-bit digest of it, and the collections, of each row."""
+    """Size of each row's set, a 128-bit digest of it, its collections, its minhashes cut to 32
+    bits, and the LOWEST smallest members, cut likewise and in order."""
     random = np.random.default_rng(20240501)
     factors, shifts = random.integers(1, 2**63, (2, collections * each), np.uint64) | np.uint64(1)
     names = ["__llm_row", "__llm_hash"]
@@ -100,27 +128,37 @@ def _signatures(df: DataFrame, words: int, collections: int, each: int) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("__llm_text").to_pylist()
-            sizes, low, high, parts = [], [], [], []
             for rows in _batched(texts):
-                for made in shingle_sets([texts[r] for r in rows], words):
-                    sizes.append(len(made))
-                    if not len(made):
-                        low.append(0), high.append(0), parts.append([])
-                        continue
-                    # Sums over distinct members do not depend on their order.
-                    low.append(int(np.bitwise_xor.reduce(joined(made, made)).view(np.int64)))
-                    high.append(int(joined(made, made ^ np.uint64(len(made))).sum(dtype=np.uint64).view(np.int64)))
-                    parts.append(_collections(made, factors, shifts, each).view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *[batch.column(n) for n in names],
-                    pa.array(sizes, pa.int64()),
-                    pa.array(low, pa.int64()),
-                    pa.array(high, pa.int64()),
-                    pa.array(parts, pa.list_(pa.int64())),
-                ],
-                schema.names,
-            )
+                sets = shingle_sets([texts[r] for r in rows], words)
+                filled = [i for i, own in enumerate(sets) if len(own)]
+                sizes = np.array([len(own) for own in sets], np.int64)
+                low, high = np.zeros(len(sets), np.uint64), np.zeros(len(sets), np.uint64)
+                parts: list = [[]] * len(sets)
+                hashes: list = [[]] * len(sets)
+                if filled:
+                    found = [sets[i] for i in filled]
+                    low[filled], high[filled] = _set_digests(found)
+                    minhashes = _minhashes(found, factors, shifts)
+                    made = minhashes[:, ::each]
+                    for k in range(1, each):
+                        made = joined(made, minhashes[:, k::each])
+                    for i, own, short in zip(
+                        filled, made.view(np.int64), _cut(minhashes), strict=True
+                    ):
+                        parts[i], hashes[i] = own, short
+                where = pa.array(rows)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *[batch.column(n).take(where) for n in names],
+                        pa.array(sizes),
+                        pa.array(low.view(np.int64)),
+                        pa.array(high.view(np.int64)),
+                        pa.array(parts, pa.list_(pa.int64())),
+                        pa.array(hashes, pa.list_(pa.int32())),
+                        pa.array([_cut(own[:LOWEST]) for own in sets], pa.list_(pa.int32())),
+                    ],
+                    schema.names,
+                )
 
     return df.select(*names, "__llm_text").mapInArrow(run, schema)
 
@@ -147,6 +185,42 @@ def _first_meeting(collections: int) -> Column:
     return F.aggregate(agree, F.lit(0), lambda total, one: total + one) == 2
 
 
+def _agreement(one: str, other: str) -> Column:
+    """In how many places two arrays of one length agree."""
+    same = F.zip_with(one, other, lambda x, y: (x == y).cast("int"))
+    return F.aggregate(same, F.lit(0), lambda total, agrees: total + agrees)
+
+
+def _estimate(least: int) -> Column:
+    """Whether the sets' lowest members rule a pair out: of the LOWEST members of the union,
+    how many are in both sets. Smaller unions are left to the full comparison."""
+    union = F.slice(F.sort_array(F.array_union("lowest_a", "lowest_b")), F.lit(1), F.lit(LOWEST))
+    both = F.array_intersect(F.array_intersect("lowest_a", "lowest_b"), union)
+    return (F.size(union) < LOWEST) | (F.size(both) >= least)
+
+
+def _alike(collections: int, each: int, percent: int) -> Column:
+    """Filters on size, minhashes and lowest members of two classes, cheapest first."""
+    return (
+        _near_sizes("size_a", "size_b", percent)
+        & (_agreement("hashes_a", "hashes_b") >= least_agreement(collections * each, percent))
+        & _estimate(least_agreement(LOWEST, percent))
+    )
+
+
+def _side(classes: DataFrame, name: str) -> DataFrame:
+    """The classes as one side of a pair."""
+    return classes.select(F.col("head").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in SIDE])
+
+
+def _likely(pairs: DataFrame, classes: DataFrame, alike: Column) -> DataFrame:
+    """The pairs (a, b) of rows, given by id, as classes, where they can be alike."""
+    left, right = _side(classes, "a"), _side(classes, "b")
+    one = pairs.join(left, pairs["a"] == left["a.__llm_row"]).select("b", left["a"].alias("one"), *[f"{c}_a" for c in SIDE])
+    both = one.join(right.withColumnRenamed("b", "other"), F.col("b") == F.col("other.__llm_row"))
+    return both.filter(alike).select(F.col("one").alias("a"), F.col("other").alias("b"))
+
+
 def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """Links (a, b) between the ids of those pairs whose full sets agree in percent of their union."""
     left = texts.select(F.struct("__llm_row", "__llm_hash").alias("a"), F.col("__llm_text").alias("__llm_one"))
@@ -157,38 +231,42 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            one, other = (batch.column(c).to_pylist() for c in ("__llm_one", "__llm_other"))
-            good = np.zeros(batch.num_rows, bool)
-            for rows in _batched(one):
-                sets = shingle_sets([one[r] for r in rows], words)
-                others = shingle_sets([other[r] for r in rows], words)
-                for r, x, y in zip(rows, sets, others, strict=True):
+            for at in range(0, batch.num_rows, PAIRS_TOGETHER):
+                part = batch.slice(at, PAIRS_TOGETHER)
+                one, other = (part.column(c).to_pylist() for c in ("__llm_one", "__llm_other"))
+                # A text is in many pairs, one after the other: its set is made once here.
+                texts = list(dict.fromkeys([*one, *other]))
+                sets: dict[str, np.ndarray] = {}
+                for rows in _batched(texts):
+                    own = [texts[r] for r in rows]
+                    sets.update(zip(own, shingle_sets(own, words), strict=True))
+                good = []
+                for x, y in zip(map(sets.__getitem__, one), map(sets.__getitem__, other), strict=True):
                     shared = len(np.intersect1d(x, y, assume_unique=True))
-                    good[r] = shared > 0 and 100 * shared >= percent * (len(x) + len(y) - shared)
-            kept = pa.array(good)
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(kept), batch.column("b").filter(kept)], ["a", "b"])
+                    good.append(shared > 0 and 100 * shared >= percent * (len(x) + len(y) - shared))
+                kept = pa.array(good, pa.bool_())
+                yield pa.RecordBatch.from_arrays([part.column(c).filter(kept) for c in "ab"], ["a", "b"])
 
     return both.mapInArrow(run, "a long, b long")
 
 
+# What a class brings to a pair.
+SIDE = ["size", "parts", "hashes", "lowest"]
+
+
 def _near_sizes(one: str, other: str, percent: int) -> Column:
     """Sets whose sizes differ more cannot agree in percent of their union."""
     return 100 * F.least(one, other) >= percent * F.greatest(one, other)
 
 
-def _ordered(one: str, other: str) -> Column:
-    """A pair of classes with the smaller first."""
-    return F.struct(F.least(one, other).alias("a"), F.greatest(one, other).alias("b"))
-
-
 def components(
     df: DataFrame,
     id_column: str = "doc_id",
     text: str = "text",
     words: int = 5,
     percent: int = 80,
-    collections: int = 14,
-    each: int = 2,
+    collections: int = 16,
+    each: int = 3,
 ) -> DataFrame:
     """Adds n_shingles, component_id and kept to every document.
 
@@ -202,77 +280,79 @@ def components(
     replaced, others stay. Ids must be whole numbers.
 
     A pair at the limit itself meets in no table with probability p = P(fewer than two of
-    ``collections`` agree), where each agrees with (percent / 100) ** each: 1.6e-5 for 14
-    collections of 2 at 80, 7e-6 for 12 at 85, and much less above. Every pair that meets is
-    confirmed on full sets before it links anything.
+    ``collections`` agree), where each agrees with (percent / 100) ** each. For 16 collections
+    of 3 it is 1.8e-4 at 80, 6.4e-6 at 85 and 1e-8 at 90. Of the pairs that meet,
+    those are compared in full whose minhashes, and whose lowest members, agree as often as
+    with all but one pair in a million at the limit. No link is made without the full comparison.
     """
     if not isinstance(df.schema[id_column].dataType, T.IntegralType):
         raise ValueError("ids must be whole numbers")
     row = [df[quoted(id_column)].cast("long").alias("__llm_row"), F.hash(df[quoted(text)]).alias("__llm_hash")]
     rows = df.select(*row, df[quoted(text)].alias("__llm_text"))
-    signed = staged(_signatures(rows, words, collections, each), "signatures")
+    signed = written(_signatures(rows, words, collections, each), "signatures")
     # Classes of equal sets, named by their smallest row. A class stands for all its rows.
     same = ["__llm_low", "__llm_high", "__llm_size"]
-    classes = staged(
+    classes = written(
         signed.filter("__llm_size > 0 AND __llm_row IS NOT NULL")
         .groupBy(*same)
-        .agg(F.min(F.struct("__llm_row", "__llm_hash")).alias("head"), F.first("__llm_parts").alias("parts")),
+        .agg(
+            F.min(F.struct("__llm_row", "__llm_hash")).alias("head"),
+            F.first("__llm_parts").alias("parts"),
+            F.first("__llm_hashes").alias("hashes"),
+            F.first("__llm_lowest").alias("lowest"),
+        )
+        .withColumn("size", F.col("__llm_size")),
         "classes",
     )
     keyed = classes.select(
-        F.posexplode(_table_keys(F.col("parts"), collections)).alias("table", "key"),
-        "head",
-        F.col("__llm_size").alias("size"),
+        F.posexplode(_table_keys(F.col("parts"), collections)).alias("table", "key"), F.col("head.__llm_row").alias("head")
     )
     # The ends of each bucket; only buckets of two classes or more go on.
-    ends = staged(
-        keyed.groupBy("key")
-        .agg(F.min(F.struct("head", "size")).alias("low"), F.max(F.struct("head", "size")).alias("high"))
-        .filter("low.head < high.head"),
-        "buckets",
+    ends = written(
+        keyed.groupBy("key").agg(F.min("head").alias("low"), F.max("head").alias("high")).filter("low < high"), "buckets"
     )
-    met = staged(keyed.join(ends, "key"), "met")
-    first = staged(
-        met.select(F.explode(F.array("low", "high")).alias("end"), "head", "size")
-        .filter((F.col("head") != F.col("end.head")) & _near_sizes("size", "end.size", percent))
-        .select(_ordered("head", "end.head").alias("pair"))
-        .select("pair.a", "pair.b")
-        .distinct(),
-        "pairs",
+    met = written(keyed.join(ends, "key"), "met")
+    alike = _alike(collections, each, percent)
+    stars = (
+        met.select(F.explode(F.array("low", "high")).alias("end"), "head")
+        .filter(F.col("head") != F.col("end"))
+        .select(F.least("end", "head").alias("a"), F.greatest("end", "head").alias("b"))
+        .distinct()
     )
-    wanted = met.select("head.__llm_row", "head.__llm_hash").distinct()
-    texts = rows.join(wanted, ["__llm_row", "__llm_hash"], "left_semi")
-    texts = staged(texts.dropDuplicates(["__llm_row", "__llm_hash"]), "texts")
-    links = staged(_confirmed(first, texts, words, percent), "links")
-    labels = staged(smallest_reachable(links), "labels")
+    first = written(_likely(stars, classes, alike), "pairs")
+    wanted = met.select(F.col("head").alias("__llm_row")).distinct()
+    texts = rows.join(wanted, "__llm_row", "left_semi")
+    texts = written(texts.dropDuplicates(["__llm_row", "__llm_hash"]), "texts")
+    links = written(_confirmed(first, texts, words, percent), "links")
+    labels = written(smallest_reachable(links), "labels")
     # Buckets that still hold more than one component are compared across components.
-    labelled = met.join(labels, F.col("head.__llm_row") == F.col("node"), "left").select(
-        "key", "table", "head", "size", F.coalesce("component", "head.__llm_row").alias("component")
+    labelled = met.join(labels, F.col("head") == F.col("node"), "left").select(
+        "key", "table", "head", F.coalesce("component", "head").alias("component")
     )
     unsettled = (
         labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
     )
-    left = labelled.join(unsettled.select("key"), "key", "left_semi")
-    left = staged(left.join(classes.select("head", "parts"), "head"), "unsettled")
+    left = labelled.join(unsettled.select("key"), "key", "left_semi").withColumnRenamed("head", "row")
+    left = written(left.join(classes, F.col("row") == F.col("head.__llm_row")).drop("row", *same), "unsettled")
     one, other = (
-        left.select("key", "table", *[F.col(c).alias(f"{c}_{n}") for c in ("head", "size", "component", "parts")])
+        left.select("key", "table", F.col("head").alias(n), *[F.col(c).alias(f"{c}_{n}") for c in ("component", *SIDE)])
         for n in "ab"
     )
     second = (
         one.join(
             other.drop("table"),
             (one["key"] == other["key"])
-            & (F.col("head_a") < F.col("head_b"))
+            & (F.col("a") < F.col("b"))
             & (F.col("component_a") != F.col("component_b"))
-            & _near_sizes("size_a", "size_b", percent)
-            & _first_meeting(collections),
+            & _first_meeting(collections)
+            & alike,
         )
-        .select(F.col("head_a").alias("a"), F.col("head_b").alias("b"))
+        .select("a", "b")
         .join(first, ["a", "b"], "left_anti")
     )
-    more = staged(_confirmed(staged(second, "pairs"), texts, words, percent), "links")
-    labels = staged(smallest_reachable(links.union(more)), "labels")
-    of_class = staged(
+    more = written(_confirmed(written(second, "pairs"), texts, words, percent), "links")
+    labels = written(smallest_reachable(links.union(more)), "labels")
+    of_class = written(
         classes.join(labels, F.col("head.__llm_row") == F.col("node"), "left").select(
             *same, F.coalesce("component", "head.__llm_row").alias("__llm_component")
         ),

@@ -140,7 +140,7 @@ FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id, n
 @query("op5_minhash_dedup", OP5_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    linked = near_duplicates.components(docs, percent=85, collections=12)
+    linked = near_duplicates.components(docs, percent=85, collections=16)
     return linked.select("doc_id", "n_shingles", "component_id", "kept")
 
 

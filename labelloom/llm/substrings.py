@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelloom.llm.columns import quoted, without
+from labelloom.llm.columns import quoted, without, written
 from labelloom.llm.words import (
     LARGEST,
     joined,
@@ -33,7 +33,6 @@ from labelloom.llm.words import (
     window_digests,
     word_codes,
 )
-from labelloom.session import staged
 
 # Words worked on together, and windows gathered before their repeats are told.
 TOGETHER = 300_000
@@ -291,7 +290,7 @@ def repeated_windows(df: DataFrame, window: int = 35, id_column: str = "doc_id",
     """Rows (the row's key, start, run): windows from start on, run of them, occur elsewhere."""
     pieces = df.select(*_key(df, id_column, text), F.lit(0).alias(STRETCH[2]), df[quoted(text)].alias("__llm_body"))
     for length in level_lengths(window):
-        pieces = staged(_narrowed(pieces, _counted(pieces, window, length), window, length), f"stretches-{length}")
+        pieces = written(_narrowed(pieces, _counted(pieces, window, length), window, length), f"stretches-{length}")
     found = _counted(pieces, window, None)
     return found.withColumn("__llm_place", F.col("__llm_place") + F.col(STRETCH[2])).drop(STRETCH[2])
 

@@ -165,7 +165,7 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch):
     docs = list(enumerate(docs)) + [(900, None), (901, ""), (902, " \n"), (903, "a b"), (904, "A  b"), (905, "x")]
     table = spark.createDataFrame([(d, t, "old") for d, t in docs], "doc_id long, text string, KEPT string").repartition(4)
     component, size = components_by_hand(docs, 80)
-    got = {r["doc_id"]: r for r in near_duplicates.components(table, collections=20).collect()}
+    got = {r["doc_id"]: r for r in near_duplicates.components(table, collections=24).collect()}
     assert {d: r["component_id"] for d, r in got.items()} == component
     assert {d: r["n_shingles"] for d, r in got.items()} == size
     assert all(r["kept"] == (d == component[d]) for d, r in got.items())
