@@ -6,10 +6,10 @@ its first words only (the prefix filter). Pairs that meet must also fit in lengt
 places of the shared word and in a mask of their words, then share four words of slightly longer
 prefixes, and are at last compared in full.
 
-A word that many prefixes hold would bring many lines together. Its lines are first held
-against the earliest of them. Those that find no match there are looked up again by two such
-words at once, of which similar lines share a pair too. So neither a word many lines have in
-common nor a large group of near copies makes all pairs of its lines.
+A line is first held against the earliest line of each of its words. Only lines that find no
+match there are held against the others: for a word of few lines all of them, for more frequent
+words those that share two such words, of which similar lines share a pair too. So neither a
+word many lines have in common nor a large group of near copies makes all pairs of its lines.
 
 Everything is built from Spark's own functions. Words stand in the join as 63-bit numbers that
 sort by rarity: 16 bits of the word's hash choose a counter, the counter's rank comes first,
@@ -168,49 +168,71 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, texts: DataFrame, percent: int
     return both.filter(100 * shared >= percent * union).select("id").distinct()
 
 
+def _rows(sets: DataFrame, percent: int, *more: str) -> DataFrame:
+    """A row for every word of the prefixes, dealt by the word."""
+    words = F.slice("prefix", F.lit(1), _prefix(F.col("n"), percent, 2))
+    return sets.select("id", "n", "mask", *more, F.posexplode(words).alias("place", "word")).repartition("word")
+
+
+def _others(rows: DataFrame, *keys: str) -> DataFrame:
+    """The rows as the earlier line of a pair."""
+    return rows.select(*keys, *[F.col(c).alias(a) for c, a in OTHER.items() if c in rows.columns])
+
+
 def _later_lines(sets: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The ids of the sets that are near copies of an earlier line's set."""
-    rows = sets.select(
-        "id",
-        "n",
-        "mask",
-        F.posexplode(F.slice("prefix", F.lit(1), _prefix(F.col("n"), percent, 2))).alias("place", "word"),
-    ).repartition("word")
+    """The ids of the sets that are near copies of an earlier line's set.
+
+    First every line is held against the earliest line of each of its words, which settles most
+    of a large group of near copies. Only lines without a match go on to look at the others.
+    """
+    rows = _rows(sets, percent)
     words = rows.groupBy("word").agg(F.count("*").alias("lines"), F.min(F.struct("id", "n", "mask")).alias("first"))
-    others = rows.select("word", *[F.col(c).alias(a) for c, a in OTHER.items()])
-    # What the two lines can still share from this word on, and the word itself.
+    words = words.filter("lines > 1")
+    star = (
+        rows.join(words, "word")
+        .select("id", "n", "mask", *[F.col(f"first.{c}").alias(a) for c, a in OTHER.items() if c != "place"])
+        .filter("other < id")
+        .filter(_fitting(percent))
+        .select("id", "other")
+    )
+    settled = written(_confirmed(star, sets, texts, percent), "settled")
+    flagged = sets.join(settled.withColumn("settled", F.lit(True)), "id", "left").withColumn("open", F.col("settled").isNull())
+    rows = _rows(flagged, percent, "open")
+    words = rows.groupBy("word").agg(F.count("*").alias("lines"), F.max("open").alias("asked")).filter("lines > 1 AND asked")
+    # What the two lines can still share from the word on, with what stands before it.
     ahead = F.least(F.col("n") - F.col("place"), F.col("other_n") - F.col("other_place"))
     behind = F.least("place", "other_place")
     few = (
-        rows.join(words.filter(F.col("lines").between(2, FEW)).select("word"), "word")
-        .join(others, "word")
+        rows.filter("open")
+        .join(words.filter(F.col("lines") <= FEW).select("word"), "word")
+        .join(_others(rows, "word"), "word")
         .filter("other < id")
         .filter(_fitting(percent))
         .filter(ahead + behind >= _least_overlap(F.col("n"), F.col("other_n"), percent))
         .select("id", "other")
     )
+    few = written(few.distinct(), "pairs")
     frequent = written(
-        rows.join(words.filter(F.col("lines") > FEW).select("word", "first"), "word").select("id", "n", "mask", "word", "first"),
+        rows.join(words.filter(F.col("lines") > FEW).select("word"), "word").select("id", "n", "mask", "open", "word"),
         "frequent",
     )
-    star = (
-        frequent.select("id", "n", "mask", *[F.col(f"first.{c}").alias(a) for c, a in OTHER.items() if c != "place"])
+    # Lines of more frequent words, by two of them at once.
+    listed = frequent.groupBy("id", "n", "mask", "open").agg(F.array_sort(F.collect_set("word")).alias("words"))
+    own = ["id", "n", "mask", "open"]
+    twos = (
+        listed.filter("size(words) > 1")
+        .select(*own, "words", F.posexplode("words").alias("at", "one"))
+        .select(*own, "one", F.explode(F.slice("words", F.col("at") + 2, F.size("words"))).alias("two"))
+    )
+    twos = written(twos, "twos")
+    second = (
+        twos.filter("open")
+        .join(_others(twos, "one", "two"), ["one", "two"])
         .filter("other < id")
         .filter(_fitting(percent))
         .select("id", "other")
     )
-    settled = written(_confirmed(few.union(star), sets, texts, percent), "settled")
-    # Lines without a match so far, by two frequent words at once.
-    listed = frequent.groupBy("id", "n", "mask").agg(F.array_sort(F.collect_set("word")).alias("words")).filter("size(words) > 1")
-    places = F.posexplode("words").alias("at", "one")
-    twos = listed.select("id", "n", "mask", "words", places).select(
-        "id", "n", "mask", "one", F.explode(F.slice("words", F.col("at") + 2, F.size("words"))).alias("two")
-    )
-    twos = written(twos, "twos")
-    probes = twos.join(settled, "id", "left_anti")
-    met = twos.select("one", "two", *[F.col(c).alias(a) for c, a in OTHER.items() if c != "place"])
-    second = probes.join(met, ["one", "two"]).filter("other < id").filter(_fitting(percent)).select("id", "other")
-    return settled.union(written(_confirmed(second, sets, texts, percent), "settled"))
+    return settled.union(written(_confirmed(few.union(second), sets, texts, percent), "settled"))
 
 
 def kept_lines(df: DataFrame, id_column: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
