@@ -13,6 +13,10 @@ FILE = "__file"
 RECORD = "__record"
 OBJECT = "__object"
 
+# White space of JSON, and the mark some writers put at the start of a file.
+SPACE = " \t\r\n"
+BYTE_ORDER_MARK = "\ufeff"
+
 # ---- Fixed values: the raw record ------------------------------------------------
 RAW_RECORD = T.StructType(
     [
@@ -41,22 +45,31 @@ RAW_RECORD = T.StructType(
 )
 
 
+def _unmarked(text: Column) -> Column:
+    return F.when(text.startswith(BYTE_ORDER_MARK), F.substr(text, F.lit(2))).otherwise(text)
+
+
+def _opens_with(text: Column, sign: str) -> Column:
+    """Whether the JSON value begins with this sign, after any white space."""
+    return F.ltrim(text, F.lit(SPACE)).startswith(sign)
+
+
 def _read(spark: SparkSession, directory: str, pattern: str) -> DataFrame:
     """Every record as JSON text, with its file name: the elements of an array, or the file.
 
     A file is read whole, as its text is one JSON value. An array is cut into the texts of
     its elements before any field is looked at, so a bad field costs its own record at most.
-    A file that is no JSON stays one record. A missing directory is Spark's own error.
+    A byte order mark is no part of the value. A file that is no JSON stays one record. A missing directory is Spark's own error.
     """
     files = (
         spark.read.option("pathGlobFilter", pattern)
         .text(directory, wholetext=True)
-        .select(F.col("value"), F.col("_metadata.file_name").alias(FILE))
+        .select(_unmarked(F.col("value")).alias("value"), F.col("_metadata.file_name").alias(FILE))
     )
     if not _has_files(spark, directory, pattern):
         raise FileNotFoundError(f"no {pattern} files in {directory!r}")
     elements = F.from_json("value", "array<string>")
-    listed = F.when(F.ltrim("value").startswith("[") & elements.isNotNull(), elements).otherwise(F.array("value"))
+    listed = F.when(_opens_with(F.col("value"), "[") & elements.isNotNull(), elements).otherwise(F.array("value"))
     return files.select(FILE, F.explode(listed).alias(RECORD))
 
 
@@ -84,7 +97,7 @@ def _typed(raw: Column, dtype: T.DataType) -> Column:
 def _parsed(records: DataFrame, schema: T.StructType) -> DataFrame:
     """Adds each field, and BAD: the text is no object, or a field holds no value of its type."""
     texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    opened = records.withColumn(OBJECT, F.when(F.ltrim(RECORD).startswith("{"), F.from_json(RECORD, texts)))
+    opened = records.withColumn(OBJECT, F.when(_opens_with(F.col(RECORD), "{"), F.from_json(RECORD, texts)))
     broken = F.try_parse_json(RECORD).isNull() | F.col(OBJECT).isNull()
     fields = {f.name: _typed(F.col(OBJECT)[f.name], f.dataType) for f in schema.fields}
     typed = opened.select(FILE, RECORD, OBJECT, broken.alias(BAD), *[v.alias(n) for n, v in fields.items()])

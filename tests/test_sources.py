@@ -73,6 +73,18 @@ def test_one_bad_field_costs_one_record(spark, tmp_path):
     ]
 
 
+@pytest.mark.parametrize("start", ["\n", "\r\n\t ", "\t", "\ufeff", "\ufeff\n\t"])
+def test_white_space_and_byte_order_marks_may_lead(spark, tmp_path, start):
+    array = [{**RECORD, "src_uid": "a1"}, {**RECORD, "src_uid": "bad", "tags": 5}, {**RECORD, "src_uid": "a2"}]
+    for name, value in (("array.json", array), ("object.json", {**RECORD, "src_uid": "o"})):
+        (tmp_path / name).write_bytes((start + json.dumps(value, indent=1) + "\n").encode())
+    (tmp_path / "spaced.json").write_bytes((start + '[\n\t{"src_uid": "s1"}\n,\r\n {"src_uid": "s2"}]').encode())
+    found = records.scan_json_records(spark, str(tmp_path)).collect()
+    assert sorted(r["src_uid"] for r in found) == ["a1", "a2", "o", "s1", "s2"]
+    bad = records.quarantine_corrupt(spark, str(tmp_path)).collect()
+    assert [(r["file_name"], json.loads(r["record"])["src_uid"]) for r in bad] == [("array.json", "bad")]
+
+
 def test_missing_directory_and_no_files(spark, tmp_path):
     with pytest.raises(AnalysisException):
         records.scan_json_records(spark, str(tmp_path / "absent"))
