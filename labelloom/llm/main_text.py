@@ -24,10 +24,13 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp "
     "small span strike strong sub sup time tt u var wbr".split()
+) | set(
+    "math merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub "
+    "msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
 )
 IN_HEAD = set("base link meta noscript script style template title".split())
 DROPPED = set(
-    "applet aside audio button canvas datalist dialog embed footer form frameset head iframe input math menu nav "
+    "annotation annotation-xml applet aside audio button canvas datalist dialog embed footer form frameset head iframe input menu nav "
     "noframes noscript object option script select style svg template textarea title video".split()
 )
 DROPPED_ROLES = set(
@@ -40,7 +43,26 @@ DROPPED_PARTS = set(
     "replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe subscription "
     "toolbar widget widgets".split()
 )
+# Words that only place or count a part: with them a name of a part stays one.
+LAYOUT_WORDS = set(
+    "aside area article bar blog block body bottom box btn button buttons center col column container content desktop "
+    "entry fb fixed floating global google group header holder icon icons inline inner item items js left link links "
+    "list main mobile outer page panel post posts primary right row secondary section site slot sticky text thread "
+    "title top unit wp wrap wrapper".split()
+)
+# Inside a marked article: whole names that are no text of it, and roles.
+ARTICLE_DROPPED_PARTS = set(
+    "ad ad-banner ad-box ad-container ad-slot ad-unit ad-wrapper adbox ads adslot advert advertisement advertisements "
+    "adverts breadcrumb breadcrumbs comment comment-form comment-list comment-respond comments comments-area "
+    "comments-list comments-section cookie-banner cookie-notice disqus disqus-thread menu nav navbar newsletter "
+    "newsletter-signup pager pagination popup post-comments post-navigation promo related related-articles "
+    "related-posts replies share share-buttons share-links sidebar signup social-links social-share sponsor sponsored "
+    "subscribe toolbar widget widgets".split()
+)
+ARTICLE_DROPPED_ROLES = DROPPED_ROLES - {"alert", "form"}
 MARKED_ARTICLE = {"article", "main"}
+# The ids of these name what their text is about.
+HEADED = set("h1 h2 h3 h4 h5 h6 section".split())
 CLOSES_PARAGRAPH = set(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 "
     "h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
@@ -50,13 +72,24 @@ _NAME = re.compile(r"[a-z]+|[0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
+def _words(name: str) -> list[str]:
+    return _NAME.findall(_CAMEL.sub("-", name).lower())
+
+
 def _is_part(name: str) -> bool:
-    """Whether a class or id names a part to drop by its first or last word."""
-    words = _NAME.findall(_CAMEL.sub("-", name).lower())
+    """Whether a class or id names a part to drop by its first or last word, its others known too."""
+    words = _words(name)
     if not words or words[0] in {"has", "is", "no", "non", "with", "without"}:
         return False
     letters = [w for w in words if w.isalpha()]
-    return bool(letters) and (letters[0] in DROPPED_PARTS or letters[-1] in DROPPED_PARTS)
+    if not letters or not (letters[0] in DROPPED_PARTS or letters[-1] in DROPPED_PARTS):
+        return False
+    return all(len(w) == 1 or w in DROPPED_PARTS or w in LAYOUT_WORDS for w in letters)
+
+
+def _is_whole_part(name: str) -> bool:
+    """Whether a class or id is, as a whole, the name of a part no article has."""
+    return "-".join(_words(name)) in ARTICLE_DROPPED_PARTS
 
 
 class _Lines(HTMLParser):
@@ -94,16 +127,23 @@ class _Lines(HTMLParser):
     def _is_dropped(self, tag: str, attributes: dict[str, str]) -> bool:
         if tag in DROPPED:
             return True
+        is_part = _is_whole_part if self.marked else _is_part
+        classes = attributes.get("class", "").split()
         if tag in {"html", "body", *MARKED_ARTICLE}:
-            return tag == "article" and any(map(_is_part, attributes.get("class", "").split()))
-        if attributes.get("role", "").lower() in DROPPED_ROLES or "hidden" in attributes:
+            return tag == "article" and any(map(is_part, classes))
+        roles = ARTICLE_DROPPED_ROLES if self.marked else DROPPED_ROLES
+        if attributes.get("role", "").lower() in roles or "hidden" in attributes:
             return True
         if attributes.get("aria-hidden", "").lower() == "true" or re.search(
             r"display\s*:\s*none", attributes.get("style", ""), re.IGNORECASE
         ):
             return True
-        names = [*attributes.get("class", "").split(), attributes.get("id", "")]
-        if any(map(_is_part, names)):
+        own_id, names = attributes.get("id", ""), classes
+        if tag not in HEADED and "section" not in classes:
+            names = [*classes, own_id]
+        elif not self.marked and _is_whole_part(own_id):
+            return True
+        if any(map(is_part, names)):
             return True
         # A page's header is no part of its article, an article's own header is.
         head = tag == "header" or any(_NAME.findall(n.lower())[-1:] == ["header"] for n in names)

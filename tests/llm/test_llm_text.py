@@ -182,6 +182,41 @@ def test_main_text_leaves_out_the_rest(html):
     assert main_text.main_text(html) == TEXT
 
 
+@pytest.mark.parametrize(
+    "part",
+    [
+        "<section id='search-algorithms'>{}</section>",
+        "<section id='comments'>{}</section>",
+        "<div class='section' id='navigation'>{}</div>",
+        "<section id='social-effects'>{}</section>",
+        "<div class='form-factor'>{}</div>",
+        "<p class='share-price'>{}</p>",
+        "<p class='notice'>{}</p>",
+        "<h2 id='advertising'>{}</h2>",
+        "<h2 id='http-header'>{}</h2>",
+        "<p><math><mi>{}</mi></math></p>",
+    ],
+)
+def test_names_of_topics_are_no_parts_to_drop(part):
+    words = "words that " + "belong to the article " * 5 + "itself"
+    page = part.format(words)
+    for tag in ("article", "main"):
+        dropped = "<div class='ad'>Buy</div><div id='comments'>I agree</div><ul class='menu'><li>Home</ul><div role='navigation'>Up</div>"
+        assert main_text.main_text(f"<{tag}>{BODY}{page}{dropped}{BODY}</{tag}>") == f"{TEXT} {words} {TEXT}"
+    if "comments" not in part and "notice" not in part:
+        assert main_text.main_text(f"<body>{BODY}{page}{BODY}</body>") == f"{TEXT} {words} {TEXT}"
+
+
+def test_formulas_stay_in_their_line():
+    formula = "<math><semantics><mrow><mi>x</mi><mo>=</mo><mn>1</mn></mrow><annotation>x = 1</annotation></semantics></math>"
+    assert main_text.main_text(f"<article><p>Let {formula} hold.</p></article>") == "Let x=1 hold."
+
+
+def test_an_article_is_not_dropped_for_its_tags():
+    page = f"<article class='post-12 post tag-search category-sponsored'>{BODY}</article><article class='comment'>{BODY}</article>"
+    assert main_text.main_text(page) == TEXT
+
+
 def test_main_text_of_short_and_odd_pages():
     assert main_text.main_text(None) == main_text.main_text("") == main_text.main_text("<nav>Home</nav>") == ""
     assert main_text.main_text("plain &lt;text&gt; only") == "plain <text> only"
