@@ -2,9 +2,9 @@
 
 A page is stripped to lines, one per block of the layout. What is no article by its markup
 (menus, forms, adverts, comments, ...) becomes empty lines. Text lengths are summed over
-windows of neighbouring lines. The first window that reaches the threshold is the surge
-point, the last one before the sums fall for good the dive point; the lines between are the
-article. Where a page marks its article, lines outside it weigh nothing and those inside it
+windows of neighbouring lines. From the first and the last window that reach the threshold the
+article goes on, back to the surge point and ahead to the dive point, for as long as the sums
+are not zero, so short blocks at either end of it stay. Where a page marks its article, lines outside it weigh nothing and those inside it
 weigh enough to be found however short they are.
 """
 
@@ -30,8 +30,8 @@ INLINE = set(
 )
 IN_HEAD = set("base link meta noscript script style template title".split())
 DROPPED = set(
-    "annotation annotation-xml applet aside audio button canvas datalist dialog embed footer form frameset head iframe input menu nav "
-    "noframes noscript object option script select style svg template textarea title video".split()
+    "annotation annotation-xml applet aside audio button canvas datalist dialog embed footer form frameset head iframe "
+    "input menu nav noframes noscript object option script select style svg template textarea title video".split()
 )
 DROPPED_ROLES = set(
     "alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split()
@@ -221,8 +221,12 @@ def main_text(html: str | None, window: int = 3, threshold: int = 80) -> str:
     if not most:
         return ""
     reached = [i for i, total in enumerate(sums) if total >= min(threshold, most)]
-    surge, dive = reached[0], reached[-1] + window
-    weighty = [i for i in range(surge, min(dive, len(lines))) if weights[i]]
+    surge, dive = reached[0], reached[-1]
+    while surge and sums[surge - 1]:
+        surge -= 1
+    while dive < len(sums) and sums[dive]:
+        dive += 1
+    weighty = [i for i in range(surge, dive) if weights[i]]
     return " ".join(lines[i][0] for i in range(weighty[0], weighty[-1] + 1) if lines[i][0] and (weights[i] or not inside))
 
 

@@ -217,6 +217,21 @@ def test_an_article_is_not_dropped_for_its_tags():
     assert main_text.main_text(page) == TEXT
 
 
+SHORT = "".join(f"<li>a short line {i}</li>" for i in range(10))
+SHORT_TEXT = " ".join(f"a short line {i}" for i in range(10))
+
+
+@pytest.mark.parametrize("before, after", [(True, True), (True, False), (False, True)])
+def test_short_blocks_at_the_ends_of_unmarked_pages_stay(before, after):
+    head, tail = f"<ol>{SHORT}</ol>" * before, f"<pre>{SHORT}</pre><div class='ad'>Buy</div><ul>{SHORT}</ul>" * after
+    text = " ".join([SHORT_TEXT] * before + [TEXT] + [SHORT_TEXT, SHORT_TEXT] * after)
+    links = "<ul>" + "<li><a href=/>Home of links</a>" * 4 + "</ul>"
+    assert main_text.main_text(f"<body>{head}{BODY}{tail}</body>") == text
+    assert main_text.main_text(f"<p>Our site</p>{links}{head}{BODY}{tail}{links}<p>All rights reserved</p>") == text
+    # Long paragraphs after a gap are the article's too, as before.
+    assert main_text.main_text(f"{head}{BODY}{links}{BODY}{tail}").endswith(TEXT + f" {SHORT_TEXT} {SHORT_TEXT}" * after)
+
+
 def test_main_text_of_short_and_odd_pages():
     assert main_text.main_text(None) == main_text.main_text("") == main_text.main_text("<nav>Home</nav>") == ""
     assert main_text.main_text("plain &lt;text&gt; only") == "plain <text> only"
