@@ -31,6 +31,11 @@ from labelloom.llm.words import joined, window_digests, word_codes
 TOGETHER = 300_000
 PAIRS_TOGETHER = 2_000
 
+# Pairs at the limit that may be missed, where the number of collections is not given, and the
+# most collections taken by themselves (their tables are half as many as their square).
+MISS = 1e-6
+MOST_COLLECTIONS = 64
+
 # Smallest members of a set that are kept to estimate how alike two sets are.
 LOWEST = 128
 
@@ -107,6 +112,20 @@ def least_agreement(hashes: int, percent: int) -> int:
     return hashes
 
 
+def miss_rate(collections: int, each: int, percent: int) -> float:
+    """The probability that a pair at the limit meets in no table."""
+    p = (percent / 100) ** each
+    return (1 - p) ** collections + collections * p * (1 - p) ** (collections - 1)
+
+
+def enough_collections(percent: int, each: int) -> int:
+    """The fewest collections that miss no more than MISS of the pairs at the limit."""
+    for collections in range(2, MOST_COLLECTIONS + 1):
+        if miss_rate(collections, each, percent) <= MISS:
+            return collections
+    raise ValueError(f"{percent} percent needs more than {MOST_COLLECTIONS} collections of {each}: give collections and each")
+
+
 SIGNATURES = [
     ("__llm_size", T.LongType()),
     ("__llm_low", T.LongType()),
@@ -265,7 +284,7 @@ def components(
     text: str = "text",
     words: int = 5,
     percent: int = 80,
-    collections: int = 16,
+    collections: int | None = None,
     each: int = 3,
 ) -> DataFrame:
     """Adds n_shingles, component_id and kept to every document.
@@ -280,13 +299,15 @@ def components(
     replaced, others stay. Ids must be whole numbers.
 
     A pair at the limit itself meets in no table with probability p = P(fewer than two of
-    ``collections`` agree), where each agrees with (percent / 100) ** each. For 16 collections
-    of 3 it is 1.8e-4 at 80, 6.4e-6 at 85 and 1e-8 at 90. Of the pairs that meet,
-    those are compared in full whose minhashes, and whose lowest members, agree as often as
+    ``collections`` agree), where each agrees with (percent / 100) ** each. If not given they
+    are so many that p is 1e-6 at most: 24 at 80 (8.7e-7). For 16 collections of 3 it is 1.8e-4
+    at 80, 6.4e-6 at 85 and 1e-8 at 90. Of the pairs that meet, those are compared in full whose minhashes, and whose lowest members, agree as often as
     with all but one pair in a million at the limit. No link is made without the full comparison.
     """
     if not isinstance(df.schema[id_column].dataType, T.IntegralType):
         raise ValueError("ids must be whole numbers")
+    if collections is None:
+        collections = enough_collections(percent, each)
     row = [df[quoted(id_column)].cast("long").alias("__llm_row"), F.hash(df[quoted(text)]).alias("__llm_hash")]
     rows = df.select(*row, df[quoted(text)].alias("__llm_text"))
     signed = written(_signatures(rows, words, collections, each), "signatures")

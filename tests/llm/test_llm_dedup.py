@@ -171,6 +171,27 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch):
     assert all(r["kept"] == (d == component[d]) for d, r in got.items())
 
 
+def test_near_duplicates_miss_one_pair_in_a_million_at_most():
+    given = near_duplicates.enough_collections
+    assert given(80, 3) == 24 and near_duplicates.miss_rate(24, 3, 80) < 1e-6 < near_duplicates.miss_rate(23, 3, 80)
+    assert 1.8e-4 < near_duplicates.miss_rate(16, 3, 80) < 1.9e-4 and 6e-6 < near_duplicates.miss_rate(16, 3, 85) < 7e-6
+    assert given(100, 3) == 2 and all(near_duplicates.miss_rate(given(p, 3), 3, p) <= 1e-6 for p in range(70, 101))
+    with pytest.raises(ValueError):
+        given(20, 3)
+
+
+def test_production_parameters_link_pairs_at_the_limit(spark):
+    # Of 1000 words the last 111 differ: 885 of 1107 shingles are in both, just under 80 percent;
+    # with 110 it is 886 of 1106, just over.
+    rows = []
+    for i in range(60):
+        for j, changed in enumerate((0, 110, 111)):
+            words = [f"w{i}x{k}" for k in range(1000 - changed)] + [f"v{i}x{j}x{k}" for k in range(changed)]
+            rows.append((3 * i + j, " ".join(words)))
+    got = near_duplicates.components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {d: d - (d % 3 == 1) for d, _ in rows}
+
+
 def test_near_duplicates_of_odd_tables(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert near_duplicates.components(empty).count() == 0
