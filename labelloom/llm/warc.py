@@ -19,6 +19,9 @@ from labelloom.session import new_path
 # Rows of one payload are dealt to so many tasks when they look for its first record.
 SALTS = 16
 
+# Payloads of fewer bytes are dealt to so many tasks for their responses: many may share them.
+SHORT = 256
+
 END = "\r\n"
 
 # Names and values of the WARC 1.1 format, fixed values.
@@ -158,53 +161,102 @@ def read_payloads(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _joined(records: DataFrame, payloads: DataFrame, id_column: str) -> DataFrame:
-    """Records with their payload's columns; a payload's many records go to several tasks."""
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__llm_salt")
-    many = payloads.select("*", salts)
-    salted = records.withColumn("__llm_salt", F.pmod(F.xxhash64(id_column), F.lit(SALTS)).cast("int"))
-    return salted.join(many, ["payload_digest", "__llm_salt"], "left").drop("__llm_salt")
+def _salt() -> Column:
+    """The task a record is dealt to; records without an id are told apart by their target."""
+    return F.pmod(F.xxhash64("header"), F.lit(SALTS)).cast("int")
 
 
-def read_pages(spark: SparkSession, folder: str, id_type: str = "long") -> DataFrame:
-    """The archived pages' records with the size of their full payload, read back and checked.
+def _salts() -> Column:
+    return F.sequence(F.lit(0), F.lit(SALTS - 1))
+
+
+def _without_payload(kind: str) -> Column:
+    return F.raise_error(F.concat(F.lit("record without its payload: "), F.col("header"))).cast(kind)
+
+
+def _responses(records: DataFrame, payloads: DataFrame) -> DataFrame:
+    """The responses with their payload, which must have the length the header tells.
+
+    A record of no known type is held to the same, not passed over. A short payload may have
+    many responses: it is copied for several tasks. A longer one has one, but for rows without
+    a page_id and repeated rows, which Spark can split.
+    """
+    salts = F.when(F.octet_length("payload") < SHORT, _salts()).otherwise(F.array(F.lit(0)))
+    many = payloads.select("*", F.explode(salts).alias("__llm_salt"))
+    own_salt = F.when(F.col("content_length") < SHORT, _salt()).otherwise(0)
+    found = records.filter("NOT record_type <=> 'revisit'").withColumn("__llm_salt", own_salt)
+    joined = found.join(many, ["payload_digest", "__llm_salt"], "left").drop("__llm_salt")
+    whole = F.coalesce(F.col("content_length") == F.octet_length("payload"), F.lit(False))
+    return joined.withColumn("payload", F.when(whole, F.col("payload")).otherwise(_without_payload("binary")))
+
 
-    Sizes are taken from the stored bytes after they were checked against their digest. Only
-    digest and size travel to the records, so a payload with many records is not copied.
+def _revisits(records: DataFrame, payloads: DataFrame) -> DataFrame:
+    """The revisits with payload_bytes, the size of the stored payload they name.
+
+    Only digest and size travel, so a payload with many revisits is not copied.
     """
-    sizes = read_payloads(spark, folder).select(
-        "payload_digest", F.octet_length("payload").cast("long").alias("payload_bytes")
+    sizes = payloads.select(
+        "payload_digest", F.octet_length("payload").cast("long").alias("payload_bytes"), F.explode(_salts()).alias("__llm_salt")
     )
-    records = read_records(spark, folder, id_type)
-    whole = (F.col("record_type") == "revisit") | (F.col("content_length") == F.col("payload_bytes"))
-    checked = F.when(F.coalesce(whole, F.lit(False)), F.col("payload_bytes")).otherwise(
-        F.raise_error(F.concat(F.lit("record without its payload: "), F.col("header"))).cast("long")
+    found = records.filter("record_type = 'revisit'").withColumn("__llm_salt", _salt())
+    joined = found.join(sizes, ["payload_digest", "__llm_salt"], "left").drop("__llm_salt")
+    return joined.withColumn("payload_bytes", F.coalesce("payload_bytes", _without_payload("long")))
+
+
+def _record(own: Column) -> Column:
+    return F.concat(F.encode("header", "UTF-8"), own, F.encode(F.lit(END + END), "UTF-8"))
+
+
+def read_pages(spark: SparkSession, folder: str, id_type: str = "long") -> DataFrame:
+    """The archived pages' records with size and digest of their full payload, read back and checked.
+
+    Responses are put together byte for byte, and size and digest are those of what the whole
+    record holds between its header and its closing line ends. A revisit holds nothing there:
+    its size and digest are those of the stored payload. Stored bytes are checked against their
+    digest, and a record of either type whose payload is not stored is an error.
+    """
+    records, payloads = read_records(spark, folder, id_type), read_payloads(spark, folder)
+    columns = [*records.columns, "payload_bytes"]
+    rebuilt = _responses(records, payloads).withColumn("record", _record(F.col("payload"))).drop("payload")
+    size = F.octet_length("record") - F.octet_length("header") - len(END + END)
+    held = rebuilt.withColumn("own", F.substr("record", F.octet_length("header") + 1, size)).withColumns(
+        {"payload_bytes": F.octet_length("own").cast("long"), "found": F.sha2("own", 256)}
     )
-    return _joined(records, sizes, "page_id").withColumn("payload_bytes", checked)
+    digest = F.when(F.col("found") == F.col("payload_digest"), F.col("found")).otherwise(_without_payload("string"))
+    return held.withColumn("payload_digest", digest).select(columns).union(_revisits(records, payloads).select(columns))
 
 
 def rebuild_records(spark: SparkSession, folder: str) -> DataFrame:
     """The original records, byte for byte: header, own payload, and the closing line ends.
 
-    A revisit carries no payload of its own, so its record has none; payload is the full one.
+    A revisit carries no payload of its own, so its record has none; payload is the full one,
+    copied to those tasks only that have revisits of it.
     """
-    records = read_records(spark, folder)
-    stored = read_payloads(spark, folder)
-    full = records.join(stored, "payload_digest", "left")
-    own = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.encode(F.lit(""), "UTF-8"))
-    whole = F.concat(F.encode("header", "UTF-8"), own, F.encode(F.lit(END + END), "UTF-8"))
-    return full.select("page_id", "url", "record_type", "refers_to", "payload_digest", "payload", whole.alias("record"))
+    records, payloads = read_records(spark, folder), read_payloads(spark, folder)
+    columns = ["page_id", "url", "record_type", "refers_to", "payload_digest", "payload", "record"]
+    responses = _responses(records, payloads).withColumn("record", _record(F.col("payload")))
+    later = records.filter("record_type = 'revisit'").withColumn("__llm_salt", _salt())
+    dealt = payloads.join(later.select("payload_digest", "__llm_salt").distinct(), "payload_digest")
+    revisits = later.join(dealt, ["payload_digest", "__llm_salt"], "left").withColumns(
+        {
+            "payload": F.coalesce("payload", _without_payload("binary")),
+            "record": _record(F.encode(F.lit(""), "UTF-8")),
+        }
+    )
+    return responses.select(columns).union(revisits.select(columns))
 
 
 def export_warc(spark: SparkSession, archive: str, folder: str) -> None:
     """The records as plain WARC files, one per task, written by Spark.
 
-    The text writer ends each row with the two line ends that close a record.
+    The text writer ends each row with the two line ends that close a record. Only responses
+    need their payloads.
     """
-    records, stored = read_records(spark, archive), read_payloads(spark, archive)
-    own = F.when(F.col("record_type") == "response", F.decode("payload", "UTF-8")).otherwise("")
-    joined = records.join(stored, "payload_digest", "left")
-    joined.select(F.concat("header", own).alias("value")).write.option("lineSep", END + END).text(folder)
+    records = read_records(spark, archive)
+    responses = _responses(records, read_payloads(spark, archive))
+    made = responses.select(F.concat("header", F.decode("payload", "UTF-8")).alias("value"))
+    revisits = records.filter("record_type = 'revisit'").select(F.col("header").alias("value"))
+    made.union(revisits).write.option("lineSep", END + END).text(folder)
 
 
 def archive_pages(pages: DataFrame, smallest: int = 100, folder: str | None = None, **columns: str) -> DataFrame:

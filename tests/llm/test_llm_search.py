@@ -113,6 +113,30 @@ def test_damage_is_found(spark, tmp_path):
         warc.read_pages(spark, folder).collect()
 
 
+@pytest.mark.parametrize("read", [warc.read_pages, warc.rebuild_records])
+@pytest.mark.parametrize("kind", ["response", "revisit"])
+def test_records_without_a_stored_payload_are_found(spark, tmp_path, read, kind):
+    rows = [(1, "u", "a" * 200), (2, "v", "a" * 200), (3, "w", "b")]
+    folder = str(tmp_path / "archive")
+    warc.write_archive(spark.createDataFrame(rows, "page_id long, url string, html string"), folder)
+    assert read(spark, folder).count() == 3
+    records = spark.read.parquet(f"{folder}/records").collect()
+    left = [tuple(r) for r in records if f"WARC-Type: {kind}" in r["header"]]
+    spark.createDataFrame(left, "header string").write.mode("overwrite").parquet(f"{folder}/records")
+    spark.createDataFrame([], "payload_digest string, payload binary").write.mode("overwrite").parquet(f"{folder}/payloads")
+    with pytest.raises(Exception, match="record without its payload"):
+        read(spark, folder).collect()
+
+
+def test_a_page_is_read_from_its_rebuilt_record(spark, tmp_path, monkeypatch):
+    # A record put together wrongly shows in what the pages are read as.
+    folder = str(tmp_path / "archive")
+    warc.write_archive(spark.createDataFrame([(1, "u", "a" * 200)], "page_id long, url string, html string"), folder)
+    monkeypatch.setattr(warc, "_record", lambda own: F.concat(F.encode("header", "UTF-8"), F.reverse(F.lit("x" * 204)).cast("binary")))
+    with pytest.raises(Exception, match="record without its payload"):
+        warc.read_pages(spark, folder).collect()
+
+
 def test_empty_archive(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.archive_pages(pages).count() == 0
