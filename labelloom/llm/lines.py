@@ -8,7 +8,8 @@ prefixes, and are at last compared in full.
 
 A line is first held against the earliest line of each of its words. Only lines that find no
 match there are held against the others: for a word of few lines all of them, for more frequent
-words those that share two such words, of which similar lines share a pair too. So neither a
+words those that share two such words, of which similar lines share a pair too (at 50 percent or
+less, lines of few words that need to share only one are looked up by one). So neither a
 word many lines have in common nor a large group of near copies makes all pairs of its lines.
 
 Everything is built from Spark's own functions. Words stand in the join as 63-bit numbers that
@@ -232,7 +233,20 @@ def _later_lines(sets: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
         .filter(_fitting(percent))
         .select("id", "other")
     )
-    return settled.union(written(_confirmed(few.union(second), sets, texts, percent), "settled"))
+    pairs = few.union(second)
+    if percent <= 50:
+        # Small sets, such as {a} and {a, b} at 50, may share one word only, however frequent it is.
+        small = frequent.filter(percent * F.col("n") <= 100)
+        single = (
+            small.filter("open")
+            .join(_others(small, "word"), "word")
+            .filter("other < id")
+            .filter(_fitting(percent))
+            .filter(_least_overlap(F.col("n"), F.col("other_n"), percent) == 1)
+            .select("id", "other")
+        )
+        pairs = pairs.union(single)
+    return settled.union(written(_confirmed(pairs, sets, texts, percent), "settled"))
 
 
 def kept_lines(df: DataFrame, id_column: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:

@@ -117,6 +117,17 @@ def test_lines_equal_brute_force(spark, monkeypatch, few, words, seed):
             assert (changed[d]["n_lines"], changed[d]["n_removed"]) == (worded, len(own) - len(left))
 
 
+@pytest.mark.parametrize("percent", [50, 34, 20])
+def test_lines_that_need_to_share_one_frequent_word_only(spark, monkeypatch, percent):
+    monkeypatch.setattr(lines, "FEW", 1)
+    rnd = random.Random(percent)
+    docs = [(0, "a x y z p q r s"), (1, "a b"), (2, "a"), (3, "a c\nc"), (4, "c d e")]
+    docs += [(5 + i, " ".join(rnd.choices([f"v{k}" for k in range(40)], k=rnd.choice([1, 2, 3, 8])))) for i in range(60)]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r["doc"], r["line"]) for r in lines.kept_lines(table, percent=percent).collect()}
+    assert got == later_lines_by_hand(docs, percent)
+
+
 def test_lines_of_an_empty_table_and_repeated_rows(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert lines.remove_near_lines(docs).count() == 0
