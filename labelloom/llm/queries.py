@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloom.llm import bpe, lines, main_text, near_duplicates, packing, quality, substrings, token_counts, top_k, warc
+from labelloom.llm import bpe, lines, main_text, near_duplicates, packing, periodic, quality, substrings, token_counts, top_k, warc
+from labelloom.llm.quality import let
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -250,3 +251,84 @@ FROM firsts
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = warc.archive_pages(table(spark, sf_dir, "pages", "page_id", "url", "html"))
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP13_SQL = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS row_id, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), 0, 0, 0, 0, 0, 0, 0])) AS bits
+  FROM documents
+), hashed AS (
+  SELECT row_id, doc_id, w, len(w) AS n, xor(4294967295, list_reduce(list_prepend(4294967295, bits),
+           lambda c, x: xor(xor(c, x) >> 1, 3988292384 * (xor(c, x) & 1)))) AS h
+  FROM texts
+), planted AS (
+  SELECT row_id, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN
+           list_transform(range(n), lambda i: w[1 + CASE WHEN i < (h // 10) % n THEN i
+             ELSE (h // 10) % n + (i - (h // 10) % n) % (1 + (n - (h // 10) % n) // (3 + (h // 10) % 8)) END])
+           ELSE w END AS w
+  FROM hashed
+), tokens AS (
+  SELECT row_id, n, unnest(w) AS w, generate_subscripts(w, 1) - 1 AS i FROM planted
+), matched AS (
+  SELECT x.row_id, x.i, y.i - x.i AS q FROM tokens x JOIN tokens y
+  ON x.row_id = y.row_id AND x.w = y.w AND x.i < y.i AND 4 * (y.i - x.i) <= x.n
+), stretches AS (
+  SELECT row_id, q, min(i) AS start, count(*) + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY row_id, q ORDER BY i) AS island FROM matched)
+  GROUP BY row_id, q, island HAVING count(*) + q >= greatest(6, 4 * q)
+), runs AS (
+  SELECT row_id, start, length, min(q) AS period FROM stretches GROUP BY row_id, start, length
+), listed AS (
+  SELECT row_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listing,
+         first({'start': start, 'length': length, 'period': period}
+               ORDER BY CAST(length AS DOUBLE) / period DESC, start, period) AS best
+  FROM runs GROUP BY row_id
+), dropped AS (
+  SELECT DISTINCT row_id, unnest(range(start + period, start + length)) AS i FROM runs
+), kept AS (
+  SELECT row_id, string_agg(t.w, ' ' ORDER BY t.i) AS kept FROM tokens t ANTI JOIN dropped d USING (row_id, i) GROUP BY row_id
+)
+SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(best.start AS BIGINT) AS start,
+       CAST(best.length AS BIGINT) AS length, CAST(best.period AS BIGINT) AS period,
+       CAST(1000 * best.length // best.period AS BIGINT) AS exponent_milli,
+       sha256(coalesce(listing, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM planted LEFT JOIN listed USING (row_id) LEFT JOIN kept USING (row_id)
+"""
+
+
+def planted(doc_id: Column, text: Column) -> Column:
+    """The texts op13 is asked about: in one of ten documents the words from a place on repeat."""
+
+    def repeat(x: Column) -> Column:
+        n, g = F.size(x["w"]), F.call_function("div", x["h"], F.lit(10))
+        a = (g % n).cast("int")
+        p = (F.lit(1) + F.call_function("div", n - a, F.lit(3) + g % 8)).cast("int")
+        again = let(
+            F.struct(x["w"].alias("w"), a.alias("a"), p.alias("p"), n.alias("n")),
+            lambda y: F.transform(
+                F.sequence(F.lit(0), y["n"] - 1),
+                lambda i: F.get(y["w"], F.when(i < y["a"], i).otherwise(y["a"] + (i - y["a"]) % y["p"])),
+            ),
+        )
+        return F.when(n > 0, F.array_join(again, " ")).otherwise("")
+
+    h = F.crc32(doc_id.cast("string"))
+    made = let(F.struct(h.alias("h"), quality.words_of(F.coalesce(text, F.lit(""))).alias("w")), repeat)
+    return F.when(h % 10 == 0, made).otherwise(text)
+
+
+@query("op13_periodic_runs", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    found = periodic.collapse_runs(docs.select("doc_id", planted(F.col("doc_id"), F.col("text")).alias("text")))
+    listing = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    best = {c: F.col(f"strongest.{c}") for c in periodic.RUN.names}
+    return found.select(
+        "doc_id",
+        "n_runs",
+        *[value.alias(c) for c, value in best.items()],
+        F.call_function("div", 1000 * best["length"], best["period"]).alias("exponent_milli"),
+        F.sha2(F.concat(F.array_join(listing, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
