@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloom.llm import bpe, lines, main_text, near_duplicates, packing, periodic, quality, substrings, token_counts, top_k, warc
+from labelloom.llm import bpe, lines, main_text, near_duplicates, ngram_join, packing, periodic, quality, substrings, token_counts, top_k, warc
 from labelloom.llm.quality import let
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -252,6 +252,42 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = warc.archive_pages(table(spark, sf_dir, "pages", "page_id", "url", "html"))
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
+OP12_SQL = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, md5(array_to_string(w[i:i + 4], ' ')) AS s
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM texts WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS (
+  SELECT x.doc_id AS a, y.doc_id AS b
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id
+  JOIN sizes n ON n.doc_id = x.doc_id JOIN sizes m ON m.doc_id = y.doc_id
+  GROUP BY x.doc_id, y.doc_id, n.n, m.n HAVING 100 * count(*) >= 80 * (n.n + m.n - count(*))
+), arcs AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), linked AS (
+  SELECT a AS doc_id, count(*) AS n_links FROM arcs GROUP BY a
+), reached AS (
+  SELECT doc_id, doc_id AS other FROM texts
+  UNION
+  SELECT r.doc_id, arcs.b FROM reached r JOIN arcs ON arcs.a = r.other
+)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, min(other) AS component_id,
+       CAST(coalesce(n_links, 0) AS BIGINT) AS n_links
+FROM reached LEFT JOIN sizes USING (doc_id) LEFT JOIN linked USING (doc_id) GROUP BY doc_id, n, n_links
+"""
+
+
+@query("op12_ngram_jaccard", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = ngram_join.join_components(table(spark, sf_dir, "documents", "doc_id", "text"), percent=80)
+    return joined.select("doc_id", "n_shingles", "component_id", "n_links")
+
 
 OP13_SQL = r"""
 WITH texts AS (

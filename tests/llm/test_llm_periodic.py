@@ -66,7 +66,7 @@ def test_runs_equal_brute_force(spark, monkeypatch, least_length, least_exponent
         ("a " * 50_000, [(0, 50_000, 1)]),
         ("x " + "a b c " * 20_000 + "a b y", [(1, 60_002, 3)]),
         (" ".join(f"w{i}" for i in range(50_000)), []),
-        ("a b " * 3 + "a a b " * 5, [(5, 16, 3)]),
+        ("a b " * 3 + "a a b " * 5, [(4, 17, 3)]),
         (" ".join("a " * n + "b" for n in range(6, 300)), None),
     ],
 )
