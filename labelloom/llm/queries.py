@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloom.llm import bpe, lines, main_text, near_duplicates, ngram_join, packing, periodic, quality, substrings, token_counts, top_k, warc
+from labelloom.llm import bpe, lexical, lines, main_text, near_duplicates, ngram_join, packing, periodic, quality, substrings, token_counts, top_k, warc
 from labelloom.llm.quality import let
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -252,6 +252,42 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = warc.archive_pages(table(spark, sf_dir, "pages", "page_id", "url", "html"))
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
+OP11_SQL = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS row_id, doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), sizes AS (
+  SELECT row_id, doc_id, len(w) AS n FROM texts WHERE len(w) > 0
+), totals AS (
+  SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes
+), postings AS (
+  SELECT row_id, term, count(*) AS tf FROM (SELECT row_id, unnest(w) AS term FROM texts) GROUP BY row_id, term
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * CAST(docs AS DOUBLE) + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight
+  FROM postings, totals GROUP BY term, docs
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), scored AS (
+  SELECT item_id, row_id, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN postings USING (term) JOIN sizes USING (row_id), totals
+  GROUP BY item_id, row_id, doc_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@query("op11_pair_bound_search", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return lexical.search(docs, table(spark, sf_dir, "benchmark", "item_id", "text"), k=10)
+
+
 OP12_SQL = r"""
 WITH RECURSIVE texts AS (
   SELECT doc_id, regexp_extract_all(
