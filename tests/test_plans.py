@@ -1,6 +1,7 @@
 import json
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from labelloom import session
@@ -77,6 +78,40 @@ def test_split_numbers_a_table_without_order(spark):
     assert sorted(r["problem_id"] for r in split.filter("split = 'test'").collect()) == [6, 7]
 
 
+@pytest.mark.parametrize(
+    ("orders", "train"),
+    [
+        ([1, 1, 4, 4], [0, 1, 2]),  # least, greatest and sum of 1..4, but not these numbers
+        ([2, 2, 2, 2], [0, 1, 2]),
+        ([4, 3, 2, 1], [1, 2, 3]),
+        ([1, 2, 3, 9], [0, 1, 2]),
+        ([0, 1, 2, 3], [0, 1, 2]),
+        ([None, 1, 2, 3], [1, 2, 3]),
+        ([-5, -5, 1, 10**12], [0, 1, 2]),
+        ([1, 2, 2, 4], [0, 1, 2]),
+        ([7], []),
+        ([], []),
+    ],
+)
+def test_split_takes_the_first_rows_whatever_the_order_holds(spark, orders, train):
+    rows = spark.createDataFrame(list(enumerate(orders)), "problem_id long, creation_order long").repartition(3)
+    split = splitting.split_table(rows, CONFIG)
+    assert sorted(r["problem_id"] for r in split.filter("split = 'train'").collect()) == train
+    assert split.count() == len(orders)
+    # Without an id rows of equal order go by their digests: the number is the same.
+    nameless = splitting.split_table(rows.select("creation_order", F.col("problem_id").alias("x")), CONFIG)
+    assert nameless.filter("split = 'train'").count() == len(train)
+    assert nameless.columns == ["creation_order", "x", "split"]
+
+
+def test_split_of_numbered_rows_reads_one_column(spark, plan, tmp_path):
+    rows = spark.range(1, 101).selectExpr("id AS problem_id", "id AS creation_order", "'x' AS body")
+    rows.write.parquet(str(tmp_path / "t"))
+    split = splitting.split_table(spark.read.parquet(str(tmp_path / "t")), CONFIG)
+    assert split.filter("split = 'train'").count() == 75
+    assert "Exchange" not in plan(split) and plan(split).count("FileScan") == 1
+
+
 def test_written_jobs_leave_nothing_staged(spark, tmp_path):
     raw = tmp_path / "raw"
     raw.mkdir()
