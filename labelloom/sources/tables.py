@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labelloom.functions.values import named
+from labelloom.sources.claims import claimed
 
 
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -47,25 +48,31 @@ def write_snapshot(
 ) -> str:
     """Writes Parquet to <prefix>_<day>, or <prefix>_<day>_1, _2, ... if taken; returns the path.
 
-    A path that exists is never written to: Spark refuses it before it starts a job. One
-    writer at a time is assumed for a prefix and day; two that start together could both find
-    a path free.
+    A path that exists is never written to: Spark refuses it before it starts a job. A writer
+    claims a name before it writes, so writers that start together get one each.
     """
     base = f"{directory.rstrip('/')}/{prefix}_{(day or date.today()).isoformat()}"
     taken = 0
     while True:
         path = base if taken == 0 else f"{base}_{taken}"
-        writer = df.write.mode("errorifexists")
-        if partition_by is not None:
-            writer = writer.partitionBy(partition_by)
-        try:
-            writer.parquet(path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_ALREADY_EXISTS":
-                raise
-            taken += 1
-            continue
-        return path
+        with claimed(df.sparkSession, directory, path.rsplit("/", 1)[1]) as mine:
+            if mine and _written_new(df, path, partition_by):
+                return path
+        taken += 1
+
+
+def _written_new(df: DataFrame, path: str, partition_by: str | None) -> bool:
+    """Writes to a path that does not exist; whether it was so."""
+    writer = df.write.mode("errorifexists")
+    if partition_by is not None:
+        writer = writer.partitionBy(partition_by)
+    try:
+        writer.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_ALREADY_EXISTS":
+            raise
+        return False
+    return True
 
 
 def snapshot_times(spark: SparkSession, directory: str) -> DataFrame:
