@@ -8,11 +8,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from labelloom.sources.array_files import FILE, RECORD, array_elements
+
 BAD = "__bad_record"
-FILE = "__file"
-RECORD = "__record"
 OBJECT = "__object"
 
+# Files up to this size are read whole, one a row; larger ones are cut into their elements by
+# many tasks.
+WHOLE_FILE_BYTES = 32 << 20
+
 # White space of JSON, and the mark some writers put at the start of a file.
 SPACE = " \t\r\n"
 BYTE_ORDER_MARK = "\ufeff"
@@ -54,28 +58,37 @@ def _opens_with(text: Column, sign: str) -> Column:
     return F.ltrim(text, F.lit(SPACE)).startswith(sign)
 
 
-def _read(spark: SparkSession, directory: str, pattern: str) -> DataFrame:
+def _read(spark: SparkSession, directory: str, pattern: str, whole_file_bytes: int) -> DataFrame:
     """Every record as JSON text, with its file name: the elements of an array, or the file.
 
-    A file is read whole, as its text is one JSON value. An array is cut into the texts of
+    A small file is read whole, as its text is one JSON value. An array is cut into the texts of
     its elements before any field is looked at, so a bad field costs its own record at most.
-    A byte order mark is no part of the value. A file that is no JSON stays one record. A missing directory is Spark's own error.
+    A byte order mark is no part of the value. A file that is no JSON stays one record. A missing
+    directory is Spark's own error. Files that are larger give the same records without any
+    task holding one of them; only if one is no JSON, its record is the first part that is none.
     """
     files = (
         spark.read.option("pathGlobFilter", pattern)
         .text(directory, wholetext=True)
+        .filter(F.col("_metadata.file_size") <= whole_file_bytes)
         .select(_unmarked(F.col("value")).alias("value"), F.col("_metadata.file_name").alias(FILE))
     )
-    if not _has_files(spark, directory, pattern):
+    largest = _largest_file(spark, directory, pattern)
+    if largest is None:
         raise FileNotFoundError(f"no {pattern} files in {directory!r}")
     elements = F.from_json("value", "array<string>")
     listed = F.when(_opens_with(F.col("value"), "[") & elements.isNotNull(), elements).otherwise(F.array("value"))
-    return files.select(FILE, F.explode(listed).alias(RECORD))
+    records = files.select(FILE, F.explode(listed).alias(RECORD))
+    if largest <= whole_file_bytes:
+        return records
+    large = array_elements(spark, directory, pattern, whole_file_bytes)
+    return records.union(large.select(FILE, _unmarked(F.col(RECORD))))
 
 
-def _has_files(spark: SparkSession, directory: str, pattern: str) -> bool:
+def _largest_file(spark: SparkSession, directory: str, pattern: str) -> int | None:
+    """Bytes of the largest file, None without files. Only the listing is read."""
     listing = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(directory)
-    return not listing.select("path").limit(1).isEmpty()
+    return listing.agg(F.max("length")).first()[0]
 
 
 def _typed(raw: Column, dtype: T.DataType) -> Column:
@@ -114,14 +127,16 @@ def scan_json_records(
     directory: str,
     schema: T.StructType = RAW_RECORD,
     pattern: str = "*.json",
+    whole_file_bytes: int = WHOLE_FILE_BYTES,
 ) -> DataFrame:
     """Records of every *.json file directly in a directory, an array being many records.
 
-    Each file is one task's row, so keep files well below 2 GB. Numbers and other values in a
-    text field are kept as their JSON text. Records that cannot be read as the schema are left
+    Files up to whole_file_bytes are a row of a task each; larger array files are read by as
+    many tasks as Spark divides them into, and never whole. Only a single record of over 2 GB
+    cannot be read. Numbers and other values in a text field are kept as their JSON text. Records that cannot be read as the schema are left
     out; quarantine_corrupt lists them.
     """
-    parsed = _parsed(_read(spark, directory, pattern), schema)
+    parsed = _parsed(_read(spark, directory, pattern, whole_file_bytes), schema)
     return parsed.filter(~F.col(BAD)).drop(BAD, FILE, RECORD, OBJECT)
 
 
@@ -130,7 +145,8 @@ def quarantine_corrupt(
     directory: str,
     schema: T.StructType = RAW_RECORD,
     pattern: str = "*.json",
+    whole_file_bytes: int = WHOLE_FILE_BYTES,
 ) -> DataFrame:
     """File name and text of the records that cannot be read, each once."""
-    parsed = _parsed(_read(spark, directory, pattern), schema)
+    parsed = _parsed(_read(spark, directory, pattern, whole_file_bytes), schema)
     return parsed.filter(BAD).select(F.col(FILE).alias("file_name"), F.col(RECORD).alias("record"))

@@ -85,6 +85,82 @@ def test_white_space_and_byte_order_marks_may_lead(spark, tmp_path, start):
     assert [(r["file_name"], json.loads(r["record"])["src_uid"]) for r in bad] == [("array.json", "bad")]
 
 
+AWKWARD = [
+    {**RECORD, "src_uid": "quotes", "source_code": 'a "}],[{" \\\\ \\" \\\\\\" }'},
+    {**RECORD, "src_uid": "nested", "extra": [{"a": [1, {"b": "}"}]}, [[]], "]"]},
+    {**RECORD, "src_uid": "letters", "prob_desc_notes": "é{ü}\u2028 漢[字], \t"},
+    {**RECORD, "src_uid": "bad", "tags": 5},
+    7, None, "text, with } and ]", [1, 2, {"c": "d"}], {}, "", [],
+    {**RECORD, "src_uid": "long", "source_code": "if (a) { b[1] = {2, 3}; } // \\" * 400},
+    *[{**RECORD, "src_uid": f"u{i}", "source_code": "x" * (i * 37 % 900)} for i in range(60)],
+]
+LARGE_FILES = {
+    "array.json": json.dumps(AWKWARD),
+    "lines.json": json.dumps(AWKWARD[::-1], indent=2, ensure_ascii=False) + "\n \n",
+    "marked.json": "\ufeff\n" + json.dumps(AWKWARD[3:20], ensure_ascii=False),
+    "object.json": json.dumps({**RECORD, "src_uid": "object", "source_code": "{}" * 900}),
+    "spaced.json": json.dumps({**RECORD, "src_uid": "spaced", "source_code": "{ " * 900}) + "\n",
+    "hollow.json": "[" + " \n" * 900 + "]",
+    "a + b%20.json": json.dumps(AWKWARD[:4] + [{"source_code": "}" * 3000}]),
+    "more.json": json.dumps(AWKWARD) + " {}",
+    "brace.json": json.dumps(AWKWARD) + "}",
+    "twice.json": json.dumps(AWKWARD) + json.dumps(AWKWARD[:3]),
+}
+BROKEN_FILES = {
+    "cut.json": json.dumps(AWKWARD)[:-300],
+    "comma.json": json.dumps(AWKWARD)[:-1] + ",]",
+    "hole.json": json.dumps(AWKWARD).replace("}, {", "},, {", 1),
+    "open.json": json.dumps(AWKWARD)[:-1],
+    "quote.json": json.dumps(AWKWARD).replace('"src_uid"', 'src_uid"', 1),
+    "word.json": json.dumps(AWKWARD).replace("7, null", "7, nul", 1),
+    "text.json": "no JSON } at all { " * 200,
+}
+
+
+@pytest.mark.parametrize("block", ["5000b", "128m"])
+def test_large_array_files_give_the_same_records(spark, tmp_path, block):
+    for name, text in (LARGE_FILES | BROKEN_FILES).items():
+        (tmp_path / name).write_text(text, encoding="utf-8")
+    (tmp_path / "small.json").write_text(json.dumps({"src_uid": "small"}))
+    folder = str(tmp_path)
+    whole = records.scan_json_records(spark, folder).collect()
+    bad = [(r["file_name"], r["record"]) for r in records.quarantine_corrupt(spark, folder).collect()]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    try:
+        cut = records.scan_json_records(spark, folder, whole_file_bytes=100)
+        assert sorted(cut.collect(), key=repr) == sorted(whole, key=repr)
+        bad_cut = [(r["file_name"], r["record"]) for r in records.quarantine_corrupt(spark, folder, whole_file_bytes=100).collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(whole) > 150 and {n for n, _ in bad} >= set(BROKEN_FILES)
+    assert sorted(n for n, _ in bad_cut) == sorted(n for n, _ in bad)
+
+    assert {x for x in bad_cut if x[0] not in BROKEN_FILES} == {x for x in bad if x[0] not in BROKEN_FILES}
+
+
+def test_a_large_array_is_read_by_many_tasks(spark, tmp_path):
+    from labelloom.sources import array_files
+
+    (tmp_path / "one.json").write_text(json.dumps([{"src_uid": f"u{i}", "source_code": "{x}" * 50} for i in range(2000)]))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40000b")
+    written = []
+
+    def watched(df, name):
+        written.append((name, df.rdd.getNumPartitions()))
+        return staged(df, name)
+
+    staged, array_files.staged = array_files.staged, watched
+    try:
+        found = records.scan_json_records(spark, str(tmp_path), whole_file_bytes=100_000)
+        assert found.select("src_uid").distinct().count() == found.count() == 2000
+    finally:
+        array_files.staged = staged
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert dict(written)["pieces"] >= 8
+
+
 def test_missing_directory_and_no_files(spark, tmp_path):
     with pytest.raises(AnalysisException):
         records.scan_json_records(spark, str(tmp_path / "absent"))
@@ -180,3 +256,56 @@ def test_evaluation_file(spark, tmp_path):
     runs.sink_eval_json(evaluation_bundle(rows, ["a"]), path)
     found = json.loads(spark.read.text(path).first()[0])
     assert found["custom_stats"]["perfect_match_percent"] == 100.0
+
+
+def test_writers_that_start_together_get_a_name_each(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    day = date(2025, 4, 17)
+    with ThreadPoolExecutor(5) as pool:
+        paths = list(pool.map(lambda i: tables.write_snapshot(spark.range(i, i + 1), str(tmp_path), "t", day), range(5)))
+    assert sorted(p.rsplit("/", 1)[1] for p in paths) == ["t_2025-04-17", *[f"t_2025-04-17_{i}" for i in range(1, 5)]]
+    assert sorted(spark.read.parquet(p).first()[0] for p in paths) == list(range(5))
+    assert tables.latest_snapshot(spark, str(tmp_path)).count() == 1
+    assert not list((tmp_path / "_claims").iterdir())
+
+
+def test_runs_at_work_hold_their_index(spark, tmp_path):
+    ledger, day = str(tmp_path / "runs"), date(2025, 4, 17)
+
+    def enter(index, name):
+        runs.append_run(runs.run_manifest(spark, "m_", day, index, name, "train", "in", 1, {}), ledger)
+
+    with runs.reserved_run(spark, ledger, "m_", day) as first:
+        with runs.reserved_run(spark, ledger, "m_", day) as second:
+            with runs.reserved_run(spark, ledger, "m_", date(2025, 4, 18)) as other:
+                assert (first, second, other) == ((1, "m_20250417_001"), (2, "m_20250417_002"), (1, "m_20250418_001"))
+            enter(*second)
+        enter(*first)
+    with pytest.raises(ZeroDivisionError), runs.reserved_run(spark, ledger, "m_", day) as failed:
+        assert failed == (3, "m_20250417_003")
+        1 / 0
+    with runs.reserved_run(spark, ledger, "m_", day) as again:
+        assert again == failed
+    assert runs.read_runs(spark, ledger).count() == 2
+
+
+def test_trainings_that_overlap_get_two_paths(spark, tmp_path, monkeypatch):
+    from labelloom.plans import forest
+    from labelloom.sources.models import LabelModels
+
+    paths = []
+
+    def train(rows, config, **options):
+        if not paths:
+            paths.append("")  # the second training starts and ends within the first
+            paths[0] = forest.train_run(rows, str(tmp_path / "models"), str(tmp_path / "runs"), "in", day=date(2025, 4, 17))
+        return LabelModels(None, {}, "text", [], {"seed": 1})
+
+    saved = []
+    monkeypatch.setattr(forest, "train_forests", train)
+    monkeypatch.setattr(forest, "save_model", lambda spark, models, path: saved.append(path))
+    outer = forest.train_run(spark.range(3), str(tmp_path / "models"), str(tmp_path / "runs"), "in", day=date(2025, 4, 17))
+    assert [p.rsplit("_", 1)[1] for p in (outer, paths[0])] == ["001", "002"] and sorted(saved) == sorted([outer, paths[0]])
+    ledger = runs.read_runs(spark, str(tmp_path / "runs")).collect()
+    assert sorted((r["run_idx"], r["path"]) for r in ledger) == [(1, outer), (2, paths[0])]
