@@ -1,4 +1,5 @@
 import math
+import random
 import sys
 
 import pytest
@@ -249,3 +250,33 @@ def test_kept_columns_pass_unchanged(spark):
 
 def vector_factory():
     return lambda batch: [[float(len(text)), 0.5] for text in batch]
+
+
+def test_vocabulary_cut_is_exact(spark, monkeypatch):
+    from collections import Counter
+
+    rnd = random.Random(3)
+    texts = [[f"t{int(rnd.paretovariate(0.6)) % 400}" for _ in range(rnd.randint(0, 80))] for _ in range(200)]
+    texts += [None, [], [None, "t1", None]]
+    df = spark.createDataFrame([(t,) for t in texts], "terms array<string>").repartition(3)
+    tf = Counter(w for t in texts for w in t or [] if w is not None)
+    found = Counter(w for t in texts for w in {*(t or [])} - {None})
+    ranked = sorted(tf, key=lambda w: (-tf[w], w))
+    for together in (50, 10**6):
+        monkeypatch.setattr(vocabulary, "TERMS_TOGETHER", together)
+        for wanted in (1, 2, 17, 60, 150, 10**6):
+            made = vocabulary.fit_vocabulary(df, "terms", wanted, min_df=1, max_df=1.0).collect()
+            assert [(r["term"], r["tf"], r["df"]) for r in made] == [(w, tf[w], found[w]) for w in ranked[:wanted]]
+
+
+def test_tfidf_cuts_texts_once(spark, plan, monkeypatch):
+    df = spark.createDataFrame([(1, "Cat dog cat"), (2, None), (3, "dog bird"), (None, "cat")], "id long, text string")
+    staged, plans = vocabulary.staged, []
+    monkeypatch.setattr(vocabulary, "staged", lambda df, name: plans.append(plan(df)) or staged(df, name))
+    weights = vocabulary.tfidf(vocabulary.tokenize(df, "text"), "id", "words", min_df=1, max_df=1.0)
+    assert sum(p.count("regexp_extract_all") for p in [*plans, plan(weights)]) == 1
+    assert "Exchange" not in plan(weights)
+    made = {(r["id"], r["term"]): round(r["weight"], 6) for r in weights.collect()}
+    assert len(made) == 5 and made[None, "cat"] == 1.0
+    assert round(made[1, "cat"] ** 2 + made[1, "dog"] ** 2, 5) == 1
+    assert vocabulary.tfidf(vocabulary.tokenize(df, "text"), "id", "words", min_df=9).collect() == []
