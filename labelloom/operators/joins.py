@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelloom.functions.values import named
@@ -32,10 +32,20 @@ def check_one_to_one(left: DataFrame, right: DataFrame, id_column: str) -> None:
 def attach_predictions(
     rows: DataFrame, predictions: DataFrame, id_column: str, check: bool = True
 ) -> DataFrame:
-    """Rows with their predictions, one to one on the id."""
-    if check:
-        check_one_to_one(rows, predictions, id_column)
-    return rows.join(predictions, id_column, "inner")
+    """Rows with their predictions, one to one on the id.
+
+    The check is part of the join, so each side is shuffled and sorted once: ids are numbered
+    where they meet, and a full join shows those of one side only. A query over the result fails
+    with the first id that is null, repeated, or on one side only.
+    """
+    if not check:
+        return rows.join(predictions, id_column, "inner")
+    order = Window.partitionBy(named(id_column)).orderBy(named(id_column))
+    left, right = (df.withColumn(c, F.row_number().over(order)) for df, c in ((rows, "__left"), (predictions, "__right")))
+    met = F.coalesce((F.col("__left") == 1) & (F.col("__right") == 1), F.lit(False))
+    told = F.concat(F.lit("ids do not match one to one: "), F.coalesce(named(id_column).cast("string"), F.lit("null")))
+    checked = left.join(right, id_column, "full").filter(F.when(met, F.lit(True)).otherwise(F.raise_error(told).cast("boolean")))
+    return checked.drop("__left", "__right")
 
 
 def attach_scores_left(

@@ -112,3 +112,24 @@ def test_predictions_must_match_one_to_one(spark):
     for bad in ([(1, 0)], [(1, 0), (2, 0), (3, 0)], [(1, 0), (1, 0), (2, 0)]):
         with pytest.raises(ValueError, match="one to one"):
             check_one_to_one(rows, spark.createDataFrame(bad, "id int, pred_x int"), "id")
+
+
+def test_predictions_must_match_one_to_one(spark, plan):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id int, x string")
+    good = [(3, 30), (1, 10), (2, 20)]
+    made = attach_predictions(rows, spark.createDataFrame(good, "id int, pred int"), "id")
+    assert made.columns == ["id", "x", "pred"]
+    assert plan(made).count("Exchange hashpartitioning") == 2
+    assert sorted(tuple(r) for r in made.collect()) == [(1, "a", 10), (2, "b", 20), (3, "c", 30)]
+    for bad in ([*good, (3, 31)], good[:2], [*good, (4, 40)], [*good[:2], (None, 1)], []):
+        attached = attach_predictions(rows, spark.createDataFrame(bad, "id int, pred int"), "id")
+        # Also where the query reads none of the columns.
+        for run in (attached.collect, attached.count):
+            with pytest.raises(Exception, match="one to one"):
+                run()
+    for left in ([(1, "a"), (1, "z"), (2, "b"), (3, "c")], [(None, "n"), (1, "a"), (2, "b"), (3, "c")]):
+        attached = attach_predictions(spark.createDataFrame(left, "id int, x string"), spark.createDataFrame(good, "id int, pred int"), "id")
+        with pytest.raises(Exception, match="one to one"):
+            attached.count()
+    none = attach_predictions(rows.limit(0), spark.createDataFrame([], "id int, pred int"), "id")
+    assert none.collect() == []
