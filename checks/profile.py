@@ -82,6 +82,24 @@ def label_cooccurrence(spark, sf):
     return profile.label_cooccurrence(truth(spark, sf), FLAGS)
 
 
+# Hundreds of labels: a document has those whose number divides its place.
+MANY = 500
+
+
+@query(
+    "label_cooccurrence_many",
+    f"""WITH active AS (
+      SELECT doc_id, unnest(list_filter(range({MANY}), lambda i: doc_id % (i + 2) = 0)) AS i FROM documents),
+    pairs AS (
+      SELECT a.i AS a, b.i AS b, count(*) AS n FROM active a JOIN active b ON a.doc_id = b.doc_id GROUP BY a.i, b.i)
+    SELECT 'divides ' || (x.i + 2) AS label_a, 'divides ' || (y.i + 2) AS label_b, coalesce(n, 0) AS n_rows
+    FROM range({MANY}) x(i) CROSS JOIN range({MANY}) y(i) LEFT JOIN pairs ON a = x.i AND b = y.i""",
+)
+def label_cooccurrence_many(spark, sf):
+    labels = {f"divides {i}": (F.col("doc_id") % i == 0).cast("int").alias(f"divides {i}") for i in range(2, MANY + 2)}
+    return profile.label_cooccurrence(table(spark, sf, "documents").select(*labels.values()), list(labels))
+
+
 _ACTIVE = 'quality + toxic + english + "long text"'
 
 

@@ -101,12 +101,46 @@ def _together(flags: dict[str, Column]) -> Statistic:
     return stat
 
 
+# Labels up to which every pair is a sum of its own; more would not compile.
+FEW_LABELS = 40
+
+
+def _together_of_many(df: DataFrame, flags: dict[str, Column]) -> DataFrame:
+    """The same from the labels that are set in each row.
+
+    A row makes the pairs of its own labels only. They add up in each task before the shuffle,
+    where a task sends one row a pair at most, so a frequent pair costs no more than others.
+    """
+    names = list(flags)
+    listed = F.array(*[F.struct(F.lit(i).alias("i"), flag.cast("long").alias("v")) for i, flag in enumerate(flags.values())])
+    rows = df.select(F.filter(listed, lambda s: s["v"] != 0).alias("set"))
+    # The outer forms are used since for the plain ones Spark would make the arrays twice.
+    ones = rows.select("set", F.posexplode_outer("set").alias("at", "one"))
+    pairs = ones.select("one", F.explode_outer(F.slice("set", F.col("at") + 1, F.size("set"))).alias("other"))
+    sums = (
+        pairs.groupBy(F.col("one.i").alias("low"), F.col("other.i").alias("high"))
+        .agg(F.sum(F.col("one.v") * F.col("other.v")).alias("n_rows"))
+        .filter("low IS NOT NULL")
+    )
+    both = F.array_distinct(F.array(F.struct(F.col("low").alias("a"), F.col("high").alias("b")), F.struct(F.col("high").alias("a"), F.col("low").alias("b"))))
+    made = sums.select(F.explode(both).alias("p"), "n_rows").select("p.a", "p.b", "n_rows")
+    k = len(names)
+    grid = df.sparkSession.range(k * k).select(
+        F.call_function("div", F.col("id"), F.lit(k)).cast("int").alias("a"), (F.col("id") % k).cast("int").alias("b")
+    )
+    name = F.array(*[F.lit(n) for n in names])
+    return grid.join(made, ["a", "b"], "left").select(
+        F.get(name, F.col("a")).alias("label_a"), F.get(name, F.col("b")).alias("label_b"), F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows")
+    )
+
+
 def label_cooccurrence(df: DataFrame, labels: Sequence[str]) -> DataFrame:
     """Rows that have both labels, for every pair; a label with itself is its support.
 
     For labels that are not 0 and 1 it is the sum of the products, so the table is symmetric.
     """
-    return one_pass(df, _together(_flags(df, labels)))
+    flags = _flags(df, labels)
+    return _together_of_many(df, flags) if len(flags) > FEW_LABELS else one_pass(df, _together(flags))
 
 
 def _active(stat: Statistic, flags: dict[str, Column]) -> str:

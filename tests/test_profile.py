@@ -97,3 +97,23 @@ def test_no_label_column_gives_typed_empty_tables(spark):
     ):
         assert made.count() == 0 and len(made.columns) >= 3
     assert profile.drift_summary(rows, ["a"]).first()["avg_abs_drift"] is None
+
+
+def test_many_labels_give_the_pairs_of_few(spark, monkeypatch):
+    rows = [(1, 0, 2), (1, 1, None), (0, 0, 0), (None, None, None), (1, 1, -1)]
+    df = spark.createDataFrame(rows, "a int, `b c` int, d int")
+    few = sorted(tuple(r) for r in profile.label_cooccurrence(df, ["a", "b c", "d", "absent"]).collect())
+    nothing = sorted(tuple(r) for r in profile.label_cooccurrence(df.limit(0), ["a", "b c"]).collect())
+    monkeypatch.setattr(profile, "FEW_LABELS", 1)
+    many = profile.label_cooccurrence(df, ["a", "b c", "d", "absent"])
+    assert sorted(tuple(r) for r in many.collect()) == few and len(few) == 9
+    assert sorted(tuple(r) for r in profile.label_cooccurrence(df.limit(0), ["a", "b c"]).collect()) == nothing
+
+
+def test_hundreds_of_labels(spark):
+    names = [f"l{i}" for i in range(500)]
+    df = spark.range(60).select(*[(F.col("id") % (i + 1) == 0).cast("int").alias(n) for i, n in enumerate(names)])
+    made = {(r["label_a"], r["label_b"]): r["n_rows"] for r in profile.label_cooccurrence(df, names).collect()}
+    assert len(made) == 500 * 500
+    for a, b in ((0, 0), (1, 2), (2, 1), (5, 9), (400, 499)):
+        assert made[f"l{a}", f"l{b}"] == sum(n % (a + 1) == 0 and n % (b + 1) == 0 for n in range(60))
