@@ -82,7 +82,8 @@ def count_tokens(
     """One row per part of every document: its tokens, and those that cross its boundary.
 
     parts names a column of arrays of structs (start, end), character spans in order and
-    without overlap; without it the parts are the lines, each with its line feed. part is the
+    without overlap: others fail the job with a ValueError. A null span, or one with a null end,
+    is an empty part where the one before it ends. Without it the parts are the lines, each with its line feed. part is the
     part's place from 0; a row with part -1 counts the tokens in no part, if there are any.
     n_crossing are those of n_tokens that reach into another part or out of all. doc_tokens
     are the whole document's.
@@ -107,8 +108,16 @@ def count_tokens(
 
     def spans(value: str, given: list[dict] | None) -> tuple[np.ndarray, np.ndarray]:
         if parts:
-            listed = [(p["start"], p["end"]) for p in given or []]
-            return tuple(np.array(listed, np.int64).reshape(-1, 2).T)
+            listed, at = [], 0
+            for p in given or []:
+                known = p and p["start"] is not None and p["end"] is not None
+                start, end = (p["start"], p["end"]) if known else (at, at)
+                if not at <= start <= end:
+                    raise ValueError(f"parts must be in order, without overlap: {start} to {end} after {at}")
+                listed.append((start, end))
+                at = end
+            starts, ends = np.array(listed, np.int64).reshape(-1, 2).T
+            return starts, ends
         ends = np.cumsum([len(line) + 1 for line in value.split("\n")])
         ends[-1] -= 1  # no line feed after the last line
         return np.append(0, ends[:-1]), ends

@@ -145,6 +145,21 @@ def test_token_counts_by_given_parts(spark, library, rule):
         assert counts == {p: want[p] for p in [*range(len(own)), *([-1] if want[-1] else [])]}
 
 
+def test_null_parts_are_empty_and_unordered_ones_are_refused(spark, library):
+    kind = "doc_id long, text string, parts array<struct<start:int,end:int>>"
+    spans = [None, (0, 5), None, (6, None), (None, 7), (6, 11), (11, 11)]
+    given = [s and {"start": s[0], "end": s[1]} for s in spans]
+    rows = spark.createDataFrame([(1, "hello world", given), (2, "x", None), (3, None, given[:1])], kind)
+    made = token_counts.count_tokens(rows, PATH, parts="parts").collect()
+    counts = {(r["doc_id"], r["part"]): r["n_tokens"] for r in made}
+    want = parts_by_hand(library, "hello world", [(0, 0), (0, 5), (5, 5), (5, 5), (5, 5), (6, 11), (11, 11)], "first")
+    assert counts == {**{(1, p): want[p] for p in [*range(7), *([-1] if want[-1] else [])]}, (2, -1): 1, (3, 0): 0}
+    for bad in ([(6, 11), (0, 5)], [(0, 6), (5, 11)], [(3, 1)], [(-1, 2)]):
+        given = [{"start": a, "end": b} for a, b in bad]
+        with pytest.raises(Exception, match="parts must be in order"):
+            token_counts.count_tokens(spark.createDataFrame([(1, "hello world", given)], kind), PATH, parts="parts").collect()
+
+
 def test_token_counts_by_lines(spark, library):
     texts = [None, "", "a\n\nb c\n", "no line feed", "<|endoftext|>\nx"]
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
