@@ -112,8 +112,10 @@ def _together_of_many(df: DataFrame, flags: dict[str, Column]) -> DataFrame:
     where a task sends one row a pair at most, so a frequent pair costs no more than others.
     """
     names = list(flags)
-    listed = F.array(*[F.struct(F.lit(i).alias("i"), flag.cast("long").alias("v")) for i, flag in enumerate(flags.values())])
-    rows = df.select(F.filter(listed, lambda s: s["v"] != 0).alias("set"))
+    # Hundreds of labels are named in SQL text, since each Column operation is a call into the JVM.
+    listed = ", ".join(f"struct({i} AS i, CAST(flag{i} AS BIGINT) AS v)" for i in range(len(names)))
+    read = df.select(*[flag.alias(f"flag{i}") for i, flag in enumerate(flags.values())])
+    rows = read.selectExpr(f"filter(array({listed}), s -> s.v != 0) AS set")
     # The outer forms are used since for the plain ones Spark would make the arrays twice.
     ones = rows.select("set", F.posexplode_outer("set").alias("at", "one"))
     pairs = ones.select("one", F.explode_outer(F.slice("set", F.col("at") + 1, F.size("set"))).alias("other"))
@@ -128,7 +130,7 @@ def _together_of_many(df: DataFrame, flags: dict[str, Column]) -> DataFrame:
     grid = df.sparkSession.range(k * k).select(
         F.call_function("div", F.col("id"), F.lit(k)).cast("int").alias("a"), (F.col("id") % k).cast("int").alias("b")
     )
-    name = F.array(*[F.lit(n) for n in names])
+    name = F.expr(f"array({', '.join(map(sql_text, names))})")
     return grid.join(made, ["a", "b"], "left").select(
         F.get(name, F.col("a")).alias("label_a"), F.get(name, F.col("b")).alias("label_b"), F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows")
     )
