@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from labelloom.session import staged
+from labelloom.session import _delete, staged
 
 # What Python's bytes.split() and the contracts' pattern [^\x20\x09-\x0D]+ divide at.
 WHITE = " \t\n\x0b\f\r"
@@ -67,6 +67,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return staged(df, name)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Deletes written tables of which all that is made of them is written itself."""
+    for df in tables:
+        for folder in sorted({f.rsplit("/", 1)[0] for f in df.inputFiles()}):
+            _delete(df.sparkSession, folder)
+
+
 def append_columns(
     df: DataFrame,
     inputs: Sequence[str],

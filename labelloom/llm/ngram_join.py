@@ -11,13 +11,15 @@ How long a prefix is follows from what it costs. A member that more than LONG do
 not paired. A document with h such members in its prefix takes the smallest l with h < l: of the l
 shared members one at least is paired then, and the pair must share l - h paired ones. So a passage
 that thousands of documents share costs each of them a few members of prefix, not thousands of
-candidates. l goes from LEAST, where costs are low, up to MOST.
-
-Documents for which even that is not enough, mostly large groups of near copies, are put in order
-of their smallest frequent member and cut into blocks. Two blocks that share members enough are
-compared as one product of their member tables; a task gives back, for each of its documents, the
-number of links and a tree of them, never the pairs. Documents with equal sets are one class from
-the start.
+candidates. l goes from LEAST, where costs are low, up to MOST. Whatever l is, a pair must also
+share as many of the longest prefixes as MOST and the two sizes ask for.
+
+Candidates that hang together, few documents as a rule, are compared in one task, so that each
+text is sent once and not with every pair it is in. Documents for which MOST is not enough, mostly
+large groups of near copies, are gathered by their frequent members, so that near copies stand
+together, and cut into blocks. Blocks whose documents share members enough are compared as one
+product of their member tables. Both give back, for each document, the number of its links and
+a tree of them, never the pairs. Documents with equal sets are one class from the start.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelloom.llm.columns import quoted, without, written
+from labelloom.llm.columns import discard, quoted, without, written
 from labelloom.llm.components import smallest_reachable
 from labelloom.llm.near_duplicates import _batched, _set_digests, shingle_sets
 from labelloom.operators.ranking import number_rows
@@ -42,12 +44,19 @@ MOST = 32
 # Documents of one member that are paired with each other.
 LONG = 64
 
+# Frequent members that gather a document to the first one that holds them.
+GATHER = 16
+
 # Documents in a block, members in a block's sets (more only for a single set), and members that
 # two blocks are compared by at a time.
 BLOCK = 128
 BLOCK_MEMBERS = 1 << 20
 COLUMNS = 4096
 
+# Documents that candidate pairs hold together and that are compared in one task, and their members.
+GROUP = 256
+GROUP_MEMBERS = 1 << 21
+
 RESULTS = ["n_shingles", "component_id", "n_links"]
 
 
@@ -102,7 +111,7 @@ def _heads(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, np.diff(first, append=len(keys))
 
 
-LISTED = pa.schema([("token", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("excess", pa.int32()), ("n", pa.int32())])
+LISTED = pa.schema([("token", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("excess", pa.int32()), ("n", pa.int32()), ("m", pa.int32())])
 
 
 def _list_rows(token, cls, n, excess, percent: int, long: int) -> Iterator[pa.RecordBatch]:
@@ -111,7 +120,7 @@ def _list_rows(token, cls, n, excess, percent: int, long: int) -> Iterator[pa.Re
     heavy = np.repeat(sizes > long, sizes)
     if heavy.any():
         nothing = pa.nulls(int(heavy.sum()), pa.int64())
-        own, rest = (pa.array(c[heavy]) for c in (token, cls)), (pa.array(c[heavy]) for c in (excess, n))
+        own, rest = (pa.array(c[heavy]) for c in (token, cls)), (pa.array(c[heavy]) for c in (excess, n, n))
         yield pa.RecordBatch.from_arrays([*own, nothing, *rest], schema=LISTED)
     for size in np.unique(sizes[(sizes > 1) & (sizes <= long)]).tolist():
         at = first[sizes == size]
@@ -122,7 +131,7 @@ def _list_rows(token, cls, n, excess, percent: int, long: int) -> Iterator[pa.Re
             x, y = rows[:, left].ravel(), rows[:, right].ravel()
             small, large = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
             near = 100 * small.astype(np.int64) >= percent * large.astype(np.int64)
-            x, y, small = x[near], y[near], small[near]
+            x, y, small, large = x[near], y[near], small[near], large[near]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.nulls(len(x), pa.int64()),
@@ -130,6 +139,7 @@ def _list_rows(token, cls, n, excess, percent: int, long: int) -> Iterator[pa.Re
                     pa.array(np.maximum(cls[x], cls[y])),
                     pa.array(np.maximum(excess[x], excess[y])),
                     pa.array(small),
+                    pa.array(large),
                 ],
                 schema=LISTED,
             )
@@ -171,7 +181,7 @@ def _listed(classes: DataFrame, percent: int, long: int) -> DataFrame:
         if held is not None:
             yield from _list_rows(*held, percent, long)
 
-    return dealt.mapInArrow(run, "token long, a long, b long, excess int, n int")
+    return dealt.mapInArrow(run, "token long, a long, b long, excess int, n int, m int")
 
 
 def _shared(limit: Column, excesses: str = "excesses") -> Column:
@@ -179,30 +189,45 @@ def _shared(limit: Column, excesses: str = "excesses") -> Column:
     return F.size(F.filter(excesses, lambda e: e < limit))
 
 
+def _least_shared(percent: int) -> Column:
+    """Members that similar sets of n and m (the larger) share of their longest prefixes.
+
+    They are MOST, if the sets are not smaller, by the l-prefix for l = MOST. They are also what
+    the sets must share in all, less what stands behind the prefix that ends first.
+    """
+    n, m = F.col("n"), F.col("m")
+    in_all = F.floor((percent * (n + m) + (99 + percent)) / (100 + percent)).cast("int")
+    behind = F.greatest(_overlap(m, percent) - MOST, F.lit(0))
+    return F.greatest(F.least(F.lit(MOST), _overlap(n, percent)), in_all - behind)
+
+
 def _costly(listed: DataFrame, percent: int) -> DataFrame:
     """Documents with members of many, and the matches their prefixes are lengthened to.
 
-    matches is null where MOST is not enough; excused is the number of such members.
+    matches is null where MOST is not enough; excused is the number of such members then,
+    frequent that in the longest prefix.
     """
     most = _overlap(F.col("n"), percent)
     found = (
         listed.filter("token IS NOT NULL")
         .groupBy(F.col("a").alias("cls"))
-        .agg(F.collect_list("excess").alias("excesses"), F.first("n").alias("n"), F.min("token").alias("smallest"))
+        .agg(F.collect_list("excess").alias("excesses"), F.first("n").alias("n"))
         .withColumn("tries", F.sequence(F.least(F.lit(LEAST), most), F.least(F.lit(MOST), most)))
         .withColumn("matches", F.get(F.filter("tries", lambda m: _shared(m) < m), F.lit(0)))
     )
-    return found.select("cls", "n", "smallest", "matches", _shared(F.col("matches")).alias("excused"))
+    return found.select("cls", "n", "matches", _shared(F.col("matches")).alias("excused"), F.size("excesses").alias("frequent"))
 
 
-def _sets(df: DataFrame, classes: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(cls, copies, members) of the wanted classes, from the text of one of their rows."""
+def _texts(df: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(cls, copies, text) of the wanted classes, with the text of one row of each."""
     heads = wanted.join(classes.select("cls", "copies", "head"), "cls")
-    texts = (
-        df.join(heads, (F.col("__llm_row") == F.col("head.__llm_row")) & (F.col("__llm_hash") == F.col("head.__llm_hash")))
-        .groupBy("cls", "copies")
-        .agg(F.first("__llm_text").alias("text"))
-    )
+    same = (F.col("__llm_row") == F.col("head.__llm_row")) & (F.col("__llm_hash") == F.col("head.__llm_hash"))
+    # Rows may be repeated, a third of all perhaps: one is left of each before they are sent on.
+    return df.join(heads, same).groupBy("cls", "copies").agg(F.first("__llm_text").alias("text"))
+
+
+def _sets(texts: DataFrame, words: int) -> DataFrame:
+    """(cls, copies, members) from (cls, copies, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -218,6 +243,64 @@ def _sets(df: DataFrame, classes: DataFrame, wanted: DataFrame, words: int) -> D
     return texts.mapInArrow(run, "cls long, copies long, members array<long>")
 
 
+Linked = list[tuple[int, int | None, int]]
+
+
+def _linked(cls, copies, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int, skip: np.ndarray) -> Linked:
+    """Links between documents on the left and right: each one's number (a, null, n), and a tree (a, b, 0).
+
+    The sides are the same documents or have none in common; pairs marked in skip are left out.
+    """
+    shared = overlaps([sets[i] for i in left], [sets[i] for i in right])
+    sizes = np.array([len(s) for s in sets])
+    links = (shared > 0) & (100 * shared >= percent * (sizes[left][:, None] + sizes[right][None, :] - shared)) & ~skip
+    alone = left is right
+    if alone:
+        np.fill_diagonal(links, False)
+    counts = [(int(c), None, int(n)) for c, n in zip(cls[left], links @ copies[right], strict=True) if n]
+    if not alone:
+        counts += [(int(c), None, int(n)) for c, n in zip(cls[right], links.T @ copies[left], strict=True) if n]
+    return counts + [(a, b, 0) for a, b in _tree(links, cls[left], cls[right])]
+
+
+LINKED = ["a", "b", "n"]
+
+
+def _columns(made: Linked) -> list[pa.Array]:
+    return [pa.array(c, pa.int64()) for c in (zip(*made, strict=True) if made else [[]] * 3)]
+
+
+def _grouped(rows: DataFrame, words: int, percent: int) -> DataFrame:
+    """The links inside each group of (grp, cls, copies, hot, text), as numbers and trees.
+
+    Pairs of two hot documents are left to their blocks.
+    """
+    dealt = rows.repartition("grp").sortWithinPartitions("grp")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, sets = None, []
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            for part in _batched(texts):
+                sets += shingle_sets([texts[i] for i in part], words)
+                own = np.stack([batch.column(c).to_numpy(zero_copy_only=False)[part].astype(np.int64) for c in ("grp", "cls", "copies", "hot")])
+                held = own if held is None else np.concatenate([held, own], axis=1)
+                first, sizes = _heads(held[0])
+                made: Linked = []
+                for at, size in zip(first[:-1].tolist(), sizes[:-1].tolist(), strict=True):
+                    made += compared(held[:, at : at + size], sets[at : at + size])
+                yield pa.RecordBatch.from_arrays(_columns(made), LINKED)
+                held, sets = held[:, first[-1] :], sets[first[-1] :]
+        if held is not None:
+            yield pa.RecordBatch.from_arrays(_columns(compared(held, sets)), LINKED)
+
+    def compared(own: np.ndarray, sets: list[np.ndarray]) -> Linked:
+        everyone = np.arange(len(sets))
+        return _linked(own[1], own[2], sets, everyone, everyone, percent, (own[3][:, None] & own[3][None, :]) == 1)
+
+    return dealt.mapInArrow(run, "a long, b long, n long")
+
+
 def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that are similar, with the copies of both.
 
@@ -305,63 +388,69 @@ def _cells(cells: DataFrame, blocks: DataFrame, sets: DataFrame, percent: int) -
     def compare(table: pa.Table) -> pa.Table:
         first, block = table.column("block_a")[0].as_py(), table.column("block").to_numpy()
         cls, copies = table.column("cls").to_numpy(), table.column("copies").to_numpy()
-        alone = table.column("block_b")[0].as_py() == first
         sets = [np.asarray(v) for v in table.column("members").combine_chunks().to_numpy(zero_copy_only=False)]
         left = np.flatnonzero(block == first)
-        right = left if alone else np.flatnonzero(block != first)
-        shared = overlaps([sets[i] for i in left], [sets[i] for i in right])
-        sizes = np.array([len(s) for s in sets])
-        links = (shared > 0) & (100 * shared >= percent * (sizes[left][:, None] + sizes[right][None, :] - shared))
-        if alone:
-            np.fill_diagonal(links, False)
-        counts = [(int(c), None, int(n)) for c, n in zip(cls[left], links @ copies[right], strict=True) if n]
-        if not alone:
-            counts += [(int(c), None, int(n)) for c, n in zip(cls[right], links.T @ copies[left], strict=True) if n]
-        made = counts + [(a, b, 0) for a, b in _tree(links, cls[left], cls[right])]
-        return pa.table([pa.array(c, pa.int64()) for c in (zip(*made, strict=True) if made else [[]] * 3)], ["a", "b", "n"])
+        right = left if table.column("block_b")[0].as_py() == first else np.flatnonzero(block != first)
+        return pa.table(_columns(_linked(cls, copies, sets, left, right, percent, np.zeros((1, 1), bool))), LINKED)
 
     return rows.groupBy("block_a", "block_b").applyInArrow(compare, "a long, b long, n long")
 
 
-def _blocks(costly: DataFrame, percent: int) -> DataFrame:
-    """Blocks of the documents without a prefix of bounded cost; need is the least of their matches."""
+def _blocks(costly: DataFrame, listed: DataFrame, percent: int) -> DataFrame:
+    """Blocks of the documents without a prefix of bounded cost; need is the least of their matches.
+
+    Documents that share GATHER frequent members with the first document of each get its label.
+    Labels only say who stands together: any would do.
+    """
     bits = F.floor(F.log2("n")).cast("int")
-    hot = costly.filter("matches IS NULL").select("cls", "n", "smallest", bits.alias("bits"))
-    ranked = number_rows(hot, ["bits", "smallest", "cls"], "rank", start=0)
+    hot = costly.filter("matches IS NULL").select("cls", "n", bits.alias("bits"))
+    held = listed.filter("token IS NOT NULL").select("token", F.col("a").alias("cls")).join(hot.select("cls"), "cls", "left_semi")
+    held = written(held, "held")
+    firsts = written(held.groupBy("token").agg(F.min("cls").alias("first")), "firsts")
+    near = held.join(firsts, "token").filter("first < cls").groupBy("first", "cls").agg(F.count("*").alias("shared"))
+    labels = smallest_reachable(near.filter(F.col("shared") >= GATHER).select(F.col("first").alias("a"), F.col("cls").alias("b")))
+    labelled = hot.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select(
+        "cls", "n", "bits", F.coalesce("component", "cls").alias("label")
+    )
+    ranked = number_rows(labelled, ["bits", "label", "cls"], "rank", start=0)
     each = F.greatest(F.lit(1), F.least(F.lit(BLOCK), F.floor(BLOCK_MEMBERS / F.pow(F.lit(2), "bits")))).cast("long")
     block = F.shiftleft(F.col("bits").cast("long"), 48) + F.call_function("div", F.col("rank"), each)
     need = F.least(F.lit(MOST), _overlap(F.col("n"), percent))
-    return ranked.select("cls", "bits", block.alias("block"), need.alias("need"))
+    return ranked.select("cls", "bits", "label", block.alias("block"), need.alias("need"))
 
 
 def _meeting(listed: DataFrame, both_hot: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Pairs of blocks that share members enough for two of their documents to be similar."""
-    of = blocks.select(F.col("cls").alias("a"), "block")
+    """Pairs of blocks with documents of one label, or of two that share members enough."""
+    of = blocks.select(F.col("cls").alias("a"), "label")
     lists = (
         listed.filter("token IS NOT NULL")
         .join(of, "a")
         .groupBy("token")
-        .agg(F.sort_array(F.collect_set("block")).alias("blocks"))
-        # Members of one group of documents are in the same blocks: their pairs are made once.
-        .groupBy("blocks")
+        .agg(F.sort_array(F.collect_set("label")).alias("labels"))
+        # Members of one group of documents have the same labels: their pairs are made once.
+        .groupBy("labels")
         .agg(F.count("*").alias("shared"))
+        .filter("size(labels) > 1")
     )
-    ends = lists.select("blocks", "shared", F.posexplode("blocks").alias("at", "block_a"))
-    by_member = ends.select(
-        "block_a", F.explode(F.slice("blocks", F.col("at") + 1, F.size("blocks"))).alias("block_b"), "shared"
+    ends = lists.select("labels", "shared", F.posexplode("labels").alias("at", "label_a"))
+    by_member = ends.select("label_a", F.explode(F.slice("labels", F.col("at") + 2, F.size("labels"))).alias("label_b"), "shared")
+    other = blocks.select(F.col("cls").alias("b"), F.col("label").alias("other"))
+    by_pair = both_hot.join(of, "a").join(other, "b").filter("label <> other").select(
+        F.least("label", "other").alias("label_a"), F.greatest("label", "other").alias("label_b"), "shared"
     )
-    other = blocks.select(F.col("cls").alias("b"), F.col("block").alias("other"))
-    by_pair = both_hot.join(of, "a").join(other, "b").select(
-        F.least("block", "other").alias("block_a"), F.greatest("block", "other").alias("block_b"), "shared"
-    )
-    needs = blocks.groupBy("block").agg(F.min("need").alias("need"), F.first("bits").alias("bits"))
-    a, b = (needs.select(F.col("block").alias(f"block_{n}"), F.col("need").alias(f"need_{n}"), F.col("bits").alias(f"bits_{n}")) for n in "ab")
-    met = by_member.unionByName(by_pair).groupBy("block_a", "block_b").agg(F.sum("shared").alias("shared"))
+    needs = blocks.groupBy("label").agg(F.min("need").alias("need"))
+    a, b = (needs.select(F.col("label").alias(f"label_{n}"), F.col("need").alias(f"need_{n}")) for n in "ab")
+    met = by_member.unionByName(by_pair).groupBy("label_a", "label_b").agg(F.sum("shared").alias("shared"))
+    apart = met.join(a, "label_a").join(b, "label_b").filter(F.col("shared") >= F.least("need_a", "need_b"))
+    pairs = apart.select("label_a", "label_b").union(needs.select("label", F.col("label").alias("other")))
+    placed = written(blocks.select("label", "block", "bits").distinct(), "placed")
+    left, right = (placed.select(*[F.col(c).alias(f"{c}_{n}") for c in placed.columns]) for n in "ab")
     return (
-        met.join(a, "block_a")
-        .join(b, "block_b")
-        .filter((F.abs(F.col("bits_a") - F.col("bits_b")) <= 1) & (F.col("shared") >= F.least("need_a", "need_b")))
-        .select("block_a", "block_b")
+        pairs.join(left, "label_a")
+        .join(right, "label_b")
+        .filter(F.abs(F.col("bits_a") - F.col("bits_b")) <= 1)
+        .select(F.least("block_a", "block_b").alias("block_a"), F.greatest("block_a", "block_b").alias("block_b"))
+        .distinct()
     )
 
 
@@ -413,16 +502,21 @@ def join_components(
         classes.select(F.monotonically_increasing_id().alias("cls"), *same, F.col("__llm_size").alias("size"), "head", "copies", "prefix"),
         "classes",
     )
+    # Only the classes need the prefixes, and only their lists need those; both go as early as can be.
+    rows = written(signed.drop("__llm_prefix", "__llm_hash"), "rows")
+    discard(signed)
     listed = written(_listed(classes, percent, long), "listed")
+    prefixed, classes = classes, written(classes.drop("prefix"), "classes")
+    discard(prefixed)
     costly = written(_costly(listed, percent), "costly")
     pairs = (
         listed.filter("token IS NULL")
         .groupBy("a", "b")
-        .agg(F.collect_list("excess").alias("excesses"), F.first("n").alias("n"))
+        .agg(F.collect_list("excess").alias("excesses"), F.first("n").alias("n"), F.first("m").alias("m"))
     )
     for side in "ab":
         lengthened = costly.select(
-            F.col("cls").alias(side), F.struct("matches", "excused").alias(f"cost_{side}")
+            F.col("cls").alias(side), F.struct("matches", "excused").alias(f"cost_{side}"), F.col("frequent").alias(f"frequent_{side}")
         )
         pairs = pairs.join(lengthened, side, "left")
     hot = F.coalesce(F.col("cost_a").isNotNull() & F.col("cost_a.matches").isNull(), F.lit(False)) & F.coalesce(
@@ -431,19 +525,34 @@ def join_components(
     usual = F.struct(F.least(F.lit(LEAST), _overlap(F.col("n"), percent)).alias("matches"), F.lit(0).alias("excused"))
     either = F.array_min(F.filter(F.array("cost_a", "cost_b"), lambda c: c["matches"].isNotNull()))
     cost = F.when(F.col("cost_a").isNull() | F.col("cost_b").isNull(), usual).otherwise(either)
-    pairs = pairs.select("a", "b", "excesses", hot.alias("hot"), cost.alias("cost"))
+    hidden = F.least(F.coalesce("frequent_a", F.lit(0)), F.coalesce("frequent_b", F.lit(0)))
+    likely = F.size("excesses") + hidden >= _least_shared(percent)
+    pairs = pairs.filter(likely).select("a", "b", "excesses", hot.alias("hot"), cost.alias("cost"))
     enough = _shared(F.col("cost.matches")) >= F.greatest(F.lit(1), F.col("cost.matches") - F.col("cost.excused"))
     pairs = written(
         pairs.filter(F.col("hot") | enough).select("a", "b", "hot", F.size("excesses").cast("long").alias("shared")), "pairs"
     )
-    blocks = written(_blocks(costly, percent), "numbered")
+    blocks = written(_blocks(costly, listed, percent), "numbered")
+    cells = written(_meeting(listed, pairs.filter("hot"), blocks), "meeting")
+    discard(listed, costly)
     plain = pairs.filter("NOT hot").select("a", "b")
+    groups = written(smallest_reachable(plain).withColumnsRenamed({"node": "cls", "component": "grp"}), "groups")
+    sizes = groups.join(classes.select("cls", "size"), "cls").groupBy("grp").agg(
+        F.count("*").alias("documents"), F.sum("size").alias("members")
+    )
+    sizes = written(sizes.select("grp", ((F.col("documents") <= GROUP) & (F.col("members") <= GROUP_MEMBERS)).alias("small")), "sizes")
+    hot = blocks.select("cls", F.lit(True).alias("hot"))
+    together = groups.join(sizes.filter("small"), "grp").join(hot, "cls", "left").select("grp", "cls", F.coalesce("hot", F.lit(False)).alias("hot"))
+    # Larger groups are compared pair by pair, or by blocks.
+    apart = groups.join(sizes.filter("NOT small"), "grp").select(F.col("cls").alias("a"))
+    plain = written(plain.join(apart, "a", "left_semi"), "apart")
     wanted = plain.select(F.explode(F.array("a", "b")).alias("cls")).union(blocks.select("cls")).distinct()
-    texts = df.select(*keys)
-    sets = written(_sets(texts, classes, wanted, words), "sets")
+    texts = written(_texts(df.select(*keys), classes, groups.select("cls").union(wanted).distinct()), "texts")
+    near = written(_grouped(together.join(texts, "cls"), words, percent), "near")
+    sets = written(_sets(texts.join(wanted, "cls", "left_semi"), words), "sets")
+    discard(texts)
     links = written(_compared(plain, sets, percent), "links")
-    cells = written(_meeting(listed, pairs.filter("hot"), blocks), "meeting")
-    trees = written(_cells(cells, blocks, sets, percent), "cells")
+    trees = near.union(written(_cells(cells, blocks, sets, percent), "cells"))
     counts = (
         links.select(F.explode(F.array(F.struct("a", F.col("copies_b").alias("n")), F.struct(F.col("b").alias("a"), F.col("copies_a").alias("n")))).alias("x"))
         .select("x.*")
@@ -468,7 +577,7 @@ def join_components(
         "verdicts",
     )
     # A class may hold a third of all rows: both sides are read afresh, so Spark can split it.
-    judged = signed.drop("__llm_prefix", "__llm_hash").join(verdicts, same, "left")
+    judged = rows.join(verdicts, same, "left")
     known = F.col("__llm_row").isNotNull()
     return judged.select(
         *[F.col(quoted(c)) for c in own],

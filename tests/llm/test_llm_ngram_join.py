@@ -62,11 +62,11 @@ def corpus(seed):
 
 
 @pytest.mark.parametrize(
-    ("percent", "words", "least", "most", "long", "block"),
-    [(80, 5, 8, 32, 64, 128), (80, 5, 2, 4, 5, 7), (80, 5, 1, 1, 2, 3), (60, 3, 3, 6, 10, 16), (100, 5, 8, 12, 8, 4), (85, 1, 4, 40, 20, 9)],
+    ("percent", "words", "least", "most", "long", "block", "group"),
+    [(80, 5, 8, 32, 64, 128, 256), (80, 5, 2, 4, 5, 7, 6), (80, 5, 1, 1, 2, 3, 1), (60, 3, 3, 6, 10, 16, 30), (100, 5, 8, 12, 8, 4, 5), (85, 1, 4, 40, 20, 9, 15)],
 )
-def test_join_equals_brute_force(spark, monkeypatch, percent, words, least, most, long, block):
-    for name, value in (("LEAST", least), ("MOST", most), ("BLOCK", block), ("COLUMNS", 50)):
+def test_join_equals_brute_force(spark, monkeypatch, percent, words, least, most, long, block, group):
+    for name, value in (("LEAST", least), ("MOST", most), ("BLOCK", block), ("COLUMNS", 50), ("GROUP", group)):
         monkeypatch.setattr(ngram_join, name, value)
     rows = corpus(least)
     df = spark.createDataFrame([(i, t, k, "mine") for k, (i, t) in enumerate(rows)], "doc_id long, text string, at int, N_links string")
