@@ -161,19 +161,23 @@ def judge(
     min_words: int = 50,
     max_repeat_percent: int = 50,
     max_share: float = 0.5,
+    keep_text: bool = True,
 ) -> DataFrame:
     """Every document with its measures, base_failed, host_share and kept.
 
     kept is false for a document that fails the base rules and for every document of a
     rejected host. A document without a host is judged by the base rules alone, its
     host_share is null. Repeated rows count each. An empty table gives an empty one. Given
-    columns named like a result are replaced; all others stay, the text included.
+    columns named like a result are replaced; all others stay, the text too unless
+    keep_text is false.
 
-    The documents themselves are not moved: only the verdicts of rejected hosts are needed,
+    Measuring is what costs, so the measured documents are written to the shared folder once and
+    read for the hosts and for the result. They are not shuffled: only the verdicts of rejected hosts are needed,
     and each document asks for its host's. That list is joined as Spark sees fit; where both
     sides are shuffled, each host's documents go to many tasks.
     """
     measured = measure(df, text, min_words, max_repeat_percent)
+    measured = staged(measured if keep_text else measured.drop(text), "measured")
     names = without(measured, ["host_share", "kept"])
     verdicts = host_verdicts(measured, host, max_share).select("__llm_host", "host_share", "host_rejected")
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__llm_salt")

@@ -210,7 +210,7 @@ FROM judged j LEFT JOIN verdicts v ON j.source = v.source
 
 @query("op8_host_quality", OP8_SQL)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality.judge(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
+    judged = quality.judge(table(spark, sf_dir, "documents", "doc_id", "text", "source"), keep_text=False)
     return judged.select("doc_id", *quality.MEASURES, "base_failed", "kept")
 
 

@@ -98,3 +98,31 @@ def test_stages_bear_an_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, SF_DIR)
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR).count() == 0
+
+
+CLASHING = ["kept", "n_words", "base_failed", "host_share", "n_lines", "n_removed", "n_shingles", "component_id", "__given"]
+
+
+def test_stages_give_back_columns_named_like_results(spark):
+    rows = [(i, " ".join(f"w{i % 5}x{k}" for k in range(60 + i % 5)), "host", i, *[f"{c} {i}" for c in CLASHING]) for i in range(8)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "source", "n_chars", *CLASHING])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        made = stage(spark, docs, SF_DIR)
+        assert made.schema == docs.schema, name
+        found = made.collect()
+        assert len(found) >= 5
+        for r in found:
+            assert [r[c] for c in CLASHING] == [f"{c} {r['doc_id']}" for c in CLASHING], name
+
+
+def test_quality_drops_the_documents_of_a_rejected_host(spark):
+    def text(i, n):
+        return " ".join(f"d{i}w{k}" for k in range(n))
+
+    rows = [(i, text(i, 60), "good.example", 0) for i in range(40)]
+    rows += [(100 + i, text(i, 60 if i < 3 else 5), "bad.example", 0) for i in range(30)]
+    rows += [(200, text(200, 60), None, 0), (201, text(201, 5), None, 0), (202, text(202, 60), "new.example", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars int")
+    kept = {r["doc_id"] for r in corpus_pipeline.keep_good(spark, docs, SF_DIR).collect()}
+    # Three documents of the bad host pass the rules themselves.
+    assert kept == {*range(40), 200, 202}
