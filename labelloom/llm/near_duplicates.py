@@ -7,8 +7,9 @@ take. Two documents meet if at least two of their collections agree.
 
 Documents with equal sets are one class from the start, so copies never meet each other. In a
 table's bucket every class is first held against the bucket's smallest and largest class;
-classes that are linked by then need not be compared again. What is left in a bucket is
-compared in full, but only across components.
+classes that are linked by then need not be compared again. Buckets whose other classes are
+still apart, mostly texts of one pattern that are less alike than asked for, are verified
+together by an exact join that compares blocks of them and never makes their pairs.
 """
 
 from __future__ import annotations
@@ -25,11 +26,13 @@ from pyspark.sql import types as T
 
 from labelloom.llm.columns import quoted, without, written
 from labelloom.llm.components import smallest_reachable
-from labelloom.llm.words import joined, window_digests, word_codes
+from labelloom.llm.ngram_join import join_components
+from labelloom.llm.shingles import batched, set_digests, shingle_sets
+from labelloom.llm.words import joined
 
-# Words worked on together, and pairs.
-TOGETHER = 300_000
+# Pairs compared together, and classes whose keys are made together.
 PAIRS_TOGETHER = 2_000
+KEYS_TOGETHER = 1_000
 
 # Pairs at the limit that may be missed, where the number of collections is not given, and the
 # most collections taken by themselves (their tables are half as many as their square).
@@ -39,49 +42,6 @@ MOST_COLLECTIONS = 64
 # Smallest members of a set that are kept to estimate how alike two sets are.
 LOWEST = 128
 
-_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-
-
-def lowered_words(text: str | None) -> list[bytes]:
-    """The words [^\\x20\\x09-\\x0D]+ with A-Z in lower case, other letters as they are."""
-    return (text or "").encode().translate(_LOWER).split()
-
-
-def shingle_sets(texts: list[str | None], words: int) -> list[np.ndarray]:
-    """The sorted distinct digests of each text's shingles.
-
-    A text with fewer words than a shingle is one shingle; one without words has none.
-    """
-    split = [lowered_words(t) for t in texts]
-    codes = word_codes()([w for own in split for w in own])[:, 0]
-    digests = window_digests(codes, words) if len(codes) >= words else codes[:0]
-    made, at = [], 0
-    for own in split:
-        n = len(own)
-        if n >= words:
-            made.append(np.unique(digests[at : at + n - words + 1]))
-        elif n:
-            short = np.array([n], np.uint64)
-            for code in codes[at : at + n]:
-                short = joined(short, np.array([code]))
-            made.append(short)
-        else:
-            made.append(codes[:0])
-        at += n
-    return made
-
-
-def _batched(texts: list[str | None]) -> Iterator[list[int]]:
-    rows: list[int] = []
-    size = 0
-    for i, text in enumerate(texts):
-        rows.append(i)
-        size += len(text or "") // 5
-        if size >= TOGETHER or i + 1 == len(texts):
-            yield rows
-            rows, size = [], 0
-
-
 def _minhashes(sets: list[np.ndarray], factors: np.ndarray, shifts: np.ndarray) -> np.ndarray:
     """One row of minhashes for every set; the sets must not be empty."""
     whole = np.concatenate(sets)
@@ -94,14 +54,6 @@ def _cut(values: np.ndarray) -> np.ndarray:
     return ((values >> np.uint64(32)).astype(np.int64) - (1 << 31)).astype(np.int32)
 
 
-def _set_digests(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Two digests of every set; sums over distinct members do not depend on their order."""
-    whole = np.concatenate(sets)
-    starts = np.cumsum([0, *map(len, sets[:-1])])
-    low = np.bitwise_xor.reduceat(joined(whole, whole), starts)
-    return low, np.add.reduceat(joined(whole, ~whole), starts)
-
-
 def least_agreement(hashes: int, percent: int) -> int:
     """Minhashes a pair at the limit agrees in at least, but for one pair in a million."""
     p, tail = percent / 100, 0.0
@@ -126,6 +78,11 @@ def enough_collections(percent: int, each: int) -> int:
     raise ValueError(f"{percent} percent needs more than {MOST_COLLECTIONS} collections of {each}: give collections and each")
 
 
+def _apart(text: Column) -> Column:
+    """128 bits that tell apart the texts of rows with one id."""
+    return F.struct(F.xxhash64(text).alias("x"), F.xxhash64(F.lit(1), text).alias("y"))
+
+
 SIGNATURES = [
     ("__llm_size", T.LongType()),
     ("__llm_low", T.LongType()),
@@ -147,7 +104,7 @@ def _signatures(df: DataFrame, words: int, collections: int, each: int) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("__llm_text").to_pylist()
-            for rows in _batched(texts):
+            for rows in batched(texts):
                 sets = shingle_sets([texts[r] for r in rows], words)
                 filled = [i for i, own in enumerate(sets) if len(own)]
                 sizes = np.array([len(own) for own in sets], np.int64)
@@ -156,7 +113,7 @@ def _signatures(df: DataFrame, words: int, collections: int, each: int) -> DataF
                 hashes: list = [[]] * len(sets)
                 if filled:
                     found = [sets[i] for i in filled]
-                    low[filled], high[filled] = _set_digests(found)
+                    low[filled], high[filled] = set_digests(found)
                     minhashes = _minhashes(found, factors, shifts)
                     made = minhashes[:, ::each]
                     for k in range(1, each):
@@ -182,26 +139,21 @@ def _signatures(df: DataFrame, words: int, collections: int, each: int) -> DataF
     return df.select(*names, "__llm_text").mapInArrow(run, schema)
 
 
-def _tables(collections: int) -> list[tuple[int, int]]:
-    return list(combinations(range(collections), 2))
-
-
-def _table_keys(parts: Column, collections: int) -> Column:
-    """A key for each pair of collections, apart from those of other pairs."""
-    return F.array(*[F.xxhash64(F.lit(t), parts[i], parts[j]) for t, (i, j) in enumerate(_tables(collections))])
+def _keyed(classes: DataFrame, collections: int) -> DataFrame:
+    """A row (key, head) for each pair of a class's collections, keys of different pairs apart."""
+    tables = np.array(list(combinations(range(collections), 2)))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = np.arange(1, len(tables) + 1, dtype=np.uint64)
+        for batch in batches:
+            for at in range(0, batch.num_rows, KEYS_TOGETHER):
+                part = batch.slice(at, KEYS_TOGETHER)
+                parts = part.column("parts").flatten().to_numpy().view(np.uint64).reshape(-1, collections)
+                keys = joined(joined(parts[:, tables[:, 0]], parts[:, tables[:, 1]]), names[None, :])
+                heads = np.repeat(part.column("head").to_numpy(), len(tables))
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64).ravel()), pa.array(heads)], ["key", "head"])
 
-def _first_meeting(collections: int) -> Column:
-    """Whether no earlier table than this one holds both parts_a and parts_b.
-
-    Tables are in order of their collections, so the first one two classes share is that of
-    the first two collections they agree in.
-    """
-    reach = F.get(F.array(*[F.lit(j + 1) for _, j in _tables(collections)]), F.col("table"))
-    agree = F.zip_with(
-        F.slice("parts_a", F.lit(1), reach), F.slice("parts_b", F.lit(1), reach), lambda x, y: (x == y).cast("int")
-    )
-    return F.aggregate(agree, F.lit(0), lambda total, one: total + one) == 2
+    return classes.select("parts", F.col("head.__llm_row").alias("head")).mapInArrow(run, "key long, head long")
 
 
 def _agreement(one: str, other: str) -> Column:
@@ -256,7 +208,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) ->
                 # A text is in many pairs, one after the other: its set is made once here.
                 texts = list(dict.fromkeys([*one, *other]))
                 sets: dict[str, np.ndarray] = {}
-                for rows in _batched(texts):
+                for rows in batched(texts):
                     own = [texts[r] for r in rows]
                     sets.update(zip(own, shingle_sets(own, words), strict=True))
                 good = []
@@ -270,7 +222,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) ->
 
 
 # What a class brings to a pair.
-SIDE = ["size", "parts", "hashes", "lowest"]
+SIDE = ["size", "hashes", "lowest"]
 
 
 def _near_sizes(one: str, other: str, percent: int) -> Column:
@@ -296,7 +248,7 @@ def components(
     even its like. A document without an id is in no component: its component_id is null and
     it is kept. Repeated rows share one fate. Rows that share an id but not their text are
     judged each by its text. An empty table stays empty. Columns named like a result are
-    replaced, others stay. Ids must be whole numbers.
+    replaced, others stay. Ids must be whole numbers; percent must be over 50.
 
     A pair at the limit itself meets in no table with probability p = P(fewer than two of
     ``collections`` agree), where each agrees with (percent / 100) ** each. If not given they
@@ -306,9 +258,11 @@ def components(
     """
     if not isinstance(df.schema[id_column].dataType, T.IntegralType):
         raise ValueError("ids must be whole numbers")
+    if not 50 < percent <= 100:
+        raise ValueError("percent must be over 50, and 100 at most")
     if collections is None:
         collections = enough_collections(percent, each)
-    row = [df[quoted(id_column)].cast("long").alias("__llm_row"), F.hash(df[quoted(text)]).alias("__llm_hash")]
+    row = [df[quoted(id_column)].cast("long").alias("__llm_row"), _apart(df[quoted(text)]).alias("__llm_hash")]
     rows = df.select(*row, df[quoted(text)].alias("__llm_text"))
     signed = written(_signatures(rows, words, collections, each), "signatures")
     # Classes of equal sets, named by their smallest row. A class stands for all its rows.
@@ -325,9 +279,7 @@ def components(
         .withColumn("size", F.col("__llm_size")),
         "classes",
     )
-    keyed = classes.select(
-        F.posexplode(_table_keys(F.col("parts"), collections)).alias("table", "key"), F.col("head.__llm_row").alias("head")
-    )
+    keyed = _keyed(classes, collections)
     # The ends of each bucket; only buckets of two classes or more go on.
     ends = written(
         keyed.groupBy("key").agg(F.min("head").alias("low"), F.max("head").alias("high")).filter("low < high"), "buckets"
@@ -346,32 +298,20 @@ def components(
     texts = written(texts.dropDuplicates(["__llm_row", "__llm_hash"]), "texts")
     links = written(_confirmed(first, texts, words, percent), "links")
     labels = written(smallest_reachable(links), "labels")
-    # Buckets that still hold more than one component are compared across components.
-    labelled = met.join(labels, F.col("head") == F.col("node"), "left").select(
-        "key", "table", "head", F.coalesce("component", "head").alias("component")
+    # The ends of a bucket have met all of it. Buckets whose other classes are of more than one
+    # component still are compared by an exact join of these classes.
+    inner = met.filter((F.col("head") != F.col("low")) & (F.col("head") != F.col("high")))
+    labelled = inner.join(labels, F.col("head") == F.col("node"), "left").select(
+        "key", "head", F.coalesce("component", "head").alias("component")
     )
     unsettled = (
         labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
     )
-    left = labelled.join(unsettled.select("key"), "key", "left_semi").withColumnRenamed("head", "row")
-    left = written(left.join(classes, F.col("row") == F.col("head.__llm_row")).drop("row", *same), "unsettled")
-    one, other = (
-        left.select("key", "table", F.col("head").alias(n), *[F.col(c).alias(f"{c}_{n}") for c in ("component", *SIDE)])
-        for n in "ab"
-    )
-    second = (
-        one.join(
-            other.drop("table"),
-            (one["key"] == other["key"])
-            & (F.col("a") < F.col("b"))
-            & (F.col("component_a") != F.col("component_b"))
-            & _first_meeting(collections)
-            & alike,
-        )
-        .select("a", "b")
-        .join(first, ["a", "b"], "left_anti")
-    )
-    more = written(_confirmed(written(second, "pairs"), texts, words, percent), "links")
+    left = labelled.join(unsettled.select("key"), "key", "left_semi").select(F.col("head").alias("__llm_row")).distinct()
+    left = texts.join(written(left, "unsettled"), "__llm_row", "left_semi")
+    left = written(left.select(F.col("__llm_row").alias("id"), F.col("__llm_text").alias("text")), "unsettled")
+    more = join_components(left, "id", "text", words, percent)
+    more = written(more.select(F.col("component_id").alias("a"), F.col("id").alias("b")).filter("a < b"), "links")
     labels = written(smallest_reachable(links.union(more)), "labels")
     of_class = written(
         classes.join(labels, F.col("head.__llm_row") == F.col("node"), "left").select(

@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from labelloom.llm.columns import discard, quoted, without, written
 from labelloom.llm.components import smallest_reachable
-from labelloom.llm.near_duplicates import _batched, _set_digests, shingle_sets
+from labelloom.llm.shingles import batched, set_digests, shingle_sets
 from labelloom.operators.ranking import number_rows
 
 # Shared members a pair needs: at low cost, and at most.
@@ -83,12 +83,12 @@ def _signed(rows: DataFrame, words: int, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("__llm_text").to_pylist()
-            for part in _batched(texts):
+            for part in batched(texts):
                 sets = shingle_sets([texts[r] for r in part], words)
                 filled = [i for i, own in enumerate(sets) if len(own)]
                 low, high = np.zeros((2, len(sets)), np.uint64)
                 if filled:
-                    low[filled], high[filled] = _set_digests([sets[i] for i in filled])
+                    low[filled], high[filled] = set_digests([sets[i] for i in filled])
                 prefixes = [own[: len(own) - overlap(len(own), percent) + MOST].view(np.int64) for own in sets]
                 where = pa.array(part)
                 yield pa.RecordBatch.from_arrays(
@@ -232,7 +232,7 @@ def _sets(texts: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            for part in _batched(texts):
+            for part in batched(texts):
                 made = [own.view(np.int64) for own in shingle_sets([texts[r] for r in part], words)]
                 where = pa.array(part)
                 yield pa.RecordBatch.from_arrays(
@@ -281,7 +281,7 @@ def _grouped(rows: DataFrame, words: int, percent: int) -> DataFrame:
         held, sets = None, []
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            for part in _batched(texts):
+            for part in batched(texts):
                 sets += shingle_sets([texts[i] for i in part], words)
                 own = np.stack([batch.column(c).to_numpy(zero_copy_only=False)[part].astype(np.int64) for c in ("grp", "cls", "copies", "hot")])
                 held = own if held is None else np.concatenate([held, own], axis=1)

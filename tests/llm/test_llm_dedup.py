@@ -7,7 +7,7 @@ from itertools import combinations
 
 import pytest
 
-from labelloom.llm import lines, near_duplicates, substrings
+from labelloom.llm import lines, near_duplicates, shingles, substrings
 from labelloom.llm.components import smallest_reachable
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -161,7 +161,7 @@ def components_by_hand(docs, percent):
 
 def test_near_duplicates_equal_brute_force(spark, monkeypatch):
     rnd = random.Random(11)
-    monkeypatch.setattr(near_duplicates, "TOGETHER", 300)
+    monkeypatch.setattr(shingles, "TOGETHER", 300)
     vocabulary = [f"W{i}" for i in range(500)]
     docs = []
     for d in range(14):
@@ -203,6 +203,28 @@ def test_production_parameters_link_pairs_at_the_limit(spark):
     assert {r["doc_id"]: r["component_id"] for r in got} == {d: d - (d % 3 == 1) for d, _ in rows}
 
 
+def test_crowded_buckets_of_texts_less_alike_than_asked_for(spark, monkeypatch):
+    # All texts share a pattern: most pairs meet, few are links, and those not with a bucket's ends.
+    asked = []
+    exact = near_duplicates.join_components
+    monkeypatch.setattr(near_duplicates, "join_components", lambda df, *more: asked.append(df.count()) or exact(df, *more))
+    rnd = random.Random(5)
+    pattern = [f"p{k}" for k in range(150)]
+    docs = []
+    for i in range(90):
+        own = [f"u{i}x{k}" for k in range(22)]
+        docs.append(" ".join([*pattern, *own]))
+        if i % 5 == 0:
+            docs.append(" ".join([*pattern, *own[:-2], "y", "z"]))
+    rnd.shuffle(docs)
+    docs = list(enumerate(docs))
+    component, _ = components_by_hand(docs, 85)
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = near_duplicates.components(table, percent=85, collections=16).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == component
+    assert len(set(component.values())) == 90 and asked[0] > 50
+
+
 def test_near_duplicates_of_odd_tables(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert near_duplicates.components(empty).count() == 0
