@@ -4,8 +4,10 @@ A page is stripped to lines, one per block of the layout. What is no article by
 (menus, forms, adverts, comments, ...) becomes empty lines. Text lengths are summed over
 windows of neighbouring lines. From the first and the last window that reach the threshold the
 article goes on, back to the surge point and ahead to the dive point, for as long as the sums
-are not zero, so short blocks at either end of it stay. Where a page marks its article, lines outside it weigh nothing and those inside it
-weigh enough to be found however short they are.
+are not zero, so short blocks at either end of it stay. Lines that are mostly links weigh
+nothing. Where a page marks its article, only lines inside it weigh anything, and the surge and
+dive points are looked for among them: a list of links before or behind the text is no part of it
+there either. A form that holds an article, or most of a page's text, only wraps it.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ INLINE = set(
 )
 IN_HEAD = set("base link meta noscript script style template title".split())
 DROPPED = set(
-    "annotation annotation-xml applet aside audio button canvas datalist dialog embed footer form frameset head iframe "
+    "annotation annotation-xml applet aside audio button canvas datalist dialog embed footer frameset head iframe "
     "input menu nav noframes noscript object option script select style svg template textarea title video".split()
 )
 DROPPED_ROLES = set(
@@ -61,6 +63,7 @@ ARTICLE_DROPPED_PARTS = set(
 )
 ARTICLE_DROPPED_ROLES = DROPPED_ROLES - {"alert", "form"}
 MARKED_ARTICLE = {"article", "main"}
+FORM_LABELS = {"label", "legend"}
 # The ids of these name what their text is about.
 HEADED = set("h1 h2 h3 h4 h5 h6 section".split())
 CLOSES_PARAGRAPH = set(
@@ -98,34 +101,42 @@ class _Lines(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, bool, bool]] = []  # tag, dropped, marked as the article
+        self.places: dict[str, list[int]] = {}  # where each tag is open, the innermost last
         self.dropped = self.marked = self.links = 0
-        self.lines: list[tuple[str, int, bool]] = []
+        self.lines: list[tuple[str, int, bool, int]] = []  # the last is the form a line is in, 0 for none
+        self.forms = self.form = 0
+        self.wrapping: set[int] = set()
         self.text: list[str] = []
         self.linked = 0
 
     def _end_line(self, gap: bool = False) -> None:
         text = " ".join("".join(self.text).split())
         if text or gap:
-            self.lines.append((text, self.linked, self.marked > 0))
+            self.lines.append((text, self.linked, self.marked > 0, self.form))
         self.text, self.linked = [], 0
 
     def _pop(self, count: int) -> None:
         for _ in range(count):
             tag, dropped, marked = self.open.pop()
+            self.places[tag].pop()
             self.dropped -= dropped
             self.marked -= marked
             self.links -= tag == "a"
+            if tag == "form" and not self.places["form"]:
+                self.form = 0
 
     def _close_to(self, tag: str, stop: set[str]) -> None:
-        for up, (name, _, _) in enumerate(reversed(self.open), 1):
-            if name == tag:
-                self._pop(up)
-                return
-            if name in stop:
-                return
+        """Closes the innermost such tag and what is open in it, if no tag of stop is between."""
+        at = self._innermost(tag)
+        if at >= 0 and all(self._innermost(name) < at for name in stop if name != tag):
+            self._pop(len(self.open) - at)
+
+    def _innermost(self, tag: str) -> int:
+        places = self.places.get(tag)
+        return places[-1] if places else -1
 
     def _is_dropped(self, tag: str, attributes: dict[str, str]) -> bool:
-        if tag in DROPPED:
+        if tag in DROPPED or (self.form and tag in FORM_LABELS):
             return True
         is_part = _is_whole_part if self.marked else _is_part
         classes = attributes.get("class", "").split()
@@ -138,6 +149,8 @@ class _Lines(HTMLParser):
             r"display\s*:\s*none", attributes.get("style", ""), re.IGNORECASE
         ):
             return True
+        if tag == "form":
+            return False
         own_id, names = attributes.get("id", ""), classes
         if tag not in HEADED and "section" not in classes:
             names = [*classes, own_id]
@@ -150,7 +163,7 @@ class _Lines(HTMLParser):
         return head and not self.marked
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        if tag not in IN_HEAD and any(name == "head" for name, _, _ in self.open):
+        if tag not in IN_HEAD and self.places.get("head"):
             self._close_to("head", set())
         if tag in CLOSES_PARAGRAPH:
             self._close_to("p", {"button", "table", "td", "th", "div", "li", "article", "section", "aside"})
@@ -169,6 +182,12 @@ class _Lines(HTMLParser):
         ).lower() in {"main", "article"}
         if dropped and not self.dropped:
             self._end_line(gap=True)
+        if tag == "form" and not self.form:
+            self.forms += 1
+            self.form = self.forms
+        if marked and not self.marked and not dropped and not self.dropped and self.form:
+            self.wrapping.add(self.form)
+        self.places.setdefault(tag, []).append(len(self.open))
         self.open.append((tag, dropped, marked))
         self.dropped += dropped
         self.marked += marked
@@ -194,28 +213,52 @@ class _Lines(HTMLParser):
         pass
 
 
-def page_lines(html: str) -> list[tuple[str, int, bool]]:
+def page_lines(html: str, threshold: int = 80) -> list[tuple[str, int, bool]]:
+    """The lines of a page; those of a form that wraps nothing are empty.
+
+    A form wraps what is in it if an article begins there, or if it holds over half of the text
+    there is (of the marked article's, where there is one), and as much as the threshold.
+    """
     parser = _Lines()
     parser.feed(html)
     parser.close()
     parser._end_line()
-    return parser.lines
+    inside = any(marked and text for text, _, marked, _ in parser.lines)
+    held = [0] * (parser.forms + 1)
+    for text, linked, marked, form in parser.lines:
+        if marked or not inside:
+            held[form] += len(text) - linked
+    most = max(threshold, sum(held) // 2 + 1)
+    wraps = [not form or form in parser.wrapping or n >= most for form, n in enumerate(held)]
+    return [(text, linked, marked) if wraps[form] else ("", 0, marked) for text, linked, marked, form in parser.lines]
+
+
+def _listed_end(lines: list[tuple[str, int, bool]], weights: list[int], order: list[int], window: int) -> int:
+    """How many lines of an article, from one end, come before its first with weight, or before
+    the few links, fewer than a window, that stand next to it, such as a linked heading."""
+    first = next((at for at, i in enumerate(order) if weights[i]), 0)
+    return 0 if sum(bool(lines[i][0]) for i in order[:first]) < window else first
 
 
 def main_text(html: str | None, window: int = 3, threshold: int = 80) -> str:
     """The article's blocks in page order, joined by one space; empty if there is none.
 
     Lines that are mostly links weigh nothing. If no window reaches the threshold the
-    heaviest one sets it.
+    heaviest one sets it. In a marked article any line that is not mostly links reaches it, and
+    what is cut off are a window of links or more at either end.
     """
-    lines = page_lines(html or "")
+    lines = page_lines(html or "", threshold)
     inside = any(marked and text for text, _, marked in lines)
-    weights = []
-    for text, linked, marked in lines:
-        if inside:
-            weights.append(max(len(text), threshold) if marked and text else 0)
-        else:
-            weights.append(0 if 2 * linked > len(text) else len(text))
+    if inside:
+        lines = [line for line in lines if line[2]]
+    weights = [0 if 2 * linked > len(text) else len(text) for text, linked, _ in lines]
+    if inside:
+        order = range(len(lines))
+        if not any(weights):
+            return " ".join(text for text, _, _ in lines if text)
+        low = _listed_end(lines, weights, list(order), window)
+        high = len(lines) - _listed_end(lines, weights, list(reversed(order)), window)
+        return " ".join(text for text, _, _ in lines[low:high] if text)
     sums = [sum(weights[i : i + window]) for i in range(len(lines))]
     most = max(sums, default=0)
     if not most:
@@ -227,7 +270,7 @@ def main_text(html: str | None, window: int = 3, threshold: int = 80) -> str:
     while dive < len(sums) and sums[dive]:
         dive += 1
     weighty = [i for i in range(surge, dive) if weights[i]]
-    return " ".join(lines[i][0] for i in range(weighty[0], weighty[-1] + 1) if lines[i][0] and (weights[i] or not inside))
+    return " ".join(lines[i][0] for i in range(weighty[0], weighty[-1] + 1) if lines[i][0])
 
 
 def extract(

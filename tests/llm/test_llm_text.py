@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import Counter
 from zlib import crc32
 
@@ -247,6 +248,31 @@ def test_short_blocks_at_the_ends_of_unmarked_pages_stay(before, after):
     assert main_text.main_text(f"{head}{BODY}{links}{BODY}{tail}").endswith(TEXT + f" {SHORT_TEXT} {SHORT_TEXT}" * after)
 
 
+@pytest.mark.parametrize("opened", ["<form id='aspnetForm'>", "<form id=form1 runat=server>", "<form action='/x' class='search-form'>"])
+def test_forms_that_wrap_a_page_stay(opened):
+    controls = "<label>Name</label><input><select><option>x</select><button>Go</button>"
+    for page in (f"<article>{BODY}</article>", f"<main><div>{BODY}</div></main>", BODY):
+        assert main_text.main_text(f"<body>{opened}{controls}<nav>Home</nav>{page}{controls}</form></body>") == TEXT
+    assert main_text.main_text(f"<article>{BODY}<form>Write to us <input></form></article><form>{'Ask. ' * 30}</form>") == TEXT
+    assert main_text.main_text("<form>Name <input></form>") == ""
+
+
+def test_lists_of_links_at_the_ends_of_an_article_are_cut():
+    links = "<ul>" + "<li><a href=/>Home of links</a>" * 4 + "</ul>"
+    heading = "<h1><a href=/>A linked heading</a></h1>"
+    assert main_text.main_text(f"<article>{links}{BODY}{links}</article>") == TEXT
+    assert main_text.main_text(f"<article>{heading}{BODY}</article>") == f"A linked heading {TEXT}"
+    inner = main_text.main_text(f"<article>{BODY}{links}{BODY}</article>")
+    assert inner == " ".join([TEXT, *["Home of links"] * 4, TEXT])
+
+
+@pytest.mark.parametrize("part", ["<div><font>", "</b><q>a", "<p>a<li>b", "<table><tr><td>x", "<form><p>y", "<head><b>"])
+def test_pages_of_unclosed_tags_take_time_in_proportion(part):
+    began = time.process_time()
+    main_text.main_text(part * (500_000 // len(part)))
+    assert time.process_time() - began < 20
+
+
 def test_main_text_of_short_and_odd_pages():
     assert main_text.main_text(None) == main_text.main_text("") == main_text.main_text("<nav>Home</nav>") == ""
     assert main_text.main_text("plain &lt;text&gt; only") == "plain <text> only"
