@@ -280,3 +280,28 @@ def test_tfidf_cuts_texts_once(spark, plan, monkeypatch):
     assert len(made) == 5 and made[None, "cat"] == 1.0
     assert round(made[1, "cat"] ** 2 + made[1, "dog"] ** 2, 5) == 1
     assert vocabulary.tfidf(vocabulary.tokenize(df, "text"), "id", "words", min_df=9).collect() == []
+
+
+def test_pairs_are_counted_from_words(spark):
+    rows = [
+        (1, ["a", "b", "a", "b", None, "c"]),
+        (2, ["a b", "a", "b"]),
+        (3, []),
+        (4, None),
+        (5, ["a b", "c", "a", "b c"]),
+        (1, ["b"]),
+        (None, ["b", "c"]),
+    ]
+    df = spark.createDataFrame(rows, "id int, words array<string>").repartition(2)
+    told = vocabulary.ngrams(df, "words", "terms")
+    wanted = {tuple(r) for r in vocabulary.term_counts(told, "terms").collect()}
+    assert {tuple(r) for r in vocabulary.term_counts(df, "words", pairs=True).collect()} == wanted
+    exploded = told.select("id", F.explode("terms").alias("term")).filter("term IS NOT NULL")
+    by_row = {tuple(r) for r in exploded.groupBy("id", "term").agg(F.count("*")).collect()}
+    assert {tuple(r) for r in vocabulary.row_terms(df, "id", "words").collect()} == by_row
+
+
+def test_terms_of_rows_are_not_shuffled(spark, plan):
+    df = spark.createDataFrame([(1, ["a", "b"])], "id int, words array<string>")
+    text = plan(vocabulary.row_terms(df, "id", "words"))
+    assert text.count("Exchange") == 1 and "Generate" not in text
