@@ -4,7 +4,9 @@ import sys
 
 import pytest
 from pyspark.cloudpickle import register_pickle_by_value
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -305,3 +307,21 @@ def test_terms_of_rows_are_not_shuffled(spark, plan):
     df = spark.createDataFrame([(1, ["a", "b"])], "id int, words array<string>")
     text = plan(vocabulary.row_terms(df, "id", "words"))
     assert text.count("Exchange") == 1 and "Generate" not in text
+
+
+def test_fits_have_no_more_tasks_than_cores(spark, monkeypatch):
+    rows = [(i, Vectors.dense([float(i % 7), float(i % 3)]), i % 2) for i in range(60)]
+    df = spark.createDataFrame(rows, ["id", "features", "y"])
+    seen, fit = [], RandomForestClassifier.fit
+
+    def watched(self, given, params=None):
+        seen.append((given.rdd.getNumPartitions(), given.count()))
+        return fit(self, given, params)
+
+    monkeypatch.setattr(RandomForestClassifier, "fit", watched)
+    many = df.repartition(40)
+    forests.train_per_label(many, ["y"], "id", trees=2, depth=2)
+    assert seen == [(spark.sparkContext.defaultParallelism, 60)]
+    monkeypatch.setattr(forests, "ROWS_TOGETHER", 3)
+    forests.train_per_label(many, ["y"], "id", trees=2, depth=2)
+    assert seen[1] == (20, 60)
