@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelloom.llm.columns import quoted, without, written
+from labelloom.llm.columns import discard, quoted, without, written
 from labelloom.llm.words import (
     LARGEST,
     joined,
@@ -289,9 +289,14 @@ def _cut(text: str | None, removed: np.ndarray | None, window: int) -> tuple[int
 def repeated_windows(df: DataFrame, window: int = 35, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows (the row's key, start, run): windows from start on, run of them, occur elsewhere."""
     pieces = df.select(*_key(df, id_column, text), F.lit(0).alias(STRETCH[2]), df[quoted(text)].alias("__llm_body"))
+    # Each level's tables are deleted as soon as the next one's are written, and so are its shuffles.
+    last: list[DataFrame] = []
     for length in level_lengths(window):
         pieces = written(_narrowed(pieces, _counted(pieces, window, length), window, length), f"stretches-{length}")
-    found = _counted(pieces, window, None)
+        discard(*last)
+        last = [pieces]
+    found = written(_counted(pieces, window, None), "windows")
+    discard(*last)
     return found.withColumn("__llm_place", F.col("__llm_place") + F.col(STRETCH[2])).drop(STRETCH[2])
 
 

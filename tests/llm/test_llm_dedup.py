@@ -246,3 +246,22 @@ def test_components_of_long_chains(spark):
     assert {r["node"]: r["component"] for r in got} == {i: 0 for i in range(61)} | {90: 90, 100: 90, 101: 90}
     assert len(got) == len({r["node"] for r in got})
     assert smallest_reachable(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_levels_of_windows_leave_only_the_last(spark, monkeypatch):
+    from pathlib import Path
+
+    made, real = [], substrings.written
+
+    def watched(df, name):
+        table = real(df, name)
+        made.append((name, table.inputFiles()))
+        return table
+
+    monkeypatch.setattr(substrings, "written", watched)
+    rows = [(i, " ".join(f"w{k}" for k in range(i, 60))) for i in range(4)]
+    cut = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"]: r["n_removed"] for r in cut.collect()} == {0: 59, 1: 59, 2: 58, 3: 57}
+    assert [name for name, _ in made] == ["stretches-9", "stretches-18", "windows"]
+    there = [any(Path(f.removeprefix("file://").removeprefix("file:")).exists() for f in files) for _, files in made]
+    assert there == [False, False, True]
