@@ -21,11 +21,11 @@ words themselves.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelloom.llm.columns import quoted, without, written
-from labelloom.llm.quality import let, words_of
+from labelloom.llm.quality import WHITE, let, words_of
 
 COUNTERS = 1 << 16
 HASH_BITS = 47
@@ -39,6 +39,9 @@ FEW = 1024
 # Bits of a set's parity mask.
 MASK = 64
 
+# Found in lines that have a word.
+WORDED = r"[^\x20\x09-\x0D]"
+
 
 # Columns of the other line of a pair.
 OTHER = {"id": "other", "n": "other_n", "mask": "other_mask", "place": "other_place"}
@@ -49,28 +52,29 @@ def _counter(hashed: Column) -> Column:
 
 
 def _ranks(texts: DataFrame) -> Column:
-    """The rank of every counter, rarest first, as a constant array.
+    """The rank of every counter, rarest first, above HASH_BITS zeros, as a constant array.
 
     The counts are over all words of all texts; COUNTERS numbers come to the driver.
     """
-    hashed = texts.select(F.explode(words_of(F.col("text"))).alias("word")).select(_counter(F.xxhash64("word")).alias("c"))
+    words = texts.select(F.explode(F.split("text", WHITE)).alias("word")).filter("word != ''")
+    hashed = words.select(_counter(F.xxhash64("word")).alias("c"))
     counted = dict(hashed.groupBy("c").agg(F.count("*")).collect())
     order = sorted(range(COUNTERS), key=lambda c: (counted.get(c, 0), c))
     ranks = [0] * COUNTERS
     for rank, counter in enumerate(order):
-        ranks[counter] = rank
-    return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<int>")
+        ranks[counter] = rank << HASH_BITS
+    return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<bigint>")
 
 
 def _codes(words: Column, ranks: Column) -> Column:
     """The distinct words as numbers, rarest first."""
     hashed = F.transform(words, lambda w: F.xxhash64(w))
     low = F.lit((1 << HASH_BITS) - 1)
+    # Arrays that cannot hold nulls are sorted as plain numbers.
     coded = F.transform(
-        hashed,
-        lambda h: F.shiftleft(F.get(ranks, _counter(h)).cast("long"), HASH_BITS).bitwiseOR(h.bitwiseAND(low)),
+        hashed, lambda h: F.coalesce(F.get(ranks, _counter(h)), F.lit(0).cast("long")).bitwiseOR(h.bitwiseAND(low))
     )
-    return F.sort_array(F.array_distinct(coded))
+    return F.array_distinct(F.sort_array(coded))
 
 
 def _least_overlap(one: Column, other: Column, percent: int) -> Column:
@@ -104,25 +108,24 @@ def _sets(texts: DataFrame, percent: int) -> DataFrame:
     A line that many documents share becomes one row, most of it before the shuffle.
     """
     ranks = _ranks(texts)
-    lines = texts.select("doc", F.posexplode(F.split("text", "\n")).alias("line", "body"))
-    made = lines.select(
-        F.struct("doc", "line").alias("id"),
-        let(
-            _codes(words_of(F.col("body")), ranks),
-            lambda codes: F.struct(
-                F.xxhash64(codes).alias("low"),
-                F.xxhash64(F.lit(1), codes).alias("high"),
-                F.size(codes).alias("n"),
-                _mask(codes).alias("mask"),
-                # 31 bits will do here: words that agree in them by chance only add candidates.
-                F.transform(
-                    F.slice(codes, F.lit(1), _prefix(F.size(codes), percent, SHARED)),
-                    lambda code: code.bitwiseAND(F.lit((1 << 31) - 1)).cast("int"),
-                ).alias("prefix"),
-            ),
-        ).alias("set"),
-    ).select("id", "set.*")
-    grouped = made.filter("n > 0").groupBy("low", "high").agg(
+    # Lines without words go by their text: by their numbers, these would be made twice.
+    lines = texts.select("doc", F.posexplode(F.split("text", "\n")).alias("line", "body")).filter(F.rlike("body", F.lit(WORDED)))
+    # The numbers are used several times, so Spark makes them in a projection of their own.
+    coded = lines.select(F.struct("doc", "line").alias("id"), _codes(words_of(F.col("body")), ranks).alias("codes"))
+    codes = F.col("codes")
+    made = coded.select(
+        "id",
+        F.xxhash64(codes).alias("low"),
+        F.xxhash64(F.lit(1), codes).alias("high"),
+        F.size(codes).alias("n"),
+        _mask(codes).alias("mask"),
+        # 31 bits will do here: words that agree in them by chance only add candidates.
+        F.transform(
+            F.slice(codes, F.lit(1), _prefix(F.size(codes), percent, SHARED)),
+            lambda code: code.bitwiseAND(F.lit((1 << 31) - 1)).cast("int"),
+        ).alias("prefix"),
+    )
+    grouped = made.groupBy("low", "high").agg(
         F.min("id").alias("id"), F.first("n").alias("n"), F.first("mask").alias("mask"), F.first("prefix").alias("prefix")
     )
     return grouped.select("id", "n", "mask", "prefix")
@@ -170,9 +173,9 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, texts: DataFrame, percent: int
 
 
 def _rows(sets: DataFrame, percent: int, *more: str) -> DataFrame:
-    """A row for every word of the prefixes, dealt by the word."""
+    """A row for every word of the prefixes."""
     words = F.slice("prefix", F.lit(1), _prefix(F.col("n"), percent, 2))
-    return sets.select("id", "n", "mask", *more, F.posexplode(words).alias("place", "word")).repartition("word")
+    return sets.select("id", "n", "mask", *more, F.posexplode(words).alias("place", "word"))
 
 
 def _others(rows: DataFrame, *keys: str) -> DataFrame:
@@ -185,38 +188,65 @@ def _later_lines(sets: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
     First every line is held against the earliest line of each of its words, which settles most
     of a large group of near copies. Only lines without a match go on to look at the others.
+    The lines of a word meet in one shuffle in each pass, several times as large as the table of sets.
     """
-    rows = _rows(sets, percent)
-    words = rows.groupBy("word").agg(F.count("*").alias("lines"), F.min(F.struct("id", "n", "mask")).alias("first"))
-    words = words.filter("lines > 1")
-    star = (
-        rows.join(words, "word")
-        .select("id", "n", "mask", *[F.col(f"first.{c}").alias(a) for c, a in OTHER.items() if c != "place"])
-        .filter("other < id")
-        .filter(_fitting(percent))
-        .select("id", "other")
+    own = _rows(sets, percent).select("word", F.struct("id", "n", "mask").alias("own"))
+    of_word = Window.partitionBy("word").orderBy("own").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    met = own.select("word", "own", F.first("own").over(of_word).alias("first"), F.count("*").over(of_word).alias("lines"))
+    held = met.select("own.*", "word", "lines", *[F.col(f"first.{c}").alias(a) for c, a in OTHER.items() if c != "place"])
+    # One table for the pairs and for the lines of more frequent words.
+    star = written(
+        held.select(
+            "id",
+            F.when((F.col("other") < F.col("id")) & _fitting(percent), F.col("other")).alias("other"),
+            F.when(F.col("lines") > FEW, F.col("word")).alias("word"),
+        ).filter("other IS NOT NULL OR word IS NOT NULL"),
+        "star",
     )
-    settled = written(_confirmed(star, sets, texts, percent), "settled")
+    settled = written(_confirmed(star.filter("other IS NOT NULL").select("id", "other"), sets, texts, percent), "settled")
     flagged = sets.join(settled.withColumn("settled", F.lit(True)), "id", "left").withColumn("open", F.col("settled").isNull())
-    rows = _rows(flagged, percent, "open")
-    words = rows.groupBy("word").agg(F.count("*").alias("lines"), F.max("open").alias("asked")).filter("lines > 1 AND asked")
+    frequent = star.filter("word IS NOT NULL").select("id", "word")
+    some = not frequent.isEmpty()
+    if some:
+        mixed = frequent.select("id").distinct().withColumn("mixed", F.lit(True))
+        flagged = flagged.join(mixed, "id", "left").withColumn("mixed", F.col("mixed").isNotNull())
+    else:
+        flagged = flagged.withColumn("mixed", F.lit(False))
     # What the two lines can still share from the word on, with what stands before it.
     ahead = F.least(F.col("n") - F.col("place"), F.col("other_n") - F.col("other_place"))
     behind = F.least("place", "other_place")
+    least = _least_overlap(F.col("n"), F.col("other_n"), percent)
+    groups = (
+        _rows(flagged, percent, "open", "mixed")
+        .withColumn("lines", F.count("*").over(Window.partitionBy("word")))
+        .filter(F.col("lines").between(2, FEW))
+        .groupBy("word")
+        .agg(F.collect_list(F.struct("id", "n", "mask", "place", "open", "mixed")).alias("met"))
+    )
+    # Similar lines share two words of these prefixes. A pair that met by one is dropped, unless
+    # it may share a more frequent word too, or has to share only one.
     few = (
-        rows.filter("open")
-        .join(words.filter(F.col("lines") <= FEW).select("word"), "word")
-        .join(_others(rows, "word"), "word")
-        .filter("other < id")
+        groups.select("met", F.explode("met").alias("one"))
+        .filter("one.open")
+        .select("one.*", F.explode("met").alias("two"))
+        .select("id", "n", "mask", "place", "mixed", *[F.col(f"two.{c}").alias(a) for c, a in OTHER.items()])
         .filter(_fitting(percent))
-        .filter(ahead + behind >= _least_overlap(F.col("n"), F.col("other_n"), percent))
+        .filter(ahead + behind >= least)
+        .filter("other < id")
+        .groupBy("id", "other", F.when(F.col("mixed"), 1).otherwise(F.least(F.lit(2), least)).alias("needed"))
+        .agg(F.count("*").alias("shared"))
+        .filter("shared >= needed")
         .select("id", "other")
     )
-    few = written(few.distinct(), "pairs")
-    frequent = written(
-        rows.join(words.filter(F.col("lines") > FEW).select("word"), "word").select("id", "n", "mask", "open", "word"),
-        "frequent",
-    )
+    pairs = written(few, "pairs")
+    if some:
+        pairs = pairs.union(_by_frequent(frequent, flagged, percent))
+    return settled.union(written(_confirmed(pairs, sets, texts, percent), "settled"))
+
+
+def _by_frequent(frequent: DataFrame, flagged: DataFrame, percent: int) -> DataFrame:
+    """Pairs (id, other) of the lines (id, word) of words that more than FEW lines have."""
+    frequent = written(frequent.join(flagged.select("id", "n", "mask", "open"), "id"), "frequent")
     # Lines of more frequent words, by two of them at once.
     listed = frequent.groupBy("id", "n", "mask", "open").agg(F.array_sort(F.collect_set("word")).alias("words"))
     own = ["id", "n", "mask", "open"]
@@ -233,7 +263,6 @@ def _later_lines(sets: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
         .filter(_fitting(percent))
         .select("id", "other")
     )
-    pairs = few.union(second)
     if percent <= 50:
         # Small sets, such as {a} and {a, b} at 50, may share one word only, however frequent it is.
         small = frequent.filter(percent * F.col("n") <= 100)
@@ -245,8 +274,8 @@ def _later_lines(sets: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
             .filter(_least_overlap(F.col("n"), F.col("other_n"), percent) == 1)
             .select("id", "other")
         )
-        pairs = pairs.union(single)
-    return settled.union(written(_confirmed(pairs, sets, texts, percent), "settled"))
+        return second.union(single)
+    return second
 
 
 def kept_lines(df: DataFrame, id_column: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
@@ -284,7 +313,7 @@ def remove_near_lines(df: DataFrame, id_column: str = "doc_id", text: str = "tex
     flagged = F.zip_with(
         lines,
         F.sequence(F.lit(0), F.size(lines) - 1),
-        lambda line, at: F.struct(line.alias("line"), F.rlike(line, F.lit(r"[^\x20\x09-\x0D]")).alias("worded"), at.alias("at")),
+        lambda line, at: F.struct(line.alias("line"), F.rlike(line, F.lit(WORDED)).alias("worded"), at.alias("at")),
     )
     judged = joined.select(
         *[F.col(quoted(c)) for c in own],

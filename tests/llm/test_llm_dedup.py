@@ -128,6 +128,22 @@ def test_lines_that_need_to_share_one_frequent_word_only(spark, monkeypatch, per
     assert got == later_lines_by_hand(docs, percent)
 
 
+def test_lines_meet_by_their_words_in_one_shuffle_and_pairs_by_two(spark, plan, monkeypatch):
+    rnd = random.Random(5)
+    vocabulary = [f"v{k}" for k in range(400)]
+    docs = [(i, " ".join(rnd.sample(vocabulary, rnd.randint(150, 300)))) for i in range(60)]
+    docs += [(60 + i, docs[i][1] + " more") for i in range(5)]
+    made = []
+    monkeypatch.setattr(lines, "written", lambda df, name, write=lines.written: made.append((name, df)) or write(df, name))
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r["doc"], r["line"]) for r in lines.kept_lines(table).collect()}
+    assert got == later_lines_by_hand(docs, 80)
+    assert max(plan(df).count("Exchange hashpartitioning(word") for _, df in made) == 1
+    prefix = {r["id"]: set(r["prefix"][: r["n"] - -(-80 * r["n"] // 100) + 2]) for r in dict(made)["sets"].collect()}
+    pairs = dict(made)["pairs"].collect()
+    assert pairs and all(len(prefix[p["id"]] & prefix[p["other"]]) >= 2 for p in pairs)
+
+
 def test_lines_of_an_empty_table_and_repeated_rows(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert lines.remove_near_lines(docs).count() == 0
