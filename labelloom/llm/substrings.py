@@ -14,7 +14,6 @@ The rest are counted by digest after one shuffle. Full windows are told apart by
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -26,12 +25,12 @@ from pyspark.sql import types as T
 from labelloom.llm.columns import discard, quoted, without, written
 from labelloom.llm.words import (
     LARGEST,
+    codes_at,
     joined,
     sliding_max,
     sliding_min,
-    split_all,
     window_digests,
-    word_codes,
+    word_bounds,
 )
 
 # Words worked on together, and windows gathered before their repeats are told.
@@ -45,8 +44,6 @@ SHORTEST = 8
 STRETCH = ["__llm_id", "__llm_text_hash", "__llm_start"]
 STRETCH_TYPES = [pa.int64(), pa.int32(), pa.int32()]
 
-_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
-
 
 def level_lengths(window: int) -> list[int]:
     """The lengths below the window's: a half, a quarter, ..., rounded up, shortest first."""
@@ -61,17 +58,25 @@ class Stretches:
     """Some stretches of text, one after the other, with their windows of the full length."""
 
     def __init__(self, names: list[list[int]], texts: list[str], window: int) -> None:
-        self.words, counts = split_all(texts)
+        own = [(text or "").encode() for text in texts]
+        self.raw = b"\n".join(own)
+        self.word_begins, self.word_ends = word_bounds(self.raw)
         self.window = window
         self.names = np.array(names, np.int64).reshape(-1, 3)
-        ends = np.cumsum(counts)
+        ends = np.searchsorted(self.word_begins, np.cumsum([len(o) + 1 for o in own]))
+        counts = np.diff(ends, prepend=0)
         self.begins = ends - counts
         self.owner = np.repeat(np.arange(len(counts)), counts)
-        self.codes = word_codes()(self.words)
-        last = len(self.words) - window + 1
+        self.codes = codes_at(self.raw, self.word_begins, self.word_ends)
+        last = len(self.owner) - window + 1
         places = np.arange(max(last, 0))
         self.whole = places + window <= ends[self.owner[: max(last, 0)]]
 
+    def words(self, first: np.ndarray, last: np.ndarray) -> list[bytes]:
+        """The words from each first up to each last, one space between them."""
+        spans = zip(self.word_begins[first].tolist(), self.word_ends[last - 1].tolist(), strict=True)
+        return [b" ".join(self.raw[a:b].split()) for a, b in spans]
+
     def short(self, length: int) -> tuple[np.ndarray, np.ndarray]:
         """Digests of all shorter windows, and the smallest inside each full window."""
         digests = window_digests(self.codes[:, 0], length)
@@ -242,7 +247,7 @@ def _narrowed(pieces: DataFrame, found: DataFrame, window: int, length: int) ->
             first = alive[opens]
             last = alive[np.append(np.flatnonzero(opens)[1:], len(alive)) - 1] + window
             names, places = stretches.named(first)
-            bodies = [b" ".join(stretches.words[a:b]) for a, b in zip(first.tolist(), last.tolist(), strict=True)]
+            bodies = stretches.words(first, last)
             names[:, 2] += places
             yield pa.RecordBatch.from_arrays(
                 [
@@ -268,22 +273,21 @@ def _cut(text: str | None, removed: np.ndarray | None, window: int) -> tuple[int
     if removed is None or not len(removed):
         return len((text or "").encode().split()), 0, text
     raw = text.encode()
-    spans = [m.span() for m in _WORD.finditer(raw)]
-    steps = np.zeros(len(spans) + 1, np.int64)
-    np.add.at(steps, removed, 1)
-    np.add.at(steps, removed + window, -1)
+    begins, ends = word_bounds(raw)
+    size = len(begins)
+    steps = np.bincount(removed, minlength=size + 1) - np.bincount(removed + window, minlength=size + 1)
     gone = np.cumsum(steps)[:-1] > 0
     edges = np.flatnonzero(np.diff(np.concatenate([[0], gone.view(np.int8), [0]])))
     kept, at = [], 0
     for first, after in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
-        if after < len(spans):
-            kept.append(raw[at : spans[first][0]])
-            at = spans[after][0]
+        if after < size:
+            kept.append(raw[at : begins[first]])
+            at = begins[after]
         else:
-            kept.append(raw[at : spans[first - 1][1]] if first else b"")
+            kept.append(raw[at : ends[first - 1]] if first else b"")
             at = len(raw)
     kept.append(raw[at:])
-    return len(spans), int(gone.sum()), b"".join(kept).decode()
+    return size, int(gone.sum()), b"".join(kept).decode()
 
 
 def repeated_windows(df: DataFrame, window: int = 35, id_column: str = "doc_id", text: str = "text") -> DataFrame:

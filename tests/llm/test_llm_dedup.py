@@ -8,6 +8,7 @@ from itertools import combinations
 import pytest
 
 from labelloom.llm import lines, near_duplicates, shingles, substrings
+from labelloom.llm import words as word_numbers
 from labelloom.llm.components import smallest_reachable
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -26,6 +27,25 @@ def removed_by_hand(texts, window):
     return split, kept
 
 
+def test_words_are_numbered_where_they_stand(monkeypatch):
+    rnd = random.Random(3)
+    letters = [*"ab\x00\x1f\x0e\u00a0\u4e2d\U0001f600", " ", "\t", "\x0b", "\r"]
+    texts = ["", " ", "a", "\na" * 9, *["".join(rnd.choices(letters, k=rnd.randint(0, 60))) for _ in range(500)]]
+    texts += [c * n + end for c in "ab\x00" for n in range(1, 40) for end in ("", "c", "\x00")]
+    raw = "\n".join(texts).encode()
+    begins, ends = word_numbers.word_bounds(raw)
+    found = [raw[a:b] for a, b in zip(begins.tolist(), ends.tolist())]
+    assert found == raw.split()
+    digested = []
+    monkeypatch.setattr(word_numbers, "word_codes", lambda: lambda own, digest=word_numbers.WordCodes(): digested.extend(own) or digest(own))
+    codes = word_numbers.codes_at(raw, begins, ends)
+    for lane in (0, 1):
+        by_word = dict(zip(found, codes[:, lane].tolist()))
+        assert len(set(by_word.values())) == len(by_word)
+        assert [by_word[w] for w in found] == codes[:, lane].tolist()
+    assert digested and min(map(len, digested)) > word_numbers.SHORT
+
+
 def passages(rnd, count, vocabulary, longest):
     """Texts put together from a few passages and random words."""
     stock = [[rnd.choice(vocabulary) for _ in range(rnd.randint(5, longest))] for _ in range(8)]
