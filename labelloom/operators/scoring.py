@@ -40,6 +40,7 @@ def score_batches(
     batch_size: int = 4,
     name: str = "raw_model_output",
     result_type: T.DataType | None = None,
+    prepare: Callable[[list], list] | None = None,
 ) -> DataFrame:
     """Kept columns and the scorer's result for each row.
 
@@ -66,7 +67,8 @@ def score_batches(
     def scored(rows: pa.Table, scorer: Scorer) -> Iterator[pa.RecordBatch]:
         for start in range(0, rows.num_rows, batch_size):
             batch = rows.slice(start, batch_size)
-            found = list(scorer(values(batch)))
+            given = values(batch) if prepare is None else prepare(values(batch))
+            found = list(scorer(given))
             if len(found) != batch.num_rows:
                 raise ValueError(f"scorer gave {len(found)} results for {batch.num_rows} rows")
             out = batch.drop_columns(marked).append_column(name, pa.array(found, type=arrow_type))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labelloom.config import DEFAULT, LabelConfig
@@ -12,10 +13,10 @@ from labelloom.functions.values import named
 from labelloom.operators.columns import require_columns
 from labelloom.operators.metrics import sigmoid_threshold
 from labelloom.operators.scoring import Scorer, score_batches
-from labelloom.operators.vocabulary import encode_fixed_length
+from labelloom.operators.vocabulary import fixed_length_inputs
 from labelloom.plans.classification import with_words
 
-SCORES = "__scores"
+SCORES, WORDS = "__scores", "__words"
 
 
 def classifier_predict(
@@ -34,15 +35,18 @@ def classifier_predict(
     require_columns(rows, config.instruction_columns, warn_only=True)
     present = tuple(c for c in config.instruction_columns if c in rows.columns)
     worded = with_words(rows, config, present)
-    encoded = encode_fixed_length(worded, "words", ids, max_length)
+    # Ids are looked up by the worker that scores: another one would hold each batch once more, and
+    # padded ids and masks of all its rows would be sent.
+    cut = worded.select(*[named(c) for c in rows.columns], F.slice("words", 1, max_length).alias(WORDS))
     scored = score_batches(
-        encoded,
-        ["input_ids", "attention_mask"],
+        cut,
+        WORDS,
         factory,
         rows.columns,
         batch_size,
         SCORES,
         T.ArrayType(T.DoubleType()),
+        fixed_length_inputs(rows, ids, max_length),
     )
     labelled = sigmoid_threshold(
         scored, SCORES, config.labels, config.threshold, config.score_prefix, config.prediction_prefix

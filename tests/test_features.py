@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from labelloom.config import LabelConfig
 from labelloom.operators import features, forests, scoring, vocabulary
-from labelloom.plans import classification, forest
+from labelloom.plans import classification, classifier, forest
 from labelloom.session import new_path
 from labelloom.sources.models import load_model, save_model
 
@@ -325,3 +325,22 @@ def test_fits_have_no_more_tasks_than_cores(spark, monkeypatch):
     monkeypatch.setattr(forests, "ROWS_TOGETHER", 3)
     forests.train_per_label(many, ["y"], "id", trees=2, depth=2)
     assert seen[1] == (20, 60)
+
+
+def test_classifier_looks_ids_up_where_it_scores(spark, plan):
+    ids = {"aa": 2, "bb": 3}
+    lists = [["aa", "zz", None, "bb"], [], None, ["bb"] * 9]
+    table = spark.createDataFrame(list(enumerate(lists)), "i int, words array<string>")
+    encoded = vocabulary.encode_fixed_length(table, "words", ids, 5).orderBy("i").select("input_ids", "attention_mask")
+    assert vocabulary.fixed_length_inputs(table, ids, 5)(lists) == [r.asDict() for r in encoded.collect()]
+
+    config = LabelConfig(text_features=("text",), code_features=(), labels=("x",))
+    rows = spark.createDataFrame([(1, "aa bb zz"), (2, None), (3, "bb " * 9)], "i int, text string")
+    by_columns = vocabulary.encode_fixed_length(classification.with_words(rows, config, ("text",)), "words", ids, 5)
+    expected = {r["i"]: int(sum(r["input_ids"]) > 7.5) for r in by_columns.collect()}
+    predicted = classifier.classifier_predict(
+        rows, ids, lambda: lambda given: [[sum(r["input_ids"]) - 7.5] for r in given], config, max_length=5, batch_size=2
+    )
+    assert "ArrowEvalPython" not in plan(predicted) and plan(predicted).count("MapInArrow") == 1
+    assert {r["i"]: r["pred_x"] for r in predicted.collect()} == expected
+    assert set(expected.values()) == {0, 1}
