@@ -270,6 +270,28 @@ def test_writers_that_start_together_get_a_name_each(spark, tmp_path):
     assert not list((tmp_path / "_claims").iterdir())
 
 
+def test_a_name_given_up_takes_no_other_claim_with_it(spark, tmp_path):
+    from labelloom.sources.claims import claimed
+
+    folder = tmp_path / "_claims"
+    with claimed(spark, str(tmp_path), "t") as first, claimed(spark, str(tmp_path), "t_1") as second:
+        assert first and second
+        with claimed(spark, str(tmp_path), "t") as again:
+            assert not again
+        held = {p for p in folder.rglob("*") if p.is_file() and p.suffix != ".crc"}
+        # A job that begins to claim while the first one ends: what it writes must stay.
+        late = next(p for p in held if "t_1" not in str(p))
+        late = late.with_name(late.name[:-32] + "0" * 32)
+        late.write_text("")
+    assert late.exists()
+    with claimed(spark, str(tmp_path), "t") as taken, claimed(spark, str(tmp_path), "t_1") as free:
+        assert (taken, free) == (False, True)
+    late.unlink()
+    with claimed(spark, str(tmp_path), "t") as mine:
+        assert mine
+    assert not list(folder.iterdir())
+
+
 def test_runs_at_work_hold_their_index(spark, tmp_path):
     ledger, day = str(tmp_path / "runs"), date(2025, 4, 17)
 
