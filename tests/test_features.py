@@ -344,3 +344,29 @@ def test_classifier_looks_ids_up_where_it_scores(spark, plan):
     assert "ArrowEvalPython" not in plan(predicted) and plan(predicted).count("MapInArrow") == 1
     assert {r["i"]: r["pred_x"] for r in predicted.collect()} == expected
     assert set(expected.values()) == {0, 1}
+
+
+def test_pairs_of_rare_words_are_not_counted(spark, monkeypatch):
+    rnd = random.Random(8)
+    words = [f"w{min(int(rnd.expovariate(0.08)), 60)}" for _ in range(3000)]
+    lists = [[w if rnd.random() > 0.02 else None for w in words[i : i + rnd.choice([0, 1, 2, 40])]] for i in range(0, 3000, 30)]
+    whole = []
+    count = vocabulary.term_counts
+    monkeypatch.setattr(vocabulary, "term_counts", lambda df, terms, pairs=False: whole.append(pairs) or count(df, terms, pairs))
+
+    def fitted(given, **options):
+        table = spark.createDataFrame([(i, w) for i, w in enumerate(given)], "id int, words array<string>").repartition(3)
+        whole.clear()
+        found = [tuple(r) for r in vocabulary.fit_vocabulary(table, "words", pairs=True, **options).collect()]
+        all_counted = whole.count(True)
+        # Every term counted by itself: the words, and the pairs of neighbours that are both there.
+        terms = [None if w is None else [x for x in w if x] + [f"{a} {b}" for a, b in zip(w, w[1:]) if a and b] for w in given]
+        plain = spark.createDataFrame([(t,) for t in terms], "terms array<string>")
+        assert found == [tuple(r) for r in vocabulary.fit_vocabulary(plain, "terms", **options).collect()] and found
+        return all_counted
+
+    for options in ({"max_features": 12, "min_df": 1}, {"max_features": 40, "min_df": 2, "max_df": 0.3}, {"max_features": 5000, "min_df": 3}):
+        assert fitted([*lists, None], **options) == 0
+    assert fitted([*lists, ["w1 w2", "w3"]], max_features=20, min_df=1) == 1  # a word that equals a pair
+    monkeypatch.setattr(vocabulary, "PAIRED_WORDS", 5)
+    assert fitted(lists, max_features=30, min_df=2) == 1
