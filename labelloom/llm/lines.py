@@ -1,16 +1,18 @@
 """Removal of lines that are near copies of earlier lines, by an exact set-similarity join.
 
 A line is the set of its words. The words of a line are put in order of rarity. Two sets that
-agree in percent of their union share a word early in that order, so a line is looked up by
-its first words only (the prefix filter). Pairs that meet must also fit in length, in the
-places of the shared word and in a mask of their words, then share four words of slightly longer
-prefixes, and are at last compared in full.
-
-A line is first held against the earliest line of each of its words. Only lines that find no
-match there are held against the others: for a word of few lines all of them, for more frequent
-words those that share two such words, of which similar lines share a pair too (at 50 percent or
-less, lines of few words that need to share only one are looked up by one). So neither a
-word many lines have in common nor a large group of near copies makes all pairs of its lines.
+agree in percent of their union share some words early in that order (the prefix filter): one
+of the first words, and one more for every word the prefixes are lengthened by. All words are
+dealt into m parts. Prefixes that share m + 1 words share two of one part, so a line is looked
+up by the pairs of words of its prefix that fall into one part. With m near the length of the
+shortest prefix that is two pairs for each of its words, and pairs stay rare where the
+words of a large table do not. m is a power of two and goes by the larger line of a pair.
+
+All pairs of words are dealt in one shuffle. Lines of a pair of words few lines have are held
+against each other. If more lines have it, they are first held against the earliest of them,
+which settles most of a large group of near copies; only lines without a match go on, by three
+words. Candidates must fit in length and in a mask of their words, then share as many words of
+their prefixes as similar lines must, and are at last compared in full.
 
 Everything is built from Spark's own functions. Words stand in the join as 63-bit numbers that
 sort by rarity: 16 bits of the word's hash choose a counter, the counter's rank comes first,
@@ -30,11 +32,11 @@ from labelloom.llm.quality import WHITE, let, words_of
 COUNTERS = 1 << 16
 HASH_BITS = 47
 
-# Words two prefixes must share before their lines are compared in full.
+# Words two prefixes must share, at least, before their lines are compared in full.
 SHARED = 4
 
-# Lines a word may bring together in pairs; lines of more frequent words go by two words.
-FEW = 1024
+# Lines that two words may bring together in pairs; if more have them, they go by three words.
+FEW = 64
 
 # Bits of a set's parity mask.
 MASK = 64
@@ -44,7 +46,7 @@ WORDED = r"[^\x20\x09-\x0D]"
 
 
 # Columns of the other line of a pair.
-OTHER = {"id": "other", "n": "other_n", "mask": "other_mask", "place": "other_place"}
+OTHER = {"id": "other", "n": "other_n", "mask": "other_mask"}
 
 
 def _counter(hashed: Column) -> Column:
@@ -82,9 +84,30 @@ def _least_overlap(one: Column, other: Column, percent: int) -> Column:
     return F.floor((percent * (one + other) + (99 + percent)) / (100 + percent)).cast("int")
 
 
-def _prefix(n: Column, percent: int, shared: int) -> Column:
-    """Length of the prefixes of which similar sets share at least ``shared`` words."""
-    return F.least(n, n - F.floor((percent * n + 99) / 100).cast("int") + shared)
+def _first(n: Column, percent: int) -> Column:
+    """Length of the prefixes of which similar sets share a word, if sets have words enough."""
+    return n - F.floor((percent * n + 99) / 100).cast("int") + 1
+
+
+def _parts(n: Column, percent: int) -> Column:
+    """Parts that words are dealt into for pairs of lines of which the larger has n words.
+
+    Such lines share more words than there are parts, or one word only and there is one part.
+    """
+    first = _first(n, percent)
+    most = F.greatest(F.lit(1.0), F.least((n - first).cast("double"), first * F.lit(1.41)))
+    return F.call_function("shiftleft", F.lit(1), F.floor(F.log2(most)).cast("int"))
+
+
+def _largest(n: Column, percent: int) -> Column:
+    """Words of the largest set that a set of n words can agree with."""
+    return F.floor(100 * n / percent).cast("int")
+
+
+def _prefix(n: Column, percent: int) -> Column:
+    """Length of the prefixes that are written: enough for lines of any size to meet."""
+    more = F.greatest(F.lit(SHARED - 1), _parts(_largest(n, percent), percent))
+    return F.least(n, _first(n, percent) + more)
 
 
 def _mask(codes: Column) -> Column:
@@ -103,7 +126,7 @@ def _keyed(df: DataFrame, id_column: str, text: str) -> DataFrame:
 
 
 def _sets(texts: DataFrame, percent: int) -> DataFrame:
-    """Every distinct set of words: its first line, its size and its long prefix.
+    """Every distinct set of words: its first line, its size, its mask and its prefix.
 
     A line that many documents share becomes one row, most of it before the shuffle.
     """
@@ -121,7 +144,7 @@ def _sets(texts: DataFrame, percent: int) -> DataFrame:
         _mask(codes).alias("mask"),
         # 31 bits will do here: words that agree in them by chance only add candidates.
         F.transform(
-            F.slice(codes, F.lit(1), _prefix(F.size(codes), percent, SHARED)),
+            F.slice(codes, F.lit(1), _prefix(F.size(codes), percent)),
             lambda code: code.bitwiseAND(F.lit((1 << 31) - 1)).cast("int"),
         ).alias("prefix"),
     )
@@ -131,29 +154,31 @@ def _sets(texts: DataFrame, percent: int) -> DataFrame:
     return grouped.select("id", "n", "mask", "prefix")
 
 
-def _fitting(percent: int) -> Column:
-    """Length and mask filters on the columns n and other_n, mask and other_mask."""
-    n, other = F.col("n"), F.col("other_n")
-    differing = F.bit_count(F.col("mask").bitwiseXOR(F.col("other_mask")))
+def _fits(n: Column, mask: Column, other: Column, other_mask: Column, percent: int) -> Column:
+    """Length and mask filters on the sizes and masks of two sets."""
+    differing = F.bit_count(mask.bitwiseXOR(other_mask))
     return (100 * F.least(n, other) >= percent * F.greatest(n, other)) & (
         n + other - differing >= 2 * _least_overlap(n, other, percent)
     )
 
 
+def _fitting(percent: int) -> Column:
+    return _fits(F.col("n"), F.col("mask"), F.col("other_n"), F.col("other_mask"), percent)
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The ids of lines of which an earlier line in the pairs (id, other) is a near copy."""
     # Both joins read one and the same shuffle of the sets.
     own = sets.select("id", "n", "prefix")
     first = pairs.select(F.col("id").alias("line"), "other").distinct().join(own, F.col("line") == own["id"])
     renamed = first.select("line", "other", F.col("n").alias("line_n"), F.col("prefix").alias("line_prefix"))
+    n, line_n = F.col("n"), F.col("line_n")
+    enough = F.greatest(F.lit(SHARED), _parts(F.greatest(n, line_n), percent) + 1)
     likely = written(
         renamed.join(own, F.col("other") == own["id"])
-        .filter(
-            F.size(F.array_intersect("line_prefix", "prefix"))
-            >= F.least(F.lit(SHARED), _least_overlap(F.col("line_n"), F.col("n"), percent))
-        )
+        .filter(F.size(F.array_intersect("line_prefix", "prefix")) >= F.least(enough, _least_overlap(line_n, n, percent)))
         .select(F.col("line").alias("id"), "other"),
-        "likely",
+        "pairs",
     )
     wanted = likely.select(F.explode(F.array("id", "other")).alias("line")).select("line.*")
     listed = wanted.groupBy(F.col("doc").alias("__llm_doc")).agg(F.collect_set("line").alias("wanted"))
@@ -172,110 +197,97 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, texts: DataFrame, percent: int
     return both.filter(100 * shared >= percent * union).select("id").distinct()
 
 
-def _rows(sets: DataFrame, percent: int, *more: str) -> DataFrame:
-    """A row for every word of the prefixes."""
-    words = F.slice("prefix", F.lit(1), _prefix(F.col("n"), percent, 2))
-    return sets.select("id", "n", "mask", *more, F.posexplode(words).alias("place", "word"))
-
-
 def _others(rows: DataFrame, *keys: str) -> DataFrame:
     """The rows as the earlier line of a pair."""
     return rows.select(*keys, *[F.col(c).alias(a) for c, a in OTHER.items() if c in rows.columns])
 
 
-def _later_lines(sets: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The ids of the sets that are near copies of an earlier line's set.
+def _rows(sets: DataFrame, percent: int) -> DataFrame:
+    """(words, id): a row for every two words of a prefix in one part, as one number.
 
-    First every line is held against the earliest line of each of its words, which settles most
-    of a large group of near copies. Only lines without a match go on to look at the others.
-    The lines of a word meet in one shuffle in each pass, several times as large as the table of sets.
+    A line goes with the parts for lines of its own size and of all larger ones it can agree
+    with. More parts halve those of fewer, so two words that share the lowest bits of their
+    numbers meet once, in the most parts that keep them together.
     """
-    own = _rows(sets, percent).select("word", F.struct("id", "n", "mask").alias("own"))
-    of_word = Window.partitionBy("word").orderBy("own").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    met = own.select("word", "own", F.first("own").over(of_word).alias("first"), F.count("*").over(of_word).alias("lines"))
-    held = met.select("own.*", "word", "lines", *[F.col(f"first.{c}").alias(a) for c, a in OTHER.items() if c != "place"])
-    # One table for the pairs and for the lines of more frequent words.
-    star = written(
-        held.select(
-            "id",
-            F.when((F.col("other") < F.col("id")) & _fitting(percent), F.col("other")).alias("other"),
-            F.when(F.col("lines") > FEW, F.col("word")).alias("word"),
-        ).filter("other IS NOT NULL OR word IS NOT NULL"),
-        "star",
-    )
-    settled = written(_confirmed(star.filter("other IS NOT NULL").select("id", "other"), sets, texts, percent), "settled")
-    flagged = sets.join(settled.withColumn("settled", F.lit(True)), "id", "left").withColumn("open", F.col("settled").isNull())
-    frequent = star.filter("word IS NOT NULL").select("id", "word")
-    some = not frequent.isEmpty()
-    if some:
-        mixed = frequent.select("id").distinct().withColumn("mixed", F.lit(True))
-        flagged = flagged.join(mixed, "id", "left").withColumn("mixed", F.col("mixed").isNotNull())
-    else:
-        flagged = flagged.withColumn("mixed", F.lit(False))
-    # What the two lines can still share from the word on, with what stands before it.
-    ahead = F.least(F.col("n") - F.col("place"), F.col("other_n") - F.col("other_place"))
-    behind = F.least("place", "other_place")
-    least = _least_overlap(F.col("n"), F.col("other_n"), percent)
-    groups = (
-        _rows(flagged, percent, "open", "mixed")
-        .withColumn("lines", F.count("*").over(Window.partitionBy("word")))
-        .filter(F.col("lines").between(2, FEW))
-        .groupBy("word")
-        .agg(F.collect_list(F.struct("id", "n", "mask", "place", "open", "mixed")).alias("met"))
+    n = F.col("n")
+    # Lines that can agree with lines of just their words are in the table of sets once.
+    others = (_largest(n, percent) > n) | ((100 - percent) * n >= 100 + percent)
+    sized = sets.filter(others).select(
+        "id",
+        "prefix",
+        _first(n, percent).alias("first"),
+        _parts(n, percent).alias("fewest"),
+        _parts(_largest(n, percent), percent).alias("most"),
     )
-    # Similar lines share two words of these prefixes. A pair that met by one is dropped, unless
-    # it may share a more frequent word too, or has to share only one.
-    few = (
-        groups.select("met", F.explode("met").alias("one"))
-        .filter("one.open")
-        .select("one.*", F.explode("met").alias("two"))
-        .select("id", "n", "mask", "place", "mixed", *[F.col(f"two.{c}").alias(a) for c, a in OTHER.items()])
-        .filter(_fitting(percent))
-        .filter(ahead + behind >= least)
-        .filter("other < id")
-        .groupBy("id", "other", F.when(F.col("mixed"), 1).otherwise(F.least(F.lit(2), least)).alias("needed"))
-        .agg(F.count("*").alias("shared"))
-        .filter("shared >= needed")
-        .select("id", "other")
+    ones = sized.select("*", F.posexplode("prefix").alias("at", "one"))
+    rest = F.slice("prefix", F.col("at") + 2, F.size("prefix"))
+    twos = ones.select("id", "first", "fewest", "most", "at", "one", F.posexplode(rest).alias("next", "two"))
+    one, two = F.col("one"), F.col("two")
+    differ = one.bitwiseXOR(two)
+    parts = F.when(differ == 0, F.col("most")).otherwise(F.least("most", differ.bitwiseAND(-differ)))
+    met = twos.filter((parts >= F.col("fewest")) & (F.col("at") + 1 + F.col("next") < F.col("first") + parts))
+    word = lambda c: c.cast("long")
+    rows = met.select(F.shiftleft(word(F.least(one, two)), 31).bitwiseOR(word(F.greatest(one, two))).alias("words"), "id")
+    if percent <= 50:
+        # Small sets, such as {a} and {a, b} at 50, may share one word only.
+        small = sets.filter(percent * n <= 100).select(F.explode("prefix").alias("word"), "id")
+        rows = rows.union(small.select(word(F.col("word")).alias("words"), "id"))
+    return rows
+
+
+def _later_lines(sets: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The ids of the sets that are near copies of an earlier line's set."""
+    rows = _rows(sets, percent).withColumn("lines", F.count("*").over(Window.partitionBy("words")))
+    met = written(rows.filter("lines > 1"), "met")
+    # Sizes and masks join what is left, as most pairs of words are of one line only.
+    own = F.struct("id", "n", "mask").alias("own")
+    met = written(met.join(sets.select("id", "n", "mask"), "id").select("words", "lines", own), "met")
+    groups = met.filter(F.col("lines") <= FEW).groupBy("words").agg(F.collect_list("own").alias("met"))
+    # Lines are held against each other inside their row, so only fitting pairs become rows.
+    earlier = F.filter(
+        "met",
+        lambda x: (x["id"] < F.col("own.id")) & _fits(F.col("own.n"), F.col("own.mask"), x["n"], x["mask"], percent),
     )
-    pairs = written(few, "pairs")
-    if some:
-        pairs = pairs.union(_by_frequent(frequent, flagged, percent))
+    few = groups.select("met", F.explode("met").alias("own")).select("own.id", F.explode(earlier).alias("x"))
+    few = few.select("id", F.col("x.id").alias("other"))
+    frequent = met.filter(F.col("lines") > FEW).select(F.col("words").alias("key"), "own")
+    first = F.min("own").over(Window.partitionBy("key")).alias("first")
+    star = frequent.select("own.*", first).select("id", "n", "mask", *[F.col(f"first.{c}").alias(a) for c, a in OTHER.items()])
+    star = star.filter("other < id").filter(_fitting(percent)).select("id", "other")
+    settled = written(_confirmed(few.union(star), sets, texts, percent), "settled")
+    if frequent.isEmpty():
+        return settled
+    pairs = written(_by_three(frequent.select("key", "own.*"), settled, sets, percent), "more")
     return settled.union(written(_confirmed(pairs, sets, texts, percent), "settled"))
 
 
-def _by_frequent(frequent: DataFrame, flagged: DataFrame, percent: int) -> DataFrame:
-    """Pairs (id, other) of the lines (id, word) of words that more than FEW lines have."""
-    frequent = written(frequent.join(flagged.select("id", "n", "mask", "open"), "id"), "frequent")
-    # Lines of more frequent words, by two of them at once.
-    listed = frequent.groupBy("id", "n", "mask", "open").agg(F.array_sort(F.collect_set("word")).alias("words"))
-    own = ["id", "n", "mask", "open"]
-    twos = (
-        listed.filter("size(words) > 1")
-        .select(*own, "words", F.posexplode("words").alias("at", "one"))
-        .select(*own, "one", F.explode(F.slice("words", F.col("at") + 2, F.size("words"))).alias("two"))
+def _by_three(frequent: DataFrame, settled: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (id, other) of the lines (key, id, n, mask) of words that more than FEW lines have.
+
+    Lines that share two words and must share three or more share a third one of slightly
+    longer prefixes than the shortest. Those that may share fewer meet by what they have.
+    """
+    flagged = frequent.join(settled.withColumn("settled", F.lit(True)), "id", "left")
+    flagged = written(flagged.select("key", "id", "n", "mask", F.col("settled").isNull().alias("open")), "flagged")
+    alive = flagged.filter("open").select("key").distinct()
+    lines = flagged.join(alive, "key").join(sets.select("id", "prefix"), "id")
+    key, n = F.col("key"), F.col("n")
+    thirds = F.array_except(
+        F.slice("prefix", F.lit(1), _first(n, percent) + 2),
+        F.array(F.shiftright(key, 31).cast("int"), key.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")),
     )
-    twos = written(twos, "twos")
-    second = (
-        twos.filter("open")
-        .join(_others(twos, "one", "two"), ["one", "two"])
+    # No word's number is below 0.
+    thirds = F.when(percent * n <= 200, F.array_append(thirds, F.lit(-1))).otherwise(thirds)
+    own = ["id", "n", "mask", "open"]
+    threes = lines.select("key", *own, F.explode(thirds).alias("third"))
+    threes = written(threes.select(F.xxhash64("key", "third").alias("key"), *own), "threes")
+    return (
+        threes.filter("open")
+        .join(_others(threes, "key"), "key")
         .filter("other < id")
         .filter(_fitting(percent))
         .select("id", "other")
     )
-    if percent <= 50:
-        # Small sets, such as {a} and {a, b} at 50, may share one word only, however frequent it is.
-        small = frequent.filter(percent * F.col("n") <= 100)
-        single = (
-            small.filter("open")
-            .join(_others(small, "word"), "word")
-            .filter("other < id")
-            .filter(_fitting(percent))
-            .filter(_least_overlap(F.col("n"), F.col("other_n"), percent) == 1)
-            .select("id", "other")
-        )
-        return second.union(single)
-    return second
 
 
 def kept_lines(df: DataFrame, id_column: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:

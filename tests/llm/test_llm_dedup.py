@@ -164,6 +164,16 @@ def test_lines_meet_by_their_words_in_one_shuffle_and_pairs_by_two(spark, plan,
     assert pairs and all(len(prefix[p["id"]] & prefix[p["other"]]) >= 2 for p in pairs)
 
 
+def test_lines_that_share_one_word_do_not_meet_and_similar_ones_do(spark):
+    own = [" ".join(f"v{i}_{k}" for k in range(40)) + " same" for i in range(30)]
+    docs = [*enumerate(own), (30, own[0].replace("v0_3 ", "other ")), (31, own[1] + " more and more")]
+    sets = lines._sets(spark.createDataFrame(docs, "doc long, text string"), 80)
+    met = {}
+    for r in lines._rows(sets, 80).collect():
+        met.setdefault(r["words"], set()).add(r["id"]["doc"])
+    assert {frozenset(m) for m in met.values() if len(m) > 1} == {frozenset({0, 30}), frozenset({1, 31})}
+
+
 def test_lines_of_an_empty_table_and_repeated_rows(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert lines.remove_near_lines(docs).count() == 0
