@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from labelloom.llm.columns import quoted, without, written
+from labelloom.llm.columns import discard, quoted, without, written
 from labelloom.llm.quality import WHITE, let, words_of
 
 COUNTERS = 1 << 16
@@ -36,7 +36,7 @@ HASH_BITS = 47
 SHARED = 4
 
 # Lines that two words may bring together in pairs; if more have them, they go by three words.
-FEW = 64
+FEW = 256
 
 # Bits of a set's parity mask.
 MASK = 64
@@ -46,7 +46,7 @@ WORDED = r"[^\x20\x09-\x0D]"
 
 
 # Columns of the other line of a pair.
-OTHER = {"id": "other", "n": "other_n", "mask": "other_mask"}
+OTHER = {"num": "other", "n": "other_n", "mask": "other_mask"}
 
 
 def _counter(hashed: Column) -> Column:
@@ -58,7 +58,8 @@ def _ranks(texts: DataFrame) -> Column:
 
     The counts are over all words of all texts; COUNTERS numbers come to the driver.
     """
-    words = texts.select(F.explode(F.split("text", WHITE)).alias("word")).filter("word != ''")
+    # Other white space stays in words here: it can only make the order a little worse.
+    words = texts.select(F.explode(F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ")).alias("word")).filter("word != ''")
     hashed = words.select(_counter(F.xxhash64("word")).alias("c"))
     counted = dict(hashed.groupBy("c").agg(F.count("*")).collect())
     order = sorted(range(COUNTERS), key=lambda c: (counted.get(c, 0), c))
@@ -126,9 +127,10 @@ def _keyed(df: DataFrame, id_column: str, text: str) -> DataFrame:
 
 
 def _sets(texts: DataFrame, percent: int) -> DataFrame:
-    """Every distinct set of words: its first line, its size, its mask and its prefix.
+    """Every distinct set of words: its first line, its size, its mask, its prefix and a number.
 
-    A line that many documents share becomes one row, most of it before the shuffle.
+    A line that many documents share becomes one row, most of it before the shuffle. The numbers
+    hold for the table once it is written; they stand for the lines where rows are many.
     """
     ranks = _ranks(texts)
     # Lines without words go by their text: by their numbers, these would be made twice.
@@ -151,7 +153,7 @@ def _sets(texts: DataFrame, percent: int) -> DataFrame:
     grouped = made.groupBy("low", "high").agg(
         F.min("id").alias("id"), F.first("n").alias("n"), F.first("mask").alias("mask"), F.first("prefix").alias("prefix")
     )
-    return grouped.select("id", "n", "mask", "prefix")
+    return grouped.select("id", "n", "mask", "prefix", F.monotonically_increasing_id().alias("num"))
 
 
 def _fits(n: Column, mask: Column, other: Column, other_mask: Column, percent: int) -> Column:
@@ -167,17 +169,23 @@ def _fitting(percent: int) -> Column:
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The ids of lines of which an earlier line in the pairs (id, other) is a near copy."""
+    """(num): the sets in the pairs (num, other) of which the other is a near copy that is earlier."""
     # Both joins read one and the same shuffle of the sets.
-    own = sets.select("id", "n", "prefix")
-    first = pairs.select(F.col("id").alias("line"), "other").distinct().join(own, F.col("line") == own["id"])
-    renamed = first.select("line", "other", F.col("n").alias("line_n"), F.col("prefix").alias("line_prefix"))
-    n, line_n = F.col("n"), F.col("line_n")
-    enough = F.greatest(F.lit(SHARED), _parts(F.greatest(n, line_n), percent) + 1)
+    own = sets.select("num", "id", "n", "prefix")
+    either = pairs.select(F.least("num", "other").alias("one"), F.greatest("num", "other").alias("two")).distinct()
+    first = either.join(own, F.col("one") == own["num"])
+    renamed = first.select("one", "two", F.col("id").alias("one_id"), F.col("n").alias("one_n"), F.col("prefix").alias("one_prefix"))
+    n, one_n = F.col("n"), F.col("one_n")
+    enough = F.greatest(F.lit(SHARED), _parts(F.greatest(n, one_n), percent) + 1)
+    later = F.col("id") > F.col("one_id")
     likely = written(
-        renamed.join(own, F.col("other") == own["id"])
-        .filter(F.size(F.array_intersect("line_prefix", "prefix")) >= F.least(enough, _least_overlap(line_n, n, percent)))
-        .select(F.col("line").alias("id"), "other"),
+        renamed.join(own, F.col("two") == own["num"])
+        .filter(F.size(F.array_intersect("one_prefix", "prefix")) >= F.least(enough, _least_overlap(one_n, n, percent)))
+        .select(
+            F.greatest("id", "one_id").alias("id"),
+            F.least("id", "one_id").alias("other"),
+            F.when(later, F.col("two")).otherwise(F.col("one")).alias("num"),
+        ),
         "pairs",
     )
     wanted = likely.select(F.explode(F.array("id", "other")).alias("line")).select("line.*")
@@ -194,7 +202,9 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, texts: DataFrame, percent: int
     )
     shared = F.size(F.array_intersect("words", "other_words"))
     union = F.size("words") + F.size("other_words") - shared
-    return both.filter(100 * shared >= percent * union).select("id").distinct()
+    settled = written(both.filter(100 * shared >= percent * union).select("num").distinct(), "settled")
+    discard(fetched)
+    return settled
 
 
 def _others(rows: DataFrame, *keys: str) -> DataFrame:
@@ -203,7 +213,7 @@ def _others(rows: DataFrame, *keys: str) -> DataFrame:
 
 
 def _rows(sets: DataFrame, percent: int) -> DataFrame:
-    """(words, id): a row for every two words of a prefix in one part, as one number.
+    """(words, id, num, n, mask): a row for every two words of a prefix in one part, as one number.
 
     A line goes with the parts for lines of its own size and of all larger ones it can agree
     with. More parts halve those of fewer, so two words that share the lowest bits of their
@@ -212,65 +222,69 @@ def _rows(sets: DataFrame, percent: int) -> DataFrame:
     n = F.col("n")
     # Lines that can agree with lines of just their words are in the table of sets once.
     others = (_largest(n, percent) > n) | ((100 - percent) * n >= 100 + percent)
+    own = ["id", "num", "n", "mask"]
     sized = sets.filter(others).select(
-        "id",
+        *own,
         "prefix",
         _first(n, percent).alias("first"),
+        (n - _least_overlap(n, n + 1, percent) + 1).alias("short"),
         _parts(n, percent).alias("fewest"),
         _parts(_largest(n, percent), percent).alias("most"),
     )
     ones = sized.select("*", F.posexplode("prefix").alias("at", "one"))
     rest = F.slice("prefix", F.col("at") + 2, F.size("prefix"))
-    twos = ones.select("id", "first", "fewest", "most", "at", "one", F.posexplode(rest).alias("next", "two"))
+    twos = ones.select(*own, "first", "short", "fewest", "most", "at", "one", F.posexplode(rest).alias("next", "two"))
     one, two = F.col("one"), F.col("two")
     differ = one.bitwiseXOR(two)
     parts = F.when(differ == 0, F.col("most")).otherwise(F.least("most", differ.bitwiseAND(-differ)))
-    met = twos.filter((parts >= F.col("fewest")) & (F.col("at") + 1 + F.col("next") < F.col("first") + parts))
+    # Larger lines of more parts share more words with this one, so its prefix for them is shorter.
+    length = F.greatest(F.col("first") + F.col("fewest"), F.col("short") + parts)
+    met = twos.filter((parts >= F.col("fewest")) & (F.col("at") + 1 + F.col("next") < length))
     word = lambda c: c.cast("long")
-    rows = met.select(F.shiftleft(word(F.least(one, two)), 31).bitwiseOR(word(F.greatest(one, two))).alias("words"), "id")
+    rows = met.select(F.shiftleft(word(F.least(one, two)), 31).bitwiseOR(word(F.greatest(one, two))).alias("words"), *own)
     if percent <= 50:
         # Small sets, such as {a} and {a, b} at 50, may share one word only.
-        small = sets.filter(percent * n <= 100).select(F.explode("prefix").alias("word"), "id")
-        rows = rows.union(small.select(word(F.col("word")).alias("words"), "id"))
+        small = sets.filter(percent * n <= 100).select(F.explode("prefix").alias("word"), *own)
+        rows = rows.union(small.select(word(F.col("word")).alias("words"), *own))
     return rows
 
 
 def _later_lines(sets: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The ids of the sets that are near copies of an earlier line's set."""
-    rows = _rows(sets, percent).withColumn("lines", F.count("*").over(Window.partitionBy("words")))
-    met = written(rows.filter("lines > 1"), "met")
-    # Sizes and masks join what is left, as most pairs of words are of one line only.
-    own = F.struct("id", "n", "mask").alias("own")
-    met = written(met.join(sets.select("id", "n", "mask"), "id").select("words", "lines", own), "met")
-    groups = met.filter(F.col("lines") <= FEW).groupBy("words").agg(F.collect_list("own").alias("met"))
-    # Lines are held against each other inside their row, so only fitting pairs become rows.
-    earlier = F.filter(
-        "met",
-        lambda x: (x["id"] < F.col("own.id")) & _fits(F.col("own.n"), F.col("own.mask"), x["n"], x["mask"], percent),
-    )
-    few = groups.select("met", F.explode("met").alias("own")).select("own.id", F.explode(earlier).alias("x"))
-    few = few.select("id", F.col("x.id").alias("other"))
-    frequent = met.filter(F.col("lines") > FEW).select(F.col("words").alias("key"), "own")
-    first = F.min("own").over(Window.partitionBy("key")).alias("first")
-    star = frequent.select("own.*", first).select("id", "n", "mask", *[F.col(f"first.{c}").alias(a) for c, a in OTHER.items()])
-    star = star.filter("other < id").filter(_fitting(percent)).select("id", "other")
-    settled = written(_confirmed(few.union(star), sets, texts, percent), "settled")
+    """The numbers of the sets that are near copies of an earlier line's set."""
+    # In this order the parts of a row that do not repeat lie together, which Spark's compression likes.
+    rows = _rows(sets, percent).select("words", "mask", "num", "n")
+    counted = rows.withColumn("lines", F.count("*").over(Window.partitionBy("words")))
+    met = written(counted.filter("lines > 1").select(F.col("words").alias("key"), "num", "n", "mask", "lines"), "met")
+    few = met.filter(F.col("lines") <= FEW).drop("lines")
+    # Columns of the same names let both sides read one shuffle.
+    a, b = few.alias("a"), few.alias("b")
+    fit = _fits(F.col("a.n"), F.col("a.mask"), F.col("b.n"), F.col("b.mask"), percent)
+    few = a.join(b, F.col("a.key") == F.col("b.key")).filter(F.col("b.num") < F.col("a.num")).filter(fit)
+    few = written(few.select("a.num", F.col("b.num").alias("other")), "few")
+    frequent = met.filter(F.col("lines") > FEW).drop("lines").join(sets.select("num", "id"), "num")
+    frequent = written(frequent.select("key", "num", "id", "n", "mask"), "frequent")
+    discard(met)
+    earliest = F.min(F.struct("id", "num", "n", "mask")).over(Window.partitionBy("key")).alias("first")
+    star = frequent.select("num", "n", "mask", earliest)
+    star = star.select("num", "n", "mask", *[F.col(f"first.{c}").alias(a) for c, a in OTHER.items()])
+    star = star.filter("other != num").filter(_fitting(percent)).select("num", "other")
+    settled = _confirmed(few.union(star), sets, texts, percent)
     if frequent.isEmpty():
         return settled
-    pairs = written(_by_three(frequent.select("key", "own.*"), settled, sets, percent), "more")
-    return settled.union(written(_confirmed(pairs, sets, texts, percent), "settled"))
+    pairs = written(_by_three(frequent, settled, sets, percent), "more")
+    return settled.union(_confirmed(pairs, sets, texts, percent))
 
 
 def _by_three(frequent: DataFrame, settled: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (id, other) of the lines (key, id, n, mask) of words that more than FEW lines have.
+    """Pairs (num, other) of the lines (key, num, id, n, mask) of words that more than FEW lines have.
 
     Lines that share two words and must share three or more share a third one of slightly
     longer prefixes than the shortest. Those that may share fewer meet by what they have.
     """
-    flagged = frequent.join(settled.withColumn("settled", F.lit(True)), "id", "left")
-    flagged = written(flagged.select("key", "id", "n", "mask", F.col("settled").isNull().alias("open")), "flagged")
+    flagged = frequent.join(settled.withColumn("settled", F.lit(True)), "num", "left")
+    flagged = written(flagged.select("key", "num", "id", "n", "mask", F.col("settled").isNull().alias("open")), "flagged")
     alive = flagged.filter("open").select("key").distinct()
-    lines = flagged.join(alive, "key").join(sets.select("id", "prefix"), "id")
+    lines = flagged.join(alive, "key").join(sets.select("num", "prefix"), "num")
     key, n = F.col("key"), F.col("n")
     thirds = F.array_except(
         F.slice("prefix", F.lit(1), _first(n, percent) + 2),
@@ -278,15 +292,15 @@ def _by_three(frequent: DataFrame, settled: DataFrame, sets: DataFrame, percent:
     )
     # No word's number is below 0.
     thirds = F.when(percent * n <= 200, F.array_append(thirds, F.lit(-1))).otherwise(thirds)
-    own = ["id", "n", "mask", "open"]
+    own = ["num", "id", "n", "mask", "open"]
     threes = lines.select("key", *own, F.explode(thirds).alias("third"))
     threes = written(threes.select(F.xxhash64("key", "third").alias("key"), *own), "threes")
     return (
         threes.filter("open")
-        .join(_others(threes, "key"), "key")
-        .filter("other < id")
+        .join(_others(threes.withColumnRenamed("id", "other_id"), "key", "other_id"), "key")
+        .filter("other_id < id")
         .filter(_fitting(percent))
-        .select("id", "other")
+        .select("num", "other")
     )
 
 
@@ -301,7 +315,7 @@ def kept_lines(df: DataFrame, id_column: str = "doc_id", text: str = "text", per
     texts = _keyed(df, id_column, text)
     sets = written(_sets(texts, percent), "sets")
     later = _later_lines(sets, texts, percent)
-    return sets.join(later, "id", "left_anti").select("id.doc", "id.line", "n")
+    return sets.join(later, "num", "left_anti").select("id.doc", "id.line", "n")
 
 
 def remove_near_lines(df: DataFrame, id_column: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
