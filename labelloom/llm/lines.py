@@ -8,11 +8,13 @@ up by the pairs of words of its prefix that fall into one part. With m near the
 shortest prefix that is two pairs for each of its words, and pairs stay rare where the
 words of a large table do not. m is a power of two and goes by the larger line of a pair.
 
-All pairs of words are dealt in one shuffle. Lines of a pair of words few lines have are held
-against each other. If more lines have it, they are first held against the earliest of them,
-which settles most of a large group of near copies; only lines without a match go on, by three
-words. Candidates must fit in length and in a mask of their words, then share as many words of
-their prefixes as similar lines must, and are at last compared in full.
+All pairs of words are dealt in one shuffle, with the size and a mask of the line. Lines of a
+pair of words few lines have are held against each other. If more lines have it, they are first
+held against the earliest of them, which settles most of a large group of near copies; only
+lines without a match go on, against all others while they are few, else by three words.
+Candidates must fit in length and in the mask, then share as many words of their prefixes as
+similar lines must, and are at last compared in full: first each line's likeliest pair, then
+the rest of the lines that this has not settled.
 
 Everything is built from Spark's own functions. Words stand in the join as 63-bit numbers that
 sort by rarity: 16 bits of the word's hash choose a counter, the counter's rank comes first,
@@ -38,8 +40,9 @@ SHARED = 4
 # Lines that two words may bring together in pairs; if more have them, they go by three words.
 FEW = 256
 
-# Bits of a set's parity mask.
-MASK = 64
+# Bits of a set's parity mask; the other bits of its number hold its size, or SIZED if it has more words.
+MASK = 55
+SIZED = (1 << (63 - MASK)) - 1
 
 # Found in lines that have a word.
 WORDED = r"[^\x20\x09-\x0D]"
@@ -118,7 +121,8 @@ def _mask(codes: Column) -> Column:
     share (n + m - differing bits) / 2 words at most.
     """
     one = F.lit(1).cast("long")
-    bit = lambda code: F.call_function("shiftleft", one, code.bitwiseAND(F.lit(MASK - 1)).cast("int"))
+    place = lambda code: (code.bitwiseAND(F.lit((1 << 31) - 1)) % MASK).cast("int")
+    bit = lambda code: F.call_function("shiftleft", one, place(code))
     return F.aggregate(codes, F.lit(0).cast("long"), lambda mask, code: mask.bitwiseXOR(bit(code)))
 
 
@@ -168,40 +172,57 @@ def _fitting(percent: int) -> Column:
     return _fits(F.col("n"), F.col("mask"), F.col("other_n"), F.col("other_mask"), percent)
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """(num): the sets in the pairs (num, other) of which the other is a near copy that is earlier."""
+def _packed(n: Column, mask: Column) -> Column:
+    """A set's size and mask as one number, which is what most rows hold of it."""
+    return F.shiftleft(F.least(n, F.lit(SIZED)).cast("long"), MASK).bitwiseOR(mask)
+
+
+def _packed_fit(one: Column, other: Column, percent: int) -> Column:
+    """The filters on two of those numbers; sets of SIZED words or more pass."""
+    low = F.lit((1 << MASK) - 1)
+    n, m = F.shiftright(one, MASK).cast("int"), F.shiftright(other, MASK).cast("int")
+    fits = _fits(n, one.bitwiseAND(low), m, other.bitwiseAND(low), percent)
+    return (n == SIZED) | (m == SIZED) | fits
+
+
+def _likely(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(num, id, other, differ): of the pairs (num, other) those with enough words of their prefixes in common.
+
+    id is the later line of the two and num its number, other the earlier; differ counts bits of their masks.
+    """
     # Both joins read one and the same shuffle of the sets.
-    own = sets.select("num", "id", "n", "prefix")
+    own = sets.select("num", "id", "n", "mask", "prefix")
     either = pairs.select(F.least("num", "other").alias("one"), F.greatest("num", "other").alias("two")).distinct()
-    first = either.join(own, F.col("one") == own["num"])
-    renamed = first.select("one", "two", F.col("id").alias("one_id"), F.col("n").alias("one_n"), F.col("prefix").alias("one_prefix"))
-    n, one_n = F.col("n"), F.col("one_n")
-    enough = F.greatest(F.lit(SHARED), _parts(F.greatest(n, one_n), percent) + 1)
-    later = F.col("id") > F.col("one_id")
-    likely = written(
-        renamed.join(own, F.col("two") == own["num"])
-        .filter(F.size(F.array_intersect("one_prefix", "prefix")) >= F.least(enough, _least_overlap(one_n, n, percent)))
-        .select(
-            F.greatest("id", "one_id").alias("id"),
-            F.least("id", "one_id").alias("other"),
-            F.when(later, F.col("two")).otherwise(F.col("one")).alias("num"),
+    a, b = own.alias("a"), own.alias("b")
+    both = either.join(a, F.col("one") == F.col("a.num")).join(b, F.col("two") == F.col("b.num"))
+    n, m = F.col("a.n"), F.col("b.n")
+    enough = F.least(F.greatest(F.lit(SHARED), _parts(F.greatest(n, m), percent) + 1), _least_overlap(n, m, percent))
+    return written(
+        both.filter(F.size(F.array_intersect("a.prefix", "b.prefix")) >= enough).select(
+            F.when(F.col("a.id") > F.col("b.id"), F.col("one")).otherwise(F.col("two")).alias("num"),
+            F.greatest("a.id", "b.id").alias("id"),
+            F.least("a.id", "b.id").alias("other"),
+            F.bit_count(F.col("a.mask").bitwiseXOR(F.col("b.mask"))).alias("differ"),
         ),
         "pairs",
     )
+
+
+def _confirmed(likely: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """(num): the sets in the pairs that agree with the other one, by the words themselves."""
     wanted = likely.select(F.explode(F.array("id", "other")).alias("line")).select("line.*")
     listed = wanted.groupBy(F.col("doc").alias("__llm_doc")).agg(F.collect_set("line").alias("wanted"))
     fetched = (
         texts.join(listed, F.col("doc").eqNullSafe(F.col("__llm_doc")))
         .select("doc", "wanted", F.posexplode(F.split("text", "\n")).alias("line", "body"))
         .filter(F.array_contains("wanted", F.col("line")))
-        .select(F.struct("doc", "line").alias("id"), F.array_distinct(words_of(F.col("body"))).alias("words"))
+        .select(F.struct("doc", "line").alias("line"), F.array_distinct(words_of(F.col("body"))).alias("words"))
     )
     fetched = written(fetched, "lines")
-    both = likely.join(fetched, "id").join(
-        fetched.select(F.col("id").alias("other"), F.col("words").alias("other_words")), "other"
-    )
-    shared = F.size(F.array_intersect("words", "other_words"))
-    union = F.size("words") + F.size("other_words") - shared
+    a, b = fetched.alias("a"), fetched.alias("b")
+    both = likely.join(a, F.col("id") == F.col("a.line")).join(b, F.col("other") == F.col("b.line"))
+    shared = F.size(F.array_intersect("a.words", "b.words"))
+    union = F.size("a.words") + F.size("b.words") - shared
     settled = written(both.filter(100 * shared >= percent * union).select("num").distinct(), "settled")
     discard(fetched)
     return settled
@@ -252,39 +273,62 @@ def _rows(sets: DataFrame, percent: int) -> DataFrame:
 def _later_lines(sets: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The numbers of the sets that are near copies of an earlier line's set."""
     # In this order the parts of a row that do not repeat lie together, which Spark's compression likes.
-    rows = _rows(sets, percent).select("words", "mask", "num", "n")
+    rows = _rows(sets, percent).select("words", _packed(F.col("n"), F.col("mask")).alias("own"), "num")
     counted = rows.withColumn("lines", F.count("*").over(Window.partitionBy("words")))
-    met = written(counted.filter("lines > 1").select(F.col("words").alias("key"), "num", "n", "mask", "lines"), "met")
+    met = written(counted.filter("lines > 1").select(F.col("words").alias("key"), "own", "num", "lines"), "met")
     few = met.filter(F.col("lines") <= FEW).drop("lines")
     # Columns of the same names let both sides read one shuffle.
     a, b = few.alias("a"), few.alias("b")
-    fit = _fits(F.col("a.n"), F.col("a.mask"), F.col("b.n"), F.col("b.mask"), percent)
-    few = a.join(b, F.col("a.key") == F.col("b.key")).filter(F.col("b.num") < F.col("a.num")).filter(fit)
+    few = a.join(b, F.col("a.key") == F.col("b.key")).filter(F.col("b.num") < F.col("a.num"))
+    few = few.filter(_packed_fit(F.col("a.own"), F.col("b.own"), percent))
     few = written(few.select("a.num", F.col("b.num").alias("other")), "few")
-    frequent = met.filter(F.col("lines") > FEW).drop("lines").join(sets.select("num", "id"), "num")
-    frequent = written(frequent.select("key", "num", "id", "n", "mask"), "frequent")
+    frequent = met.filter(F.col("lines") > FEW).select("key", "num").join(sets, "num")
+    frequent = written(frequent.select("key", "num", "id", "n", "mask", "prefix"), "frequent")
     discard(met)
     earliest = F.min(F.struct("id", "num", "n", "mask")).over(Window.partitionBy("key")).alias("first")
     star = frequent.select("num", "n", "mask", earliest)
     star = star.select("num", "n", "mask", *[F.col(f"first.{c}").alias(a) for c, a in OTHER.items()])
     star = star.filter("other != num").filter(_fitting(percent)).select("num", "other")
-    settled = _confirmed(few.union(star), sets, texts, percent)
-    if frequent.isEmpty():
-        return settled
-    pairs = written(_by_three(frequent, settled, sets, percent), "more")
-    return settled.union(_confirmed(pairs, sets, texts, percent))
+    likely = _likely(few.union(star), sets, percent)
+    # A line's likeliest pair settles most lines, so few of the others are looked at.
+    best = likely.groupBy("num").agg(F.min(F.struct("differ", "other", "id")).alias("best")).select("num", "best.*")
+    best = written(best, "best")
+    settled = _confirmed(best, texts, percent)
+    rest = likely.join(settled, "num", "left_anti").join(best, ["num", "other"], "left_anti")
+    if not frequent.isEmpty():
+        more = _likely(_of_open(frequent, settled, percent), sets, percent)
+        rest = rest.unionByName(more.join(best, ["num", "other"], "left_anti")).dropDuplicates(["num", "other"])
+    return settled.union(_confirmed(written(rest, "rest"), texts, percent))
+
+
+def _of_open(frequent: DataFrame, settled: DataFrame, percent: int) -> DataFrame:
+    """Pairs (num, other) of the open lines of words that more than FEW lines have, with all earlier ones.
+
+    Words of not too many open lines bring these together with their other lines, the rest go by three.
+    """
+    flagged = frequent.join(settled.withColumn("settled", F.lit(True)), "num", "left")
+    opened = flagged.withColumn("open", F.col("settled").isNull()).drop("settled")
+    opened = opened.withColumn("opened", F.count_if("open").over(Window.partitionBy("key"))).filter("opened > 0")
+    flagged = written(opened, "flagged")
+    alone = flagged.filter(F.col("opened") <= 4 * FEW)
+    crowded = flagged.filter(F.col("opened") > 4 * FEW)
+    pairs = _open_pairs(alone, percent)
+    return pairs if crowded.isEmpty() else pairs.union(_by_three(crowded, percent))
 
 
-def _by_three(frequent: DataFrame, settled: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (num, other) of the lines (key, num, id, n, mask) of words that more than FEW lines have.
+def _open_pairs(lines: DataFrame, percent: int) -> DataFrame:
+    """Pairs (num, other) of the open lines of a key and its earlier lines, if they fit."""
+    others = _others(lines.withColumnRenamed("id", "other_id"), "key", "other_id")
+    met = lines.filter("open").select("key", "num", "id", "n", "mask").join(others, "key")
+    return met.filter("other_id < id").filter(_fitting(percent)).select("num", "other")
+
+
+def _by_three(lines: DataFrame, percent: int) -> DataFrame:
+    """Pairs (num, other) of the lines (key, num, id, n, mask, prefix, open).
 
     Lines that share two words and must share three or more share a third one of slightly
     longer prefixes than the shortest. Those that may share fewer meet by what they have.
     """
-    flagged = frequent.join(settled.withColumn("settled", F.lit(True)), "num", "left")
-    flagged = written(flagged.select("key", "num", "id", "n", "mask", F.col("settled").isNull().alias("open")), "flagged")
-    alive = flagged.filter("open").select("key").distinct()
-    lines = flagged.join(alive, "key").join(sets.select("num", "prefix"), "num")
     key, n = F.col("key"), F.col("n")
     thirds = F.array_except(
         F.slice("prefix", F.lit(1), _first(n, percent) + 2),
@@ -294,14 +338,7 @@ def _by_three(frequent: DataFrame, settled: DataFrame, sets: DataFrame, percent:
     thirds = F.when(percent * n <= 200, F.array_append(thirds, F.lit(-1))).otherwise(thirds)
     own = ["num", "id", "n", "mask", "open"]
     threes = lines.select("key", *own, F.explode(thirds).alias("third"))
-    threes = written(threes.select(F.xxhash64("key", "third").alias("key"), *own), "threes")
-    return (
-        threes.filter("open")
-        .join(_others(threes.withColumnRenamed("id", "other_id"), "key", "other_id"), "key")
-        .filter("other_id < id")
-        .filter(_fitting(percent))
-        .select("num", "other")
-    )
+    return _open_pairs(written(threes.select(F.xxhash64("key", "third").alias("key"), *own), "threes"), percent)
 
 
 def kept_lines(df: DataFrame, id_column: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
@@ -314,7 +351,10 @@ def kept_lines(df: DataFrame, id_column: str = "doc_id", text: str = "text", per
     """
     texts = _keyed(df, id_column, text)
     sets = written(_sets(texts, percent), "sets")
-    later = _later_lines(sets, texts, percent)
+    return _left(sets, _later_lines(sets, texts, percent))
+
+
+def _left(sets: DataFrame, later: DataFrame) -> DataFrame:
     return sets.join(later, "num", "left_anti").select("id.doc", "id.line", "n")
 
 
@@ -328,7 +368,12 @@ def remove_near_lines(df: DataFrame, id_column: str = "doc_id", text: str = "tex
     that share an id: their lines count as one document's, a line of either that stays keeps
     that line's number in both. A null id comes before all others. An empty table stays empty.
     """
-    kept = kept_lines(df, id_column, text, percent)
+    texts = _keyed(df, id_column, text)
+    sets = written(_sets(texts, percent), "sets")
+    later = _later_lines(sets, texts, percent)
+    # Only the lines' numbers are read from here on, so nothing else stays in the shared folder.
+    kept = written(_left(sets, later), "kept")
+    discard(sets, later)
     listed = kept.groupBy(F.col("doc").alias("__llm_doc")).agg(F.collect_set("line").alias("__llm_kept"))
     own = without(df, ["n_lines", "n_removed"])
     joined = df.select(*[df[quoted(c)] for c in own]).join(

@@ -174,6 +174,24 @@ def test_lines_that_share_one_word_do_not_meet_and_similar_ones_do(spark):
     assert {frozenset(m) for m in met.values() if len(m) > 1} == {frozenset({0, 30}), frozenset({1, 31})}
 
 
+def test_lines_leave_few_tables_and_sizes_do_not_hide_long_lines(spark, monkeypatch):
+    from pathlib import Path
+
+    made, real = [], lines.written
+    monkeypatch.setattr(lines, "written", lambda df, name: made.append((name, real(df, name))) or made[-1][1])
+    # More words than a packed size can hold, and a frequent pair of words that few lines settle.
+    monkeypatch.setattr(lines, "FEW", 2)
+    long = [f"w{k}" for k in range(lines.SIZED + 100)]
+    docs = [(0, " ".join(long)), (1, " ".join(long[60:])), (2, " ".join(long[:200]))]
+    docs += [(3 + i, " ".join(["same", "pair", *[f"u{i}x{k}" for k in range(2)]])) for i in range(20)]
+    docs += [(30 + i, docs[3 + i][1] + " u") for i in range(9)]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    left = {r["doc_id"] for r in lines.remove_near_lines(table).collect() if not r["n_removed"]}
+    assert left == {d for d, _ in later_lines_by_hand(docs, 80)} and left == {0, 2, *range(3, 23)}
+    there = {name for name, df in made for f in df.inputFiles() if Path(f.removeprefix("file://").removeprefix("file:")).exists()}
+    assert "kept" in there and not there & {"sets", "met", "lines", "settled"}
+
+
 def test_lines_of_an_empty_table_and_repeated_rows(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert lines.remove_near_lines(docs).count() == 0
