@@ -272,6 +272,9 @@ def _rows(sets: DataFrame, percent: int) -> DataFrame:
 
 def _later_lines(sets: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The numbers of the sets that are near copies of an earlier line's set."""
+    # A job on the written table also makes Spark let go of the last plan, and so of the sets' shuffle.
+    if sets.isEmpty():
+        return sets.select("num")
     # In this order the parts of a row that do not repeat lie together, which Spark's compression likes.
     rows = _rows(sets, percent).select("words", _packed(F.col("n"), F.col("mask")).alias("own"), "num")
     counted = rows.withColumn("lines", F.count("*").over(Window.partitionBy("words")))
