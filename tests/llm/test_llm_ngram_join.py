@@ -7,6 +7,8 @@ import numpy as np
 import pytest
 
 from labelloom.llm import ngram_join
+from labelloom.llm.shingles import shingle_sets
+from labelloom.llm.words import word_codes
 
 LOWER = {c: c + 32 for c in range(65, 91)}
 
@@ -128,3 +130,27 @@ def test_empty_tables_and_bad_arguments(spark):
         ngram_join.join_components(empty, percent=50)
     with pytest.raises(ValueError):
         ngram_join.join_components(empty, id_column="source")
+
+
+def test_sets_are_those_of_the_shingles_and_leave_no_words_behind():
+    rng = random.Random(7)
+    known = ["a", "B", "b", "\u00c4", "\u00e4", "eight888", "fifteen-letters", "sixteen--letters", "SIXTEEN--LETTERS", "longer than it"[:6] * 9, "\x00", "x\u00a0y", "x\x1fy"]
+    gaps = [" ", "\t", "\n", "\x0b", "\x0c", "\r", "  \n"]
+    texts = [None, "", " \t ", "a", "b a", " A\nb a  "]
+    texts += ["".join(rng.choice(known) + rng.choice(gaps) for _ in range(rng.randrange(1, 14))) for _ in range(300)]
+    held = len(word_codes().place)
+    for words in (1, 2, 3, 5):
+        named, numbers = {}, set()
+        for text, own in zip(texts, shingle_sets(texts, words), strict=True):
+            lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").encode().split()
+            wanted = {tuple(lowered[i : i + words]) for i in range(max(len(lowered) - words + 1, 1))} if lowered else set()
+            assert len(own) == len(wanted) and list(own) == sorted(set(own.tolist()))
+            named.setdefault(frozenset(wanted), set()).add(own.tobytes())
+            numbers.update(own.tolist())
+        assert all(len(made) == 1 for made in named.values())
+        assert len(numbers) == len(set().union(*named))
+        alone = [shingle_sets([text], words)[0].tolist() for text in texts]
+        assert alone == [own.tolist() for own in shingle_sets(texts, words)]
+    assert shingle_sets([], 5) == []
+    shingle_sets([" ".join(f"word{i} and-a-longer-one-{i}" for i in range(2000))], 5)
+    assert len(word_codes().place) == held
